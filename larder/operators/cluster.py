@@ -12,14 +12,13 @@ from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from larder.functions import column
 from larder.session import shared_dir
 
-ROWS_PER_PARTITION = 50_000
+ROWS_PER_PARTITION = 100_000
 SMALL_PARTITIONS = 4_096
 BYTES_PER_PARTITION = 256 << 20
 TASKS_PER_CORE = 4
@@ -28,15 +27,14 @@ MODEL_BYTES = 256 << 20
 
 def vector_shape(df: DataFrame, features_col: str) -> tuple[int, int]:
     """The number of rows and of dimensions."""
-    size = F.size(vector_to_array(column(features_col)))
-    rows, dims = df.agg(F.count(F.lit(1)), F.max(size)).first()
-    return rows, dims or 0
+    first = df.select(column(features_col)).first()
+    return df.count(), first[0].size if first else 0
 
 
 def layout_partitions(df: DataFrame, features_col: str = "scaled") -> int:
     """A partition count that depends on the data alone, not on the cluster.
 
-    Small data gets 50,000 rows per partition; from 4,096 partitions on they grow, up to
+    Small data gets 100,000 rows per partition; from 4,096 partitions on they grow, up to
     256 MiB of values, and then their number grows again.
     """
     rows, dims = vector_shape(df, features_col)
@@ -70,9 +68,16 @@ def stable_layout(
 def fit_layout(
     layout: DataFrame, k: int, features_col: str, prediction_col: str, seed: int
 ) -> KMeansModel:
+    """Fit over a layout, with the row solver: the block solver that Spark prefers for dense
+    vectors fails when the start finds fewer than ``k`` distinct centres."""
     points = layout.select(array_to_vector("values").alias(features_col), "copies")
     return KMeans(
-        featuresCol=features_col, predictionCol=prediction_col, weightCol="copies", k=k, seed=seed
+        featuresCol=features_col,
+        predictionCol=prediction_col,
+        weightCol="copies",
+        solver="row",
+        k=k,
+        seed=seed,
     ).fit(points)
 
 
@@ -118,7 +123,12 @@ def nearest_centroid(
     if size == 1:
         return df.withColumn(output_col, F.lit(table.first()[id_col]).cast(id_type))
     model = KMeans(
-        featuresCol=features_col, predictionCol=output_col, k=size, initMode="random", maxIter=1,
+        featuresCol=features_col,
+        predictionCol=output_col,
+        solver="row",
+        initMode="random",
+        maxIter=1,
+        k=size,
         seed=0,
     ).fit(table)
     by_index = model.transform(table).groupBy(output_col).agg(F.min(column(id_col)).alias("id"))
@@ -137,86 +147,109 @@ def silhouette(df: DataFrame, features_col: str = "scaled", prediction_col: str
     ).evaluate(df)
 
 
-def score_batches(clusters: list[dict[str, np.ndarray]]):
-    """A function for ``mapInArrow`` that sums the silhouettes of each batch.
+def batch_arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The points, their squared norms, their copies and one assignment per clustering."""
+    rows = batch.num_rows
+    points = np.asarray(batch["values"].flatten()).reshape(rows, -1)
+    assigned = np.asarray(batch["assigned"].flatten()).reshape(rows, -1)
+    return points, np.square(points).sum(axis=1), np.asarray(batch["copies"]), assigned
+
+
+def sum_partition(ks: Sequence[int]):
+    """A function for ``mapInArrow``: per cluster, a partition's sums of (1, |x|^2, x)."""
 
-    ``clusters[i]`` describes the i-th clustering: the ``index`` of its clusters, their
-    ``size``, ``mean`` and ``spread`` (mean squared norm). The mean squared distance from x
-    to a cluster is |x|^2 + spread - 2 x.mean, so no pair of points is ever formed.
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: list = [0.0] * len(ks)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            points, norms, copies, assigned = batch_arrays(batch)
+            moments = np.column_stack([np.ones(len(points)), norms, points])
+            for i, k in enumerate(ks):
+                member = np.zeros((len(points), k))
+                member[np.arange(len(points)), assigned[:, i]] = copies
+                totals[i] = totals[i] + member.T @ moments
+        for i, total in enumerate(totals):
+            if np.ndim(total):
+                cluster, j = np.indices(total.shape)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "i": pa.array(np.full(total.size, i, np.int32)),
+                        "cluster": pa.array(cluster.ravel().astype(np.int32)),
+                        "j": pa.array(j.ravel().astype(np.int32)),
+                        "total": pa.array(total.ravel()),
+                    }
+                )
+
+    return sums
+
+
+def score_partition(sums: Sequence[np.ndarray]):
+    """A function for ``mapInArrow``: a partition's sum of silhouettes per clustering.
+
+    ``sums[i]`` has a row (n, sum of |y|^2, sum of y) for each cluster of the i-th
+    clustering. The mean squared distance from x to a cluster is |x|^2 + mean |y|^2 -
+    2 x.mean(y), so no pair of points is ever formed.
     """
+    sizes = [total[:, 0] for total in sums]
+    means = [total[:, 1:] / np.maximum(total[:, :1], 1) for total in sums]
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = np.zeros(len(sums))
         for batch in batches:
-            rows = batch.num_rows
-            if not rows:
+            if not batch.num_rows:
                 continue
-            points = np.asarray(batch["values"].flatten()).reshape(rows, -1)
-            copies = np.asarray(batch["copies"])
-            assigned = np.asarray(batch["assigned"].flatten()).reshape(rows, -1)
-            norms = np.square(points).sum(axis=1, keepdims=True)
-            sums = []
-            for i, c in enumerate(clusters):
-                distance = norms + c["spread"] - 2 * (points @ c["mean"].T)
-                at = np.arange(rows), np.searchsorted(c["index"], assigned[:, i])
-                size = c["size"][at[1]]
-                own = distance[at] * size / np.maximum(size - 1, 1)
-                distance[at] = np.inf
+            points, norms, copies, assigned = batch_arrays(batch)
+            row = np.arange(len(points))
+            for i, (size, mean) in enumerate(zip(sizes, means)):
+                distance = norms[:, None] + mean[:, 0] - 2 * (points @ mean[:, 1:].T)
+                distance[:, size == 0] = np.inf
+                n = size[assigned[:, i]]
+                own = distance[row, assigned[:, i]] * n / np.maximum(n - 1, 1)
+                distance[row, assigned[:, i]] = np.inf
                 other = distance.min(axis=1)
                 larger = np.maximum(own, other)
-                value = np.divide(other - own, larger, out=np.zeros(rows), where=larger > 0)
-                sums.append(float(np.sum(np.where(size > 1, value, 0.0) * copies)))
-            yield pa.RecordBatch.from_pydict(
-                {"i": pa.array(range(len(sums)), pa.int32()), "score": pa.array(sums)}
-            )
+                value = np.divide(other - own, larger, out=np.zeros(len(points)), where=larger > 0)
+                totals[i] += np.sum(np.where(n > 1, value, 0) * copies)
+        yield pa.RecordBatch.from_pydict(
+            {"i": pa.array(np.arange(len(sums), dtype=np.int32)), "score": pa.array(totals)}
+        )
 
-    return score
+    return scores
 
 
 def silhouettes(layout: DataFrame, models: Sequence[KMeansModel], features_col: str) -> list[float]:
     """The silhouette of each model over the rows of a layout, all in two passes.
 
-    The first sums the vectors of every cluster of every model, the second adds up the
-    scores against those sums. What crosses the driver is one row per cluster.
+    The first sums up the clusters of every model, the second scores the rows against those
+    sums. A task sends on one row per cluster and dimension, then one per model.
     """
     points = layout.withColumn(features_col, array_to_vector("values"))
     names = [f"larder_{i}" for i in range(len(models))]
     for name, model in zip(names, models):
         points = model.setPredictionCol(name).transform(points)
-    assigned = points.select("values", "copies", features_col, F.array(*names).alias("assigned"))
-    totals = (
-        assigned.select(features_col, "copies", F.posexplode("assigned").alias("i", "cluster"))
-        .groupBy("i", "cluster")
-        .agg(
-            F.sum("copies").alias("size"),
-            Summarizer.metrics("mean", "normL2")
-            .summary(column(features_col), F.col("copies"))
-            .alias("of"),
-        )
+    assigned = points.select("values", "copies", F.array(*names).alias("assigned"))
+    ks = [len(model.clusterCenters()) for model in models]
+    summed = (
+        assigned.mapInArrow(sum_partition(ks), "i int, cluster int, j int, total double")
+        .groupBy("i", "cluster", "j")
+        .agg(F.sum("total").alias("total"))
         .collect()
     )
-    clusters = []
-    for i in range(len(models)):
-        rows = sorted((row for row in totals if row["i"] == i), key=lambda row: row["cluster"])
-        if len(rows) < 2:
-            raise ValueError("the silhouette needs at least two non-empty clusters")
-        size = np.array([row["size"] for row in rows])
-        clusters.append(
-            {
-                "index": np.array([row["cluster"] for row in rows]),
-                "size": size,
-                "mean": np.array([row["of"]["mean"].toArray() for row in rows]),
-                "spread": np.array([np.square(row["of"]["normL2"].toArray()).sum() for row in rows]) / size,
-            }
-        )
+    dims = len(models[0].clusterCenters()[0])
+    sums = [np.zeros((k, dims + 2)) for k in ks]
+    for i, cluster, j, total in summed:
+        sums[i][cluster, j] = total
+    if any(np.count_nonzero(total[:, 0]) < 2 for total in sums):
+        raise ValueError("the silhouette needs at least two non-empty clusters")
     scored = (
-        assigned.select("values", "copies", "assigned")
-        .mapInArrow(score_batches(clusters), "i int, score double")
+        assigned.mapInArrow(score_partition(sums), "i int, score double")
         .groupBy("i")
         .agg(F.sum("score").alias("score"))
         .collect()
     )
-    total = {row["i"]: row["score"] for row in scored}
-    return [total[i] / float(clusters[i]["size"].sum()) for i in range(len(models))]
+    by_model = {row["i"]: row["score"] for row in scored}
+    return [by_model[i] / float(total[:, 0].sum()) for i, total in enumerate(sums)]
 
 
 def sweep_k(

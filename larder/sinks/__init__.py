@@ -1,4 +1,4 @@
-from larder.sinks.files import publish_parquet, write_csv, write_parquet
+from larder.sinks.files import publish_parquet, stage, write_csv, write_parquet
 from larder.sinks.jdbc import create_jdbc_table, write_jdbc
 from larder.sinks.tables import append_table, create_table, run_sql
 
@@ -8,6 +8,7 @@ __all__ = [
     "create_table",
     "publish_parquet",
     "run_sql",
+    "stage",
     "write_csv",
     "write_jdbc",
     "write_parquet",

@@ -116,22 +116,19 @@ def infer_types(df: DataFrame) -> DataFrame:
     strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not strings:
         return df
-    kinds = (("bigint", INTEGER), ("double", NUMBER), ("boolean", BOOLEAN))
     seen = df.agg(
         *[
-            F.struct(
-                F.count(column(name)).alias("present"),
-                *[F.count_if(column(name).rlike(pattern)).alias(kind) for kind, pattern in kinds],
-            ).alias(f"c{i}")
-            for i, name in enumerate(strings)
+            F.bit_or(
+                F.when(column(name).rlike(INTEGER), 1)
+                .when(column(name).rlike(NUMBER), 2)
+                .when(column(name).rlike(BOOLEAN), 4)
+                .when(column(name).isNotNull(), 8)
+            )
+            for name in strings
         ]
     ).first()
-    target = {}
-    for i, name in enumerate(strings):
-        counts = seen[f"c{i}"]
-        fitting = [kind for kind, _ in kinds if counts[kind] == counts["present"] > 0]
-        if fitting:
-            target[name] = fitting[0]
+    kinds = {1: "bigint", 2: "double", 3: "double", 4: "boolean"}
+    target = {name: kinds[bits] for name, bits in zip(strings, seen) if bits in kinds}
     return df.select(
         [
             column(name).cast(target[name]).alias(name) if name in target else column(name)
