@@ -32,7 +32,7 @@ from larder.plans.datamart import publish_scaled
 from larder.plans.products import clean_products, load_products_jdbc, load_products_table
 from larder.plans.wordcount import count_words
 from larder.session import new_run_dir
-from larder.sinks import publish_parquet, write_csv, write_jdbc, write_parquet
+from larder.sinks import publish_parquet, run_sql, write_csv, write_jdbc, write_parquet
 from larder.sources import read_csv, read_jdbc, read_jdbc_query, read_lines, read_parquet, read_tsv
 from larder.streaming import (
     append_batch_to,
@@ -180,8 +180,7 @@ def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clean_raw_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{new_run_dir(spark, 'raw')}/products"
     write_csv(holed_lineitem(spark, sf_dir), path, sep="\t", compression="gzip")
-    raw = read_tsv(spark, path, partitions=spark.sparkContext.defaultParallelism)
-    return clean_products(raw, min_fraction=0.3, drop=["l_orderkey"], infer=True)
+    return clean_products(read_tsv(spark, path), min_fraction=0.3, drop=["l_orderkey"], infer=True)
 
 
 # Features
@@ -268,7 +267,7 @@ def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tsv_gz_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     path = write_csv(customer, new_run_dir(spark, "tsv"), sep="\t", compression="gzip")
-    return read_tsv(spark, path, customer.schema, partitions=spark.sparkContext.defaultParallelism)
+    return read_tsv(spark, path, customer.schema)
 
 
 def table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,7 +279,8 @@ def table_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     load_products_table(
         rows, name, {column: "FLOAT" for column in MEASURES}, left_out=["left_out"], location=path
     )
-    stored = spark.table(name)
+    run_sql(spark, f"DROP TABLE {name}")  # the files of a table with a location stay
+    stored = read_parquet(spark, path)
     return stored.select([F.col(column).cast("double").alias(column) for column in MEASURES])
 
 

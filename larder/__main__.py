@@ -39,7 +39,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     threshold.add_argument("--min-present", type=int)
     threshold.add_argument("--min-fraction", type=float)
     job.add_argument("--drop", nargs="*", default=["code"])
-    job.add_argument("--partitions", type=int)
+    job.add_argument("--partitions", type=int, help="spread the rows of a gzip file")
 
     job = jobs.add_parser("load", help="product CSV into a table")
     job.add_argument("csv")
@@ -68,7 +68,7 @@ def main(argv: list[str] | None = None) -> None:
         fraction = args.min_fraction
         if args.min_present is None and fraction is None:
             fraction = 0.3
-        raw = read_tsv(spark, args.tsv, partitions=args.partitions)
+        raw = read_tsv(spark, args.tsv, partitions=None if args.rows else args.partitions)
         cleaned = clean_products(
             raw,
             sample=args.rows,

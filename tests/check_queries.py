@@ -29,6 +29,9 @@ def sorted_rows(names: list[str], rows: list) -> list[tuple]:
     return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
 
 
+SPARK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string"}
+
+
 def differences(result: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
     expected = connection.execute(sql)
     names = [column[0] for column in expected.description]
@@ -36,8 +39,8 @@ def differences(result: DataFrame, connection: duckdb.DuckDBPyConnection, sql: s
         return [f"columns {sorted(result.columns)} instead of {sorted(names)}"]
     found = sorted_rows(result.columns, result.collect())
     wanted = sorted_rows(names, expected.fetchall())
-    found_types = {tuple(map(type, row)) for row in found}
-    wanted_types = {tuple(map(type, row)) for row in wanted}
+    found_types = dict(result.dtypes)
+    wanted_types = {column[0]: SPARK_TYPES[str(column[1])] for column in expected.description}
     problems = []
     if len(found) != len(wanted):
         problems.append(f"{len(found)} rows instead of {len(wanted)}")

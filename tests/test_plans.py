@@ -68,6 +68,8 @@ def test_clean_from_text(spark, raw_dump):
     assert clean_products(raw, min_present=5, infer=True).columns == ["fat_100g", "salt_100g"]
     sample = clean_products(raw, sample=10, order_by=["code"], min_present=5, infer=True)
     assert [row[0] for row in sample.orderBy("fat_100g").collect()] == [i / 4 for i in range(10)]
+    first = clean_products(raw, sample=10, min_present=5, infer=True)
+    assert sorted(row[0] for row in first.collect()) == [i / 4 for i in range(10)]
     with pytest.raises(ValueError):
         clean_products(raw, min_present=5, infer=True, drop=["nowhere"])
 
