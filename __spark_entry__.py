@@ -235,6 +235,28 @@ def kmeans_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sweep_k(embedding_vectors(spark, sf_dir).select("scaled"))
 
 
+def separated_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem as two groups so far apart that every k-means with k = 2 must find them."""
+    apart = F.when(F.col("l_linenumber") <= 3, F.lit(0.0)).otherwise(F.lit(200.0))
+    rows = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_quantity") + apart).alias("x"), F.col("l_discount").alias("y")
+    )
+    return assemble(rows, ["x", "y"], "scaled")
+
+
+def kmeans_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = separated_groups(spark, sf_dir)
+    found = assign(rows, fit_kmeans(rows, k=2)).groupBy("prediction")
+    return found.agg(
+        F.count("*").alias("n_rows"), F.round(F.avg("x"), 6).alias("mean_x"), F.max("x").alias("max_x")
+    ).drop("prediction")
+
+
+def sweep_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = sweep_k(separated_groups(spark, sf_dir), [2])
+    return scores.select("k", F.round("silhouette", 6).alias("silhouette"))
+
+
 def published_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = new_run_dir(spark, "sweep")
     return score_published(spark, publish_parquet(scaled_measures(spark, sf_dir), root, "1"))
@@ -369,6 +391,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "silhouette_by_flag": silhouette_by_flag,
         "silhouette_embeddings": silhouette_embeddings,
         "nearest_centroid": nearest_label,
+        "kmeans_groups": kmeans_groups,
+        "sweep_groups": sweep_groups,
         "kmeans_sweep": kmeans_sweep,
         "published_sweep": published_sweep,
         "kmeans_assign": kmeans_assign,
@@ -417,14 +441,26 @@ SELECT vec_id, arg_min(center.label, list_distance(embedding::DOUBLE[], c)) AS n
 FROM embeddings, center GROUP BY vec_id
 """
 
-FLAG_SILHOUETTE = """
-WITH s AS (
-  SELECT stddev_samp(l_quantity) AS s0, stddev_samp(l_extendedprice) AS s1,
-         stddev_samp(l_discount) AS s2, stddev_samp(l_tax) AS s3 FROM lineitem
-), p AS (
-  SELECT row_number() OVER () AS id, ascii(l_returnflag) % 3 AS g, l_quantity / s0 AS a,
-         l_extendedprice / s1 AS b, l_discount / s2 AS c, l_tax / s3 AS d FROM lineitem, s
-), q AS (
+FLAG_POINTS = """
+SELECT row_number() OVER () AS id, ascii(l_returnflag) % 3 AS g,
+       l_quantity / (SELECT stddev_samp(l_quantity) FROM lineitem) AS a,
+       l_extendedprice / (SELECT stddev_samp(l_extendedprice) FROM lineitem) AS b,
+       l_discount / (SELECT stddev_samp(l_discount) FROM lineitem) AS c,
+       l_tax / (SELECT stddev_samp(l_tax) FROM lineitem) AS d
+FROM lineitem
+"""
+
+GROUPS = """
+SELECT l_linenumber <= 3 AS g, l_quantity + CASE WHEN l_linenumber <= 3 THEN 0 ELSE 200 END AS x,
+       l_discount AS y
+FROM lineitem
+"""
+
+
+def silhouette_of(points: str) -> str:
+    """The silhouette of points (id, a, b, c, d) in clusters g, from sums per cluster."""
+    return f"""
+WITH p AS ({points}), q AS (
   SELECT *, a * a + b * b + c * c + d * d AS norm FROM p
 ), cluster AS (
   SELECT g, count(*) AS n, avg(a) AS ma, avg(b) AS mb, avg(c) AS mc, avg(d) AS md, avg(norm) AS spread
@@ -443,6 +479,7 @@ SELECT round(avg(CASE WHEN n = 1 OR x = y THEN 0 WHEN x < y THEN 1 - x / y ELSE
 FROM pair
 """
 
+
 LABEL_SILHOUETTE = """
 WITH e AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
@@ -524,9 +561,18 @@ def oracle_sql() -> dict[str, str]:
         ),
         "scaled_lineitem": SCALED,
         "published_scaled": SCALED,
-        "silhouette_by_flag": FLAG_SILHOUETTE,
+        "silhouette_by_flag": silhouette_of(FLAG_POINTS),
         "silhouette_embeddings": LABEL_SILHOUETTE,
         "nearest_centroid": NEAREST,
+        "kmeans_groups": f"""
+            SELECT count(*) AS n_rows, round(avg(x), 6) AS mean_x, max(x) AS max_x
+            FROM ({GROUPS}) GROUP BY g
+        """,
+        "sweep_groups": f"""
+            SELECT 2 AS k, silhouette FROM ({silhouette_of(
+                f"SELECT row_number() OVER () AS id, g, x AS a, y AS b, 0 AS c, 0 AS d FROM ({GROUPS})"
+            )})
+        """,
         "parquet_roundtrip": "SELECT * EXCLUDE (l_shipdate) FROM lineitem",
         "csv_roundtrip": "SELECT * FROM part",
         "csv_inferred": "SELECT * EXCLUDE (c_custkey) FROM customer",

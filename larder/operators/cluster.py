@@ -8,6 +8,7 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -68,17 +69,26 @@ def stable_layout(
 def fit_layout(
     layout: DataFrame, k: int, features_col: str, prediction_col: str, seed: int
 ) -> KMeansModel:
-    """Fit over a layout, with the row solver: the block solver that Spark prefers for dense
-    vectors fails when the start finds fewer than ``k`` distinct centres."""
+    """Fit over a layout with the block solver, which keeps vectors as compact matrices.
+
+    It cannot work with fewer than ``k`` distinct starting centres, as few distinct rows or
+    far outliers may leave; only then does the row solver take over.
+    """
     points = layout.select(array_to_vector("values").alias(features_col), "copies")
-    return KMeans(
+    kmeans = KMeans(
         featuresCol=features_col,
         predictionCol=prediction_col,
         weightCol="copies",
-        solver="row",
+        solver="block",
         k=k,
         seed=seed,
-    ).fit(points)
+    )
+    try:
+        return kmeans.fit(points)
+    except Py4JJavaError as error:
+        if "ArrayIndexOutOfBoundsException" not in str(error):
+            raise
+        return kmeans.setSolver("row").fit(points)
 
 
 def fit_kmeans(
