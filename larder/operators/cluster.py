@@ -157,23 +157,32 @@ def silhouette(df: DataFrame, features_col: str = "scaled", prediction_col: str
     ).evaluate(df)
 
 
-def batch_arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The points, their squared norms, their copies and one assignment per clustering."""
-    rows = batch.num_rows
-    points = np.asarray(batch["values"].flatten()).reshape(rows, -1)
-    assigned = np.asarray(batch["assigned"].flatten()).reshape(rows, -1)
-    return points, np.square(points).sum(axis=1), np.asarray(batch["copies"]), assigned
+def batch_reader():
+    """A function that gives a batch's points, squared norms, copies and assignments.
+
+    Like the others below it is an inner function, which Spark sends to the executors whole:
+    they need not have this package installed.
+    """
+
+    def read(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        rows = batch.num_rows
+        points = np.asarray(batch["values"].flatten()).reshape(rows, -1)
+        assigned = np.asarray(batch["assigned"].flatten()).reshape(rows, -1)
+        return points, np.square(points).sum(axis=1), np.asarray(batch["copies"]), assigned
+
+    return read
 
 
 def sum_partition(ks: Sequence[int]):
     """A function for ``mapInArrow``: per cluster, a partition's sums of (1, |x|^2, x)."""
+    read = batch_reader()
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: list = [0.0] * len(ks)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            points, norms, copies, assigned = batch_arrays(batch)
+            points, norms, copies, assigned = read(batch)
             moments = np.column_stack([np.ones(len(points)), norms, points])
             for i, k in enumerate(ks):
                 member = np.zeros((len(points), k))
@@ -201,6 +210,7 @@ def score_partition(sums: Sequence[np.ndarray]):
     clustering. The mean squared distance from x to a cluster is |x|^2 + mean |y|^2 -
     2 x.mean(y), so no pair of points is ever formed.
     """
+    read = batch_reader()
     sizes = [total[:, 0] for total in sums]
     means = [total[:, 1:] / np.maximum(total[:, :1], 1) for total in sums]
 
@@ -209,7 +219,7 @@ def score_partition(sums: Sequence[np.ndarray]):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            points, norms, copies, assigned = batch_arrays(batch)
+            points, norms, copies, assigned = read(batch)
             row = np.arange(len(points))
             for i, (size, mean) in enumerate(zip(sizes, means)):
                 distance = norms[:, None] + mean[:, 0] - 2 * (points @ mean[:, 1:].T)

@@ -211,3 +211,18 @@ def test_vectors_survive_the_layout(copied):
     model = fit_kmeans(copied, 2)
     rows = assign(copied.select(vector_to_array("scaled").alias("v"), "scaled"), model)
     assert rows.count() == 300
+
+
+def test_executor_functions_need_no_package():
+    """They are sent whole, so a Python without this package can run them."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from larder.operators.cluster import score_partition, sum_partition
+
+    functions = cloudpickle.dumps((sum_partition([2, 3]), score_partition([np.ones((2, 4))])))
+    code = "import pickle, sys; print(len(pickle.loads(sys.stdin.buffer.read())))"
+    run = subprocess.run([sys.executable, "-c", code], input=functions, capture_output=True, cwd="/", timeout=60)
+    assert run.stdout.strip() == b"2", run.stderr
