@@ -1,4 +1,4 @@
-from larder.functions.columns import column, is_missing, is_present
+from larder.functions.columns import column, present
 from larder.functions.text import words
 
-__all__ = ["column", "is_missing", "is_present", "words"]
+__all__ = ["column", "present", "words"]

@@ -11,13 +11,9 @@ def column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def is_missing(field: T.StructField) -> Column:
-    """True where a value is null or, for floating point, NaN."""
+def present(field: T.StructField) -> Column:
+    """The value, or null where it is missing: null or, for floating point, NaN."""
     value = column(field.name)
     if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
-        return value.isNull() | F.isnan(value)
-    return value.isNull()
-
-
-def is_present(field: T.StructField) -> Column:
-    return ~is_missing(field)
+        return F.nanvl(value, F.lit(None))
+    return value

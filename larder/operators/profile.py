@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from larder.functions import is_present
+from larder.functions import present
 
 
 def column_types(df: DataFrame) -> DataFrame:
@@ -20,20 +20,16 @@ def column_profile(df: DataFrame) -> DataFrame:
     fields = df.schema.fields
     counts = df.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        *[F.count_if(is_present(f)).alias(f"present_{i}") for i, f in enumerate(fields)],
+        F.array(*[F.count(present(f)) for f in fields]).alias("n_present"),
     )
-    profile = F.array(
-        *[
-            F.struct(
-                F.lit(f.name).alias("column_name"),
-                F.lit(f.dataType.simpleString()).alias("data_type"),
-                (F.col("n_rows") - F.col(f"present_{i}")).alias("n_missing"),
-                F.col(f"present_{i}").alias("n_present"),
-            )
-            for i, f in enumerate(fields)
-        ]
+    names = F.lit([f.name for f in fields])
+    types = F.lit([f.dataType.simpleString() for f in fields])
+    return counts.select("n_rows", F.posexplode("n_present").alias("i", "n_present")).select(
+        names[F.col("i")].alias("column_name"),
+        types[F.col("i")].alias("data_type"),
+        (F.col("n_rows") - F.col("n_present")).alias("n_missing"),
+        "n_present",
     )
-    return counts.select(F.inline(profile))
 
 
 def null_profile(df: DataFrame) -> DataFrame:

@@ -109,26 +109,31 @@ def blank_tokens(df: DataFrame, tokens: Sequence[str] = NA_TOKENS) -> DataFrame:
 def infer_types(df: DataFrame) -> DataFrame:
     """Type the string columns whose every present value is a number or a boolean.
 
-    One aggregation looks at all columns at once. Whole numbers become ``bigint``, other
-    numbers ``double``, true/false texts ``boolean``; mixed columns, texts and columns
-    without any value stay strings, and so do dates.
+    One aggregation looks at all columns at once: it turns them into rows, which keeps the
+    generated code small for hundreds of columns, and each task reduces them to one row per
+    column. Whole numbers become ``bigint``, other numbers ``double``, true/false texts
+    ``boolean``; mixed columns, texts and columns without any value stay strings, and so do
+    dates.
     """
     strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not strings:
         return df
-    seen = df.agg(
-        *[
+    text = F.col("text")
+    seen = (
+        df.select(F.posexplode(F.array(*[column(name) for name in strings])).alias("i", "text"))
+        .groupBy("i")
+        .agg(
             F.bit_or(
-                F.when(column(name).rlike(INTEGER), 1)
-                .when(column(name).rlike(NUMBER), 2)
-                .when(column(name).rlike(BOOLEAN), 4)
-                .when(column(name).isNotNull(), 8)
-            )
-            for name in strings
-        ]
-    ).first()
+                F.when(text.rlike(INTEGER), 1)
+                .when(text.rlike(NUMBER), 2)
+                .when(text.rlike(BOOLEAN), 4)
+                .when(text.isNotNull(), 8)
+            ).alias("bits")
+        )
+        .collect()
+    )
     kinds = {1: "bigint", 2: "double", 3: "double", 4: "boolean"}
-    target = {name: kinds[bits] for name, bits in zip(strings, seen) if bits in kinds}
+    target = {strings[row["i"]]: kinds[row["bits"]] for row in seen if row["bits"] in kinds}
     return df.select(
         [
             column(name).cast(target[name]).alias(name) if name in target else column(name)
