@@ -28,7 +28,7 @@ from larder.operators.shape import (
 )
 from larder.operators.text import word_count
 from larder.plans.clustering import score_published
-from larder.plans.datamart import publish_scaled
+from larder.plans.datamart import publish_scaled, scale_jdbc_table
 from larder.plans.products import clean_products, load_products_jdbc, load_products_table
 from larder.plans.wordcount import count_words
 from larder.session import new_run_dir
@@ -344,6 +344,18 @@ def jdbc_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def jdbc_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    url = embedded_database()
+    rows = table(spark, sf_dir, "customer").select(
+        F.nullif("c_nationkey", F.lit(0)).alias("c_nationkey"), "c_acctbal"
+    )
+    write_jdbc(rows, url, "features", properties=EMBEDDED)
+    values = vector_to_array("scaled")
+    return scale_jdbc_table(spark, url, "features", properties=EMBEDDED).select(
+        *[F.round(values[i], 6).alias(f"f{i}") for i in range(2)]
+    )
+
+
 def published_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = new_run_dir(spark, "events")
     path = publish_parquet(table(spark, sf_dir, "events"), run, "1")
@@ -403,6 +415,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "table_load": table_load,
         "jdbc_roundtrip": jdbc_roundtrip,
         "jdbc_load": jdbc_load,
+        "jdbc_scaled": jdbc_scaled,
         "published_batch": published_batch,
         "published_nearest": published_nearest,
     }
@@ -583,6 +596,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT c_nationkey, count(*) AS n, max(c_acctbal::FLOAT)::DOUBLE AS top
             FROM customer GROUP BY c_nationkey
         """,
+        "jdbc_scaled": """
+            SELECT round(c_nationkey / stddev_samp(c_nationkey) OVER (), 6) AS f0,
+                   round(c_acctbal / stddev_samp(c_acctbal) OVER (), 6) AS f1
+            FROM customer WHERE c_nationkey <> 0
+        """,
         "published_batch": "SELECT event_type, count(*) AS n FROM events GROUP BY event_type",
         "published_nearest": NEAREST,
     }

@@ -9,9 +9,10 @@ import pytest
 from larder.__main__ import main
 from larder.operators.features import NUTRITION_COLUMNS
 from larder.plans.clustering import score_published
-from larder.plans.datamart import publish_scaled
+from larder.plans.datamart import publish_scaled, scale_jdbc_table
 from larder.plans.products import PRODUCT_TABLE, clean_products, load_products_jdbc, load_products_table
 from larder.session import CHECKPOINT_DIR, new_run_dir, shared_dir
+from larder.sinks import write_jdbc
 from larder.sources import read_csv, read_jdbc
 
 
@@ -88,6 +89,17 @@ def test_load_products(spark, products, embedded, tmp_path):
     spark.sql("DROP TABLE larder_food")
 
 
+def test_scale_a_database_table(spark, embedded):
+    url, properties = embedded
+    rows = spark.createDataFrame([(1, 2.0), (2, None), (3, 6.0)], "a int, b double")
+    write_jdbc(rows, url, "t", properties=properties)
+    scaled = scale_jdbc_table(
+        spark, url, "t", output_col="scaled_features", partition_column="a", num_partitions=2, properties=properties
+    )
+    found = sorted(row["scaled_features"].toArray().tolist() for row in scaled.collect())
+    assert found == [pytest.approx([1 / 2**0.5, 2 / 8**0.5]), pytest.approx([3 / 2**0.5, 6 / 8**0.5])]
+
+
 def test_command_line(spark, products, raw_dump, tmp_path, capsys, monkeypatch):
     main(["datamart", products, f"{tmp_path}/scaled", "--run-id", "1"])
     assert "run_id=1" in capsys.readouterr().out
