@@ -191,6 +191,12 @@ def skip_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_values(rows, "features", ["l_orderkey", "l_linenumber"])
 
 
+def reject_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A null or NaN would fail the job; ``lineitem`` has none."""
+    rows = assemble(table(spark, sf_dir, "lineitem"), MEASURES, handle_invalid="error")
+    return vector_values(rows, "features", ["l_orderkey", "l_linenumber"])
+
+
 def column_std(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_scaler(assemble(table(spark, sf_dir, "lineitem"), MEASURES))
     rows = [(name, round(float(std), 6)) for name, std in zip(MEASURES, model.std)]
@@ -397,6 +403,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clean_table": clean_table,
         "clean_raw_file": clean_raw_file,
         "skip_invalid": skip_invalid,
+        "reject_invalid": reject_invalid,
         "column_std": column_std,
         "scaled_lineitem": scaled_lineitem,
         "published_scaled": published_scaled,
@@ -568,6 +575,11 @@ def oracle_sql() -> dict[str, str]:
                    round(l_discount, 6) AS f2, round(l_tax, 6) AS f3
             FROM ({HOLED}) WHERE l_discount IS NOT NULL AND l_tax IS NOT NULL
         """,
+        "reject_invalid": """
+            SELECT l_orderkey, l_linenumber, round(l_quantity, 6) AS f0, round(l_extendedprice, 6) AS f1,
+                   round(l_discount, 6) AS f2, round(l_tax, 6) AS f3
+            FROM lineitem
+        """,
         "column_std": " UNION ALL ".join(
             f"SELECT '{name}' AS column_name, round(stddev_samp({name}), 6) AS std FROM lineitem"
             for name in MEASURES

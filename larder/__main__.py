@@ -11,7 +11,7 @@ from larder.plans.datamart import publish_scaled
 from larder.plans.products import clean_products, load_products_jdbc, load_products_table
 from larder.plans.wordcount import count_words
 from larder.sinks import write_csv, write_parquet
-from larder.sources import blank_tokens, infer_types, read_csv, read_tsv
+from larder.sources import blank_tokens, read_csv, read_tsv
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -80,7 +80,7 @@ def main(argv: list[str] | None = None) -> None:
         )
         write_csv(cleaned, args.output)
     elif args.job == "load":
-        rows = infer_types(blank_tokens(read_csv(spark, args.csv)))
+        rows = blank_tokens(read_csv(spark, args.csv))
         if args.url:
             properties = dict(pair.split("=", 1) for pair in args.property)
             load_products_jdbc(rows, args.url, args.table, properties=properties)
