@@ -24,6 +24,7 @@ SMALL_PARTITIONS = 4_096
 BYTES_PER_PARTITION = 256 << 20
 TASKS_PER_CORE = 4
 MODEL_BYTES = 256 << 20
+IDS_IN_PLAN = 1_000
 
 
 def vector_shape(df: DataFrame, features_col: str) -> tuple[int, int]:
@@ -119,8 +120,9 @@ def nearest_centroid(
     """Add the ``id_col`` of the nearest row of a small table of given centroids.
 
     Every centroid is a cluster of its own, so a k-means model fitted to that table has them
-    as its centres and assigns points without pairing them. Equal centroids count as the one
-    with the smallest id.
+    as its centres and assigns points without pairing them. Their ids are looked up in the
+    plan, or by a join on the centre's index where there are many. Equal centroids count as
+    the one with the smallest id.
     """
     shared_dir(df.sparkSession)
     table = centroids.select(column(id_col), column(features_col)).checkpoint()
@@ -141,10 +143,14 @@ def nearest_centroid(
         k=size,
         seed=0,
     ).fit(table)
-    by_index = model.transform(table).groupBy(output_col).agg(F.min(column(id_col)).alias("id"))
-    names = {row[output_col]: row["id"] for row in by_index.collect()}
-    ids = F.array(*[F.lit(names[i]) for i in sorted(names)]).cast(T.ArrayType(id_type))
-    return model.transform(df).withColumn(output_col, ids[column(output_col)])
+    by_index = model.transform(table).groupBy(output_col).agg(F.min(column(id_col)).alias("larder_id"))
+    found = model.transform(df)
+    if size > IDS_IN_PLAN:
+        named = found.join(by_index, output_col).withColumn(output_col, F.col("larder_id"))
+        return named.select([column(name) for name in found.columns])
+    ids = {row[output_col]: row["larder_id"] for row in by_index.collect()}
+    names = F.lit([ids[i] for i in sorted(ids)]).cast(T.ArrayType(id_type))
+    return found.withColumn(output_col, names[column(output_col)])
 
 
 def silhouette(df: DataFrame, features_col: str = "scaled", prediction_col: str = "prediction") -> float:

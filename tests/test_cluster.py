@@ -186,6 +186,18 @@ def test_given_centroids(spark, points):
     assert np.allclose(distance[np.arange(len(found)), at], distance.min(axis=1))
 
 
+def test_many_centroids_are_named_by_a_join(spark, points, monkeypatch):
+    from larder.operators import cluster
+
+    rows = [(f"c{i}", Vectors.dense(i / 10, 1.0, 1.0, 1.0)) for i in range(40)]
+    table = spark.createDataFrame(rows, ["label", "scaled"])
+    few = nearest_centroid(points, table)
+    monkeypatch.setattr(cluster, "IDS_IN_PLAN", 10)
+    many = nearest_centroid(points, table)
+    assert many.columns == few.columns
+    assert many.exceptAll(few).count() == 0 and many.count() == few.count() == 6000
+
+
 def test_one_centroid_and_equal_centroids(spark, copied):
     one = spark.createDataFrame([("a", Vectors.dense(1.0, 1.0, 1.0))], ["label", "scaled"])
     assert {row["nearest"] for row in nearest_centroid(copied, one).collect()} == {"a"}
