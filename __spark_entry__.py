@@ -43,6 +43,17 @@ from larder.streaming import (
     stream_files,
 )
 
+try:
+    import corpus_pipeline
+    from larder.llm.queries import llm_oracle_sql, llm_queries
+
+    LLM_QUERIES = llm_queries() | {"pipeline": corpus_pipeline.run}
+    LLM_SQL = llm_oracle_sql()
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "larder.llm"):
+        raise
+    LLM_QUERIES, LLM_SQL = {}, {}
+
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -385,7 +396,7 @@ def published_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    return LLM_QUERIES | {
         "word_count_documents": word_count_documents,
         "word_count_conversations": word_count_conversations,
         "word_count_files": word_count_files,
@@ -534,7 +545,7 @@ def oracle_sql() -> dict[str, str]:
              "q1", "l_returnflag")
     part = {"p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p_type": "string",
             "p_size": "int", "p_retailprice": "double"}
-    return {
+    return LLM_SQL | {
         "word_count_documents": words_of("documents"),
         "word_count_conversations": words_of("conversations"),
         "word_count_files": words_of("documents"),
