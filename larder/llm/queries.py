@@ -6,13 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from larder.llm.chat import OP7_SQL, op7_chat
 from larder.llm.exact_dedup import OP1_SQL, op1_exact_dedup
+from larder.llm.packing import op6_packing
+from larder.llm.pages import op3_html_text
+from larder.llm.secrets import op8_secrets
 from larder.llm.shards import op5_sharding
+from larder.llm.toxicity import op2_toxicity
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_exact_dedup": op1_exact_dedup, "op5_sharding": op5_sharding}
+    return {
+        "op1_exact_dedup": op1_exact_dedup,
+        "op2_toxicity": op2_toxicity,
+        "op3_html_text": op3_html_text,
+        "op5_sharding": op5_sharding,
+        "op6_packing": op6_packing,
+        "op7_chat": op7_chat,
+        "op8_secrets": op8_secrets,
+    }
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op7_chat": OP7_SQL}
