@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.llm.chat import OP7_SQL, op7_chat
+from larder.llm.decontaminate import op9_decontaminate
 from larder.llm.exact_dedup import OP1_SQL, op1_exact_dedup
+from larder.llm.jaccard import op4_ngram_jaccard
 from larder.llm.packing import op6_packing
 from larder.llm.pages import op3_html_text
 from larder.llm.secrets import op8_secrets
 from larder.llm.shards import op5_sharding
+from larder.llm.spans import op10_spans
 from larder.llm.toxicity import op2_toxicity
 
 
@@ -20,10 +23,13 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_exact_dedup": op1_exact_dedup,
         "op2_toxicity": op2_toxicity,
         "op3_html_text": op3_html_text,
+        "op4_ngram_jaccard": op4_ngram_jaccard,
         "op5_sharding": op5_sharding,
         "op6_packing": op6_packing,
         "op7_chat": op7_chat,
         "op8_secrets": op8_secrets,
+        "op9_decontaminate": op9_decontaminate,
+        "op10_spans": op10_spans,
     }
 
 
