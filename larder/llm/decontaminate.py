@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from larder.functions import column
 from larder.llm.common import map_batches, saved, text_of
@@ -38,7 +39,7 @@ def document_counts(docs: DataFrame, numbers: dict[str, int]) -> tuple[np.ndarra
         rows = 0
         for batch in batches:
             rows += batch.num_rows
-            for text in batch["text"].to_pylist():
+            for text in batch["larder_text"].to_pylist():
                 met = {numbers[word] for word in known.intersection(WORD.findall(text.lower()))}
                 total[list(met)] += 1
         met = np.flatnonzero(total)
@@ -49,7 +50,7 @@ def document_counts(docs: DataFrame, numbers: dict[str, int]) -> tuple[np.ndarra
             }
         )
 
-    parts = docs.select("text").mapInArrow(count, "i int, n bigint").groupBy("i").agg(F.sum("n").alias("n"))
+    parts = docs.select("larder_text").mapInArrow(count, "i int, n bigint").groupBy("i").agg(F.sum("n").alias("n"))
     found = {row["i"]: row["n"] for row in parts.collect()}
     rows = found.pop(-1, 0)
     out = np.zeros(size, np.int64)
@@ -161,14 +162,13 @@ def answer_of(text: str) -> list[str]:
 def find_contamination(
     docs: DataFrame,
     benchmark: DataFrame,
-    id_col: str = "doc_id",
     text_col: str = "text",
     item_col: str = "item_id",
     dims: int = DIMENSIONS,
     least_cosine: float = LEAST_COSINE,
     least_overlap: float = LEAST_OVERLAP,
 ) -> DataFrame:
-    """``(doc_id, contaminated, items, overlap)`` of every document.
+    """Add ``contaminated``, ``items`` and ``overlap`` to every document.
 
     Every window of 32 words, each half overlapping the next, is compared with every
     benchmark passage by the cosine in the latent space; where it is at least
@@ -183,11 +183,13 @@ def find_contamination(
     benchmark's words cannot reach the cosine and is passed over. The benchmark goes to every task and must have at most 100,000 items, else an error is raised.
 
     Null and empty texts and items without words or ids match nothing; equal items are all
-    listed; repeated rows give repeated results; an empty benchmark finds nothing.
+    listed; repeated rows give repeated results; an empty benchmark finds nothing. Input
+    columns with the names of the outputs are replaced; ``larder_text`` is reserved.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"{id_col} {kind}, contaminated boolean, items array<bigint>, overlap double"
-    docs = docs.select(column(id_col).alias("larder_id"), text_of(text_col).alias("text"))
+    fields = [field for field in docs.schema.fields if field.name not in ("contaminated", "items", "overlap")]
+    added = T.StructType.fromDDL("contaminated boolean, items array<bigint>, overlap double").fields
+    names = [field.name for field in fields]
+    rows = docs.withColumn("larder_text", text_of(text_col))
     items = saved(
         benchmark.select(column(item_col).cast("bigint").alias("item"), text_of("text").alias("text")).where("item is not null"),
         "bench",
@@ -198,9 +200,9 @@ def find_contamination(
     plain = passages.orderBy("item", "passage").collect()
     if not plain:
         nothing = F.lit(False).alias("contaminated"), F.array().cast("array<bigint>").alias("items")
-        return docs.select(F.col("larder_id").alias(id_col), *nothing, F.lit(0.0).alias("overlap"))
+        return docs.select(*[column(name) for name in names], *nothing, F.lit(0.0).alias("overlap"))
     numbers = numbered({word for row in plain for word in row["words"]})
-    counts, n_docs = document_counts(docs, numbers)
+    counts, n_docs = document_counts(rows, numbers)
     # a word outside the benchmark weighs like the rarest
     idf = np.log((1 + n_docs) / (1 + counts)) + 0.05
     dims = max(1, min(dims, len(plain)))
@@ -214,12 +216,12 @@ def find_contamination(
         texts.setdefault(row["item"], []).append((WORD.findall(row["text"].lower()), answer_of(row["text"])))
     search = searcher(
         numbers, idf.astype(np.float32), (idf[:, None] * basis).astype(np.float32), latent, [row["item"] for row in plain],
-        texts, least_cosine, least_overlap,
+        texts, least_cosine, least_overlap, names,
     )
-    return map_batches(docs, schema, search)
+    return map_batches(rows, T.StructType([*fields, *added]), search)
 
 
-def searcher(numbers, idf, vectors, latent, owners, texts, least_cosine, least_overlap):
+def searcher(numbers, idf, vectors, latent, owners, texts, least_cosine, least_overlap, names):
     """For :func:`map_batches`: found items and the largest overlap of each document."""
     square = np.square(idf)
     inside = square.copy()
@@ -251,7 +253,7 @@ def searcher(numbers, idf, vectors, latent, owners, texts, least_cosine, least_o
         get = numbers.get
 
         def work(batch: pa.RecordBatch) -> list:
-            texts_read = batch["text"].to_pylist()
+            texts_read = batch["larder_text"].to_pylist()
             found: list[int] = []
             sizes = np.zeros(len(texts_read), np.int64)
             for i, text in enumerate(texts_read):
@@ -289,7 +291,7 @@ def searcher(numbers, idf, vectors, latent, owners, texts, least_cosine, least_o
                         items[i].add(item)
                         overlap[i] = max(overlap[i], share)
             lists = [sorted(x) for x in items]
-            return [batch["larder_id"], [bool(x) for x in lists], lists, overlap]
+            return [*[batch[name] for name in names], [bool(x) for x in lists], lists, overlap]
 
         return work
 
@@ -298,4 +300,5 @@ def searcher(numbers, idf, vectors, latent, owners, texts, least_cosine, least_o
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", "contaminated", "items", "overlap")

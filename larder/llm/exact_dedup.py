@@ -33,24 +33,8 @@ def surviving(df: DataFrame, text_col: str) -> DataFrame:
     return sized.where("n > 1").join(small(lengths), "size", "left_semi").select("size", "prefix")
 
 
-def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Mark the copies of every text: the input's columns and ``keep_id``, ``group_size``,
-    ``kept``, ``listings``.
-
-    Texts are equal if they are so without spaces, tabs and line breaks. Of equal texts the
-    row with the most code points in its own text stays, then the one with the least id.
-    Null texts count as empty, and empty texts are copies of one another. A null id comes
-    last among equals; its row's ``keep_id`` is null only if no row of the group has an id.
-    A row listed twice with the same id and text is one document: if it stays, each listing
-    is ``kept``, and ``listings`` says how many there are (else 1). An empty table gives an
-    empty table. An input column with the name of an output is replaced; names that begin
-    with ``larder_`` are reserved.
-
-    Whole texts are hashed only where length and prefix occur twice, and no text is
-    shuffled: groups are counted by hash before they travel, so a group that holds a third
-    of all rows is one row per task. The join that hands the groups out can be split.
-    """
-    names = [column(name) for name in df.columns if name not in OUTPUT]
+def grouped(df: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The rows with their group's figures, and the stored table of groups."""
     text = text_of(text_col)
     norm = normalised(text)
     sized = df.withColumns(
@@ -94,19 +78,58 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     joined = hashed.withColumn("larder_key", key).join(
         small(groups), F.col("larder_key") == F.col("larder_group"), "left"
     )
+    return joined, groups
+
+
+def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Mark the copies of every text: the input's columns and ``keep_id``, ``group_size``,
+    ``kept``, ``listings``.
+
+    Texts are equal if they are so without spaces, tabs and line breaks. Of equal texts the
+    row with the most code points in its own text stays, then the one with the least id.
+    Null texts count as empty, and empty texts are copies of one another. A null id comes
+    last among equals; its row's ``keep_id`` is null only if no row of the group has an id.
+    A row listed twice with the same id and text is one document: if it stays, each listing
+    is ``kept``, and ``listings`` says how many there are (else 1). An empty table gives an
+    empty table. An input column with the name of an output is replaced; names that begin
+    with ``larder_`` are reserved.
+
+    Whole texts are hashed only where length and prefix occur twice. Groups are counted by
+    hash before they are shuffled, so a group that holds a third of all rows is one row per
+    task. The groups are broadcast if a count shows that they are few; beyond, the join that
+    hands them out shuffles the rows and can be split.
+    """
+    names = [column(name) for name in df.columns if name not in OUTPUT]
+    joined, _ = grouped(df, id_col, text_col)
+    return joined.select(*names, *decisions(id_col))
+
+
+def decisions(id_col: str) -> list[Column]:
     own = column(id_col).cast("bigint")
     alone = F.col("larder_group").isNull()
     mine = alone | (
         (F.col("larder_keep_chars") == F.col("larder_chars")) & F.col("larder_keep_id").eqNullSafe(own)
     )
     one = F.lit(1).cast("bigint")
-    return joined.select(
-        *names,
+    return [
         F.when(alone, own).otherwise(F.col("larder_keep_id")).alias("keep_id"),
         F.coalesce("larder_group_size", one).alias("group_size"),
         mine.alias("kept"),
         F.when(mine, F.coalesce("larder_listings", one)).otherwise(one).alias("listings"),
-    )
+    ]
+
+
+def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that :func:`exact_dedup` keeps, a document that is listed twice only once."""
+    joined, groups = grouped(df, id_col, text_col)
+    names = [column(name) for name in df.columns]
+    kept, listings = (found.alias(f"larder_{i}") for i, found in enumerate(decisions(id_col)[2:]))
+    rows = joined.select(*names, "larder_hash", kept, listings).where("larder_0")
+    if groups.where("larder_listings > 1").isEmpty():
+        return rows.select(*names)
+    once = rows.where("larder_1 = 1")
+    often = rows.where("larder_1 > 1").dropDuplicates(["larder_hash"])
+    return once.unionByName(often).select(*names)
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

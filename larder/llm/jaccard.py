@@ -114,11 +114,11 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                             for b in range(BANDS)
                         ]
                     )
-            return [batch["doc"], codes, counts, bands, signatures]
+            return [batch["doc"], batch["hash"], codes, counts, bands, signatures]
 
         return work
 
-    schema = "doc bigint, code binary, n int, bands array<bigint>, signature binary"
+    schema = "doc bigint, hash bigint, code binary, n int, bands array<bigint>, signature binary"
     return map_batches(docs, schema, make)
 
 
@@ -365,8 +365,22 @@ def near_duplicates(
     gives an empty table.
     """
     kind = df.schema[id_col].dataType.simpleString()
+    joined = joined_rows(df, id_col, text_col, threshold, size, tolerance)
+    return joined.select(
+        F.when(F.col("doc") >= 0, F.col("doc")).cast(kind).alias(id_col),
+        F.col("class_id").cast(kind).alias("class_id"),
+        F.col("rep").cast(kind).alias("rep_id"),
+        "copies",
+        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+    )
+
+
+def joined_rows(
+    df: DataFrame, id_col: str, text_col: str, threshold: float, size: int, tolerance: float
+) -> DataFrame:
+    """Per row: its key and text hash, its set's and class's figures, and the class's number."""
     text = text_of(text_col)
-    docs = df.select(key_of(id_col, text).alias("doc"), text.alias("text"))
+    docs = df.select(key_of(id_col, text).alias("doc"), F.xxhash64(text).alias("hash"), text.alias("text"))
     signed = signatures(docs, size).withColumn("row", F.monotonically_increasing_id())
     signed = saved(signed, "signatures")
     sets = saved(
@@ -392,15 +406,42 @@ def near_duplicates(
         "named",
     )
     least_id = saved(named.groupBy("component").agg(F.min("rep").alias("class_id")), "classes")
-    named = saved(named.join(least_id, "component").select("code", "class_id", "rep", "copies", "n_links"), "members")
-    joined = signed.select("doc", "code").join(named, "code")
-    return joined.select(
-        F.when(F.col("doc") >= 0, F.col("doc")).cast(kind).alias(id_col),
-        F.col("class_id").cast(kind).alias("class_id"),
-        F.col("rep").cast(kind).alias("rep_id"),
-        "copies",
-        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
-    )
+    named = saved(named.join(least_id, "component").select("code", "component", "class_id", "rep", "copies", "n_links"), "members")
+    return signed.select("doc", "hash", "code").join(named, "code")
+
+
+def drop_near_copies(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: float = THRESHOLD,
+    size: int = SHINGLE,
+    tolerance: float = TOLERANCE,
+) -> DataFrame:
+    """One row of each class of :func:`near_duplicates`: the one with the least id, and of
+    texts with that id the one with the least hash. Rows without an id come last.
+
+    What goes is joined to the rows, not what stays, as that is the smaller part.
+    """
+    rows = saved(joined_rows(df, id_col, text_col, threshold, size, tolerance).select("doc", "hash", "component"), "near-rows")
+    order = F.struct((F.col("doc") < 0).alias("no_id"), "doc", "hash")
+    classes = rows.groupBy("component").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")
+    classes = saved(classes.select(F.col("component").alias("class"), "first.doc", "first.hash"), "near-classes")
+    keeper = small(classes.withColumnsRenamed({"doc": "first_doc", "hash": "first_hash"}))
+    stays = (F.col("doc") == F.col("first_doc")) & (F.col("hash") == F.col("first_hash"))
+    inside = rows.join(keeper, F.col("component") == F.col("class")).withColumn("stays", stays)
+    marked = saved(inside.groupBy("doc", "hash", "stays").agg(F.count("*").alias("n")), "near-marked")
+    text = text_of(text_col)
+    same = (key_of(id_col, text) == F.col("doc")) & (F.xxhash64(text) == F.col("hash"))
+    names = [column(name) for name in df.columns]
+    keyed = df.select(*names)
+    left = keyed.join(small(marked.where("not stays").select("doc", "hash")), same, "left_anti")
+    twice = marked.where("stays and n > 1").select("doc", "hash")
+    if twice.isEmpty():
+        return left
+    once = left.join(small(twice), same, "left_anti")
+    often = left.join(small(twice), same).dropDuplicates(["doc", "hash"]).select(*names)
+    return once.unionByName(often)
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from larder.functions import column
 from larder.llm.common import map_batches, saved, small, text_of
@@ -206,7 +207,7 @@ def fit_toxicity(
     return dict(zip(names, weights.tolist())) | {"": bias}
 
 
-def scorer(model: dict[str, float]):
+def scorer(model: dict[str, float], names: list[str]):
     """Score, and the start, end and score of every sentence that alone would be called toxic."""
 
     def make():
@@ -239,28 +240,27 @@ def scorer(model: dict[str, float]):
                         found.append({"start": start, "end": end, "score": p})
                 scores.append(min(1.0, max(0.0, -math.expm1(clean))))
                 spans.append(found)
-            return [batch["larder_id"], scores, spans]
+            return [*[batch[name] for name in names], scores, spans]
 
         return work
 
     return make
 
 
-SCORED = "doc_id {}, score double, sentences array<struct<start: int, end: int, score: double>>"
-
-
-def score_toxicity(
-    df: DataFrame, model: dict[str, float], id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``(doc_id, score, sentences)``: the noisy-or of all sentences' scores, and the
-    offending sentences as code point spans with scores.
+def score_toxicity(df: DataFrame, model: dict[str, float], text_col: str = "text") -> DataFrame:
+    """Add ``score``, the noisy-or of all sentences' scores, and ``sentences``, the offending
+    ones as code point spans with scores.
 
     Whole texts are read. A text without words, empty or null, has no sentence: score 0.
-    Every row is scored by itself, so repeated rows give repeated results.
+    Every row is scored by itself, so repeated rows give repeated results and an empty table
+    an empty one. Input columns named ``score`` or ``sentences`` are replaced; the name
+    ``larder_text`` is reserved.
     """
-    kind = df.schema[id_col].dataType.simpleString()
-    texts = df.select(column(id_col).alias("larder_id"), text_of(text_col).alias("larder_text"))
-    return map_batches(texts, SCORED.format(kind), scorer(model))
+    added = "score double, sentences array<struct<start: int, end: int, score: double>>"
+    fields = [field for field in df.schema.fields if field.name not in ("score", "sentences")]
+    schema = T.StructType([*fields, *T.StructType.fromDDL(added).fields])
+    names = [field.name for field in fields]
+    return map_batches(df.withColumn("larder_text", text_of(text_col)), schema, scorer(model, names))
 
 
 def held_out(id_col: str) -> Column:
