@@ -6,6 +6,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ ROUNDS = 24
 LEAST_WORDS = 6
 SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 WORD = re.compile(r"\w+")
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 500_000
 
 
 def features_of(word: str) -> tuple[str, ...]:
@@ -29,6 +30,21 @@ def features_of(word: str) -> tuple[str, ...]:
     return (word, *(word[:n] + "*" for n in (4, 5, 6) if len(word) > n))
 
 
+def remembered(function):
+    """The function of a word, looked up for words met before."""
+    memo: dict = {}
+
+    def look(word: str):
+        found = memo.get(word)
+        if found is None:
+            if len(memo) >= MEMO_WORDS:
+                memo.clear()
+            found = memo[word] = function(word)
+        return found
+
+    return look
+
+
 def sentences_of(text: str) -> list[tuple[int, int, list[str]]]:
     """Start, end and lower-case words of each sentence.
 
@@ -55,11 +71,12 @@ def count_features():
     """A function for ``mapInArrow``: a task's document counts of each feature, by label."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = remembered(features_of)
         for batch in batches:
             counts: tuple[Counter, Counter] = (Counter(), Counter())
             for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
                 words = set(WORD.findall(text.lower()))
-                counts[toxic].update({feature for word in words for feature in features_of(word)})
+                counts[toxic].update({*chain.from_iterable(map(features, words))})
             names = list(counts[0].keys() | counts[1].keys())
             yield pa.RecordBatch.from_pydict(
                 {
@@ -95,24 +112,17 @@ def informative(train: DataFrame, n_clean: int, n_toxic: int, limit: int) -> Dat
 
 
 def sentence_features(index: dict[str, int]):
-    """Per document: the chosen features of each sentence as one list, and their counts."""
+    """Per document: the chosen features of the distinct words of each sentence, sentence
+    after sentence, and how many each has."""
 
     def make():
-        memo: dict[str, tuple[int, ...]] = {}
-
-        def ids(word: str) -> tuple[int, ...]:
-            found = memo.get(word)
-            if found is None:
-                if len(memo) >= MEMO_WORDS:
-                    memo.clear()
-                found = memo[word] = tuple(index[f] for f in features_of(word) if f in index)
-            return found
+        ids = remembered(lambda word: tuple(index[f] for f in features_of(word) if f in index))
 
         def work(batch: pa.RecordBatch) -> list:
             lists, sizes = [], []
             for text in batch["text"].to_pylist():
-                per = [sorted({i for word in words for i in ids(word)}) for _, _, words in sentences_of(text)]
-                lists.append([i for one in per for i in one])
+                per = [[*chain.from_iterable(map(ids, dict.fromkeys(words)))] for _, _, words in sentences_of(text)]
+                lists.append([*chain.from_iterable(per)])
                 sizes.append([len(one) for one in per])
             return [batch["toxic"], lists, sizes]
 
@@ -211,30 +221,16 @@ def scorer(model: dict[str, float], names: list[str]):
     """Score, and the start, end and score of every sentence that alone would be called toxic."""
 
     def make():
-        memo: dict[str, tuple[str, ...]] = {}
         bias = model[""]
-
-        def known(word: str) -> tuple[str, ...]:
-            found = memo.get(word)
-            if found is None:
-                if len(memo) >= MEMO_WORDS:
-                    memo.clear()
-                found = memo[word] = tuple(f for f in features_of(word) if f in model)
-            return found
-
-        plain = math.log1p(-1 / (1 + math.exp(-bias)))
+        weight = remembered(lambda word: sum(model.get(f, 0.0) for f in features_of(word)))
 
         def work(batch: pa.RecordBatch) -> list:
             scores, spans = [], []
             for text in batch["larder_text"].to_pylist():
                 clean, found = 0.0, []
                 for start, end, words in sentences_of(text):
-                    met = {f for word in words for f in known(word)}
-                    if not met:
-                        clean += plain
-                        continue
-                    z = min(30.0, max(-30.0, bias + sum(model[f] for f in sorted(met))))
-                    p = 1 / (1 + math.exp(-z))
+                    z = bias + sum(map(weight, dict.fromkeys(words)))
+                    p = 1 / (1 + math.exp(-min(30.0, max(-30.0, z))))
                     clean += math.log1p(-p)
                     if p >= 0.5:
                         found.append({"start": start, "end": end, "score": p})
