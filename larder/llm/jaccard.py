@@ -237,7 +237,8 @@ def candidate_edges(reps: DataFrame, least: list[int]) -> DataFrame:
     buckets = saved(buckets, "buckets")
     members = entries.withColumnRenamed("key", "group").join(small(buckets.select("group")), "group", "left_semi")
     members = saved(in_blocks(members, "group", small(buckets), "node"), "members")
-    rows = members.join(reps.select("node", "signature"), "node")
+    near = small(saved(members.select("node").distinct(), "near"))
+    rows = members.join(reps.join(near, "node", "left_semi").select("node", "signature"), "node")
 
     def run(table: pa.Table) -> Iterator[pa.RecordBatch]:
         nodes = np.asarray(table["node"])
@@ -387,8 +388,9 @@ def joined_rows(
         signed.groupBy("code").agg(F.min("row").alias("node"), F.min(F.when(F.col("doc") >= 0, F.col("doc"))).alias("rep"), F.count("*").alias("copies")),
         "sets",
     )
-    reps = signed.where("n > 0").join(sets.select("node"), F.col("row") == F.col("node"))
-    reps = saved(reps.select("node", "doc", "code", "bands", "signature"), "reps")
+    copies = saved(sets.where("copies > 1").select("code", "node"), "copies")
+    other = signed.select("code", "row").join(small(copies), "code").where("row != node").select("row")
+    reps = signed.where("n > 0").join(small(saved(other, "others")), "row", "left_anti").withColumnRenamed("row", "node")
     least = least_matches(threshold, tolerance)
     near = saved(rounds_of_components(candidate_edges(reps, least)), "candidates")
     near = near.withColumnRenamed("component", "group")
