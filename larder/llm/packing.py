@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from bisect import bisect_left, insort
+from itertools import chain
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -15,45 +19,94 @@ from larder.llm.common import map_batches, ranked, saved, text_of
 CAPACITY = 4096
 END_ID = 1
 MEMO_WORDS = 400_000
+LATIN = re.compile(r"^([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)$", re.M)
 
 
-def tokenised(tokenizer: str | None, capacity: int, end_id: int):
-    """Pieces of each text: their starts, lengths and checksums.
+def word_encoder(path: str):
+    """A function from lists of words to the bytes of their ids, as a dictionary.
 
-    The tokenizer's own rules never join what a space or line break parts, so words are
-    encoded once and looked up afterwards.
+    The tokenizer lowers case, drops white space and splits at it, and splits letters from
+    punctuation, so texts are encoded word by word: each distinct word once, and of words of
+    Latin letters the trailing punctuation apart. Such letters in lower case need none of
+    the tokenizer's normalising, so many of them go through its model in one call; if that
+    doesn't mark where each word ends, or gives other ids for a sample, all words go through
+    the whole tokenizer one by one.
     """
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    encoder, lean = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    lean.normalizer = None
+    parts = [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+    lean.pre_tokenizer = pre_tokenizers.Sequence(parts)
+    whole: dict[str, bytes] = {"": b""}
+    stems: dict[str, bytes] = {"": b""}
+    closes = np.zeros(encoder.get_vocab_size(), bool)
+    closes[[token for text, token in encoder.get_vocab().items() if text.endswith("</w>")]] = True
+
+    def encode_plain(words: list[str]) -> list[bytes]:
+        coded = encoder.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(one.ids, "<u4").tobytes() for one in coded]
+
+    def encode_stems(words: list[str]) -> None:
+        for first in range(0, len(words), 4096):
+            part = words[first : first + 4096]
+            lines = [" ".join(part[i : i + 64]) for i in range(0, len(part), 64)]
+            coded = lean.encode_batch_fast(lines, add_special_tokens=False)
+            ids = np.fromiter(chain.from_iterable(line.ids for line in coded), "<u4")
+            ends = ((np.flatnonzero(closes[ids]) + 1) * 4).tolist()
+            raw = ids.tobytes()
+            found = [raw[a:b] for a, b in zip([0, *ends], ends)]
+            if len(found) != len(part) or found[:16] != encode_plain(part[:16]):
+                found = encode_plain(part)
+            stems.update(zip(part, found))
+
+    def learn(texts: list[list[str]]) -> dict[str, bytes]:
+        if len(whole) > MEMO_WORDS or len(stems) > MEMO_WORDS:
+            for memo in (whole, stems):
+                memo.clear()
+                memo[""] = b""
+        new = set().union(*texts).difference(whole)
+        split = LATIN.findall("\n".join(new))
+        lower = "\n".join([stem for stem, _ in split]).lower().split("\n") if split else []
+        ends = [end for _, end in split]
+        encode_stems(list(set(lower).difference(stems)))
+        marks = list(set(ends).difference(stems))
+        stems.update(zip(marks, encode_plain(marks)))
+        words = list(map("".join, split))
+        whole.update(zip(words, map(add, map(stems.__getitem__, lower), map(stems.__getitem__, ends))))
+        other = list(new.difference(words))
+        whole.update(zip(other, encode_plain(other)))
+        return whole
+
+    return learn
 
-    def make():
-        from tokenizers import Tokenizer
 
+def tokenised(tokenizer: str | None, capacity: int, end_id: int):
+    """Pieces of each text: their starts, lengths and checksums."""
+
+    def make():
         path = tokenizer
         if path is None:
             import public_tokenizers
 
             path = public_tokenizers.path("word_bpe_49k.json")
-        encoder = Tokenizer.from_file(path)
-        memo: dict[str, bytes] = {"": b""}
+        learn = word_encoder(path)
         end = np.array([end_id], "<u4").tobytes()
         step = capacity * 4
 
         def work(batch: pa.RecordBatch) -> list:
-            split = [text.replace("\n", " ").split(" ") for text in batch["larder_text"].to_pylist()]
-            new = list({word for words in split for word in words}.difference(memo))
-            if new:
-                if len(memo) + len(new) > MEMO_WORDS:
-                    memo.clear()
-                    memo[""] = b""
-                    new = list({word for words in split for word in words}.difference(memo))
-                for word, coded in zip(new, encoder.encode_batch(new, add_special_tokens=False)):
-                    memo[word] = np.array(coded.ids, "<u4").tobytes()
+            texts = batch["larder_text"].to_pylist()
             starts, lengths, sums = [], [], []
-            for words in split:
-                ids = b"".join(map(memo.__getitem__, words)) + end
-                cuts = range(0, len(ids), step)
-                starts.append([cut // 4 for cut in cuts])
-                lengths.append([len(ids[cut : cut + step]) // 4 for cut in cuts])
-                sums.append([zlib.crc32(ids[cut : cut + step]) for cut in cuts])
+            for first in range(0, len(texts), 400):
+                split = [text.replace("\n", " ").split(" ") for text in texts[first : first + 400]]
+                known = learn(split)
+                for words in split:
+                    ids = b"".join(map(known.__getitem__, words)) + end
+                    cuts = range(0, len(ids), step)
+                    starts.append([cut // 4 for cut in cuts])
+                    lengths.append([len(ids[cut : cut + step]) // 4 for cut in cuts])
+                    sums.append([zlib.crc32(ids[cut : cut + step]) for cut in cuts])
             return [batch["larder_id"], starts, lengths, sums]
 
         return work
