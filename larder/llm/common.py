@@ -85,14 +85,14 @@ def rounds_of_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
 
 
-def slices(batch: pa.RecordBatch, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
     """A batch in parts of about ``size`` bytes, as lists of words take many times a text's room."""
     rows = max(1, batch.num_rows * size // max(size, batch.nbytes))
     for start in range(0, batch.num_rows, rows):
         yield batch.slice(start, rows)
 
 
-def batches_of(schema: T.StructType | str, make) -> tuple:
+def batches_of(schema: T.StructType | str, make, size: int) -> tuple:
     """``(function, schema)`` for ``mapInArrow`` from a function of one batch's columns.
 
     ``make()`` is called once per task and returns a function from a record batch to a list
@@ -106,7 +106,7 @@ def batches_of(schema: T.StructType | str, make) -> tuple:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in (part for whole in batches for part in slices(whole)):
+        for batch in (part for whole in batches for part in slices(whole, size)):
             if batch.num_rows:
                 columns = [
                     value if isinstance(value, pa.Array) else pa.array(value, field.type)
@@ -117,8 +117,8 @@ def batches_of(schema: T.StructType | str, make) -> tuple:
     return run, schema
 
 
-def map_batches(df: DataFrame, schema: T.StructType | str, make) -> DataFrame:
-    return df.mapInArrow(*batches_of(schema, make))
+def map_batches(df: DataFrame, schema: T.StructType | str, make, size: int = 4 << 20) -> DataFrame:
+    return df.mapInArrow(*batches_of(schema, make, size))
 
 
 def ranked(

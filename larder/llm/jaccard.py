@@ -19,7 +19,7 @@ HASHES = 128
 STEP = 16
 TOLERANCE = 1e-5
 BLOCK = 512
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 200_000
 
 
 def shingle_reader(size: int):

@@ -7,10 +7,10 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from itertools import chain
-from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larder.functions import column
@@ -18,68 +18,114 @@ from larder.llm.common import map_batches, ranked, saved, text_of
 
 CAPACITY = 4096
 END_ID = 1
-MEMO_WORDS = 400_000
+MEMO_WORDS = 600_000
+BATCH_BYTES = 3 << 20
 LATIN = re.compile(r"^([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)$", re.M)
 
 
+def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The positions start, start + 1, ... of every stretch, one stretch after another."""
+    before = np.cumsum(counts) - counts
+    return np.repeat(starts - before, counts) + np.arange(counts.sum())
+
+
 def word_encoder(path: str):
-    """A function from lists of words to the bytes of their ids, as a dictionary.
+    """A function from distinct words to ``(ids, starts, counts)`` with two stretches a word.
+
+    Words met before are looked up in Arrow arrays.
 
     The tokenizer lowers case, drops white space and splits at it, and splits letters from
     punctuation, so texts are encoded word by word: each distinct word once, and of words of
     Latin letters the trailing punctuation apart. Such letters in lower case need none of
     the tokenizer's normalising, so many of them go through its model in one call; if that
-    doesn't mark where each word ends, or gives other ids for a sample, all words go through
-    the whole tokenizer one by one.
+    doesn't mark where each word ends, or gives other ids for a sample, they go through the
+    whole tokenizer one by one, as all other words do.
     """
     from tokenizers import Tokenizer, pre_tokenizers
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     encoder, lean = Tokenizer.from_file(path), Tokenizer.from_file(path)
     lean.normalizer = None
-    parts = [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
-    lean.pre_tokenizer = pre_tokenizers.Sequence(parts)
-    whole: dict[str, bytes] = {"": b""}
-    stems: dict[str, bytes] = {"": b""}
+    steps = [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+    lean.pre_tokenizer = pre_tokenizers.Sequence(steps)
     closes = np.zeros(encoder.get_vocab_size(), bool)
     closes[[token for text, token in encoder.get_vocab().items() if text.endswith("</w>")]] = True
 
-    def encode_plain(words: list[str]) -> list[bytes]:
-        coded = encoder.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(one.ids, "<u4").tobytes() for one in coded]
+    def plain(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        coded = [one.ids for one in encoder.encode_batch_fast(words, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(coded), "<u4")
+        return ids, np.fromiter(map(len, coded), np.int64, len(coded))
 
-    def encode_stems(words: list[str]) -> None:
+    def latin(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        parts = []
         for first in range(0, len(words), 4096):
             part = words[first : first + 4096]
             lines = [" ".join(part[i : i + 64]) for i in range(0, len(part), 64)]
             coded = lean.encode_batch_fast(lines, add_special_tokens=False)
             ids = np.fromiter(chain.from_iterable(line.ids for line in coded), "<u4")
-            ends = ((np.flatnonzero(closes[ids]) + 1) * 4).tolist()
-            raw = ids.tobytes()
-            found = [raw[a:b] for a, b in zip([0, *ends], ends)]
-            if len(found) != len(part) or found[:16] != encode_plain(part[:16]):
-                found = encode_plain(part)
-            stems.update(zip(part, found))
-
-    def learn(texts: list[list[str]]) -> dict[str, bytes]:
-        if len(whole) > MEMO_WORDS or len(stems) > MEMO_WORDS:
-            for memo in (whole, stems):
-                memo.clear()
-                memo[""] = b""
-        new = set().union(*texts).difference(whole)
-        split = LATIN.findall("\n".join(new))
-        lower = "\n".join([stem for stem, _ in split]).lower().split("\n") if split else []
-        ends = [end for _, end in split]
-        encode_stems(list(set(lower).difference(stems)))
-        marks = list(set(ends).difference(stems))
-        stems.update(zip(marks, encode_plain(marks)))
-        words = list(map("".join, split))
-        whole.update(zip(words, map(add, map(stems.__getitem__, lower), map(stems.__getitem__, ends))))
-        other = list(new.difference(words))
-        whole.update(zip(other, encode_plain(other)))
-        return whole
-
-    return learn
+            counts = np.diff(np.flatnonzero(closes[ids]), prepend=-1)
+            sample = plain(part[:16])
+            size = len(sample[0])
+            if (
+                len(counts) != len(part)
+                or not np.array_equal(counts[:16], sample[1])
+                or not np.array_equal(ids[:size], sample[0])
+            ):
+                ids, counts = plain(part)
+            parts.append((ids, counts))
+        if not parts:
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        return tuple(np.concatenate(x) for x in zip(*parts))
+
+    state: dict = {}
+
+    def start_over() -> None:
+        state["words"] = state["stems"] = pa.array([], pa.string())
+        state["ids"] = np.zeros(0, "<u4")
+        state["stem"] = np.zeros((0, 2), np.int64)  # start and count of each stem
+        state["word"] = np.zeros((0, 4), np.int64)  # both of a word's first stretch, then of its second
+
+    def added(ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        begins = len(state["ids"]) + np.cumsum(counts) - counts
+        state["ids"] = np.concatenate([state["ids"], ids])
+        return np.stack([begins, counts], axis=1).reshape(-1, 2)
+
+    def located(words: pa.Array, store: str) -> tuple[np.ndarray, pa.Array]:
+        """The words' places in a store, to which those that it lacks are appended."""
+        found = pc.index_in(words, value_set=state[store])
+        lacking = np.asarray(pc.is_null(found))
+        place = np.array(pc.fill_null(found, 0), np.int64)
+        place[lacking] = len(state[store]) + np.arange(lacking.sum())
+        new = words.filter(pa.array(lacking))
+        state[store] = pa.concat_arrays([state[store], new])
+        return place, new
+
+    def learn(words: pa.Array) -> np.ndarray:
+        split = LATIN.findall("\n".join(words.to_pylist()))
+        at = np.asarray(pc.index_in(pa.array(map("".join, split), pa.string()), value_set=words), np.int64)
+        stems = pa.array("\n".join([stem for stem, _ in split]).lower().split("\n") if split else [], pa.string())
+        ends = pa.array([end for _, end in split], pa.string()).dictionary_encode()
+        stems = stems.dictionary_encode()
+        place, new = located(stems.dictionary, "stems")
+        state["stem"] = np.concatenate([state["stem"], added(*latin(new.to_pylist()))])
+        rest = np.ones(len(words), bool)
+        rest[at] = False
+        found = np.zeros((len(words), 4), np.int64)
+        found[at, :2] = state["stem"][place[np.asarray(stems.indices)]]
+        found[at, 2:] = added(*plain(ends.dictionary.to_pylist()))[np.asarray(ends.indices)]
+        found[rest, :2] = added(*plain(words.filter(pa.array(rest)).to_pylist()))
+        return found
+
+    def encode(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if len(state["words"]) > MEMO_WORDS:
+            start_over()
+        place, new = located(words, "words")
+        state["word"] = np.concatenate([state["word"], learn(new)])
+        found = state["word"][place]
+        return state["ids"], found[:, ::2], found[:, 1::2]
+
+    start_over()
+    return encode
 
 
 def tokenised(tokenizer: str | None, capacity: int, end_id: int):
@@ -91,23 +137,27 @@ def tokenised(tokenizer: str | None, capacity: int, end_id: int):
             import public_tokenizers
 
             path = public_tokenizers.path("word_bpe_49k.json")
-        learn = word_encoder(path)
+        encode = word_encoder(path)
         end = np.array([end_id], "<u4").tobytes()
         step = capacity * 4
 
         def work(batch: pa.RecordBatch) -> list:
-            texts = batch["larder_text"].to_pylist()
-            starts, lengths, sums = [], [], []
-            for first in range(0, len(texts), 400):
-                split = [text.replace("\n", " ").split(" ") for text in texts[first : first + 400]]
-                known = learn(split)
-                for words in split:
-                    ids = b"".join(map(known.__getitem__, words)) + end
-                    cuts = range(0, len(ids), step)
-                    starts.append([cut // 4 for cut in cuts])
-                    lengths.append([len(ids[cut : cut + step]) // 4 for cut in cuts])
-                    sums.append([zlib.crc32(ids[cut : cut + step]) for cut in cuts])
-            return [batch["larder_id"], starts, lengths, sums]
+            split = pc.split_pattern(pc.replace_substring(batch["larder_text"], "\n", " "), " ")
+            words = split.flatten().dictionary_encode()
+            known, starts, counts = encode(words.dictionary)
+            at = np.asarray(words.indices)
+            per_word = counts.sum(axis=1)[at]
+            ids = known[ragged(starts[at].ravel(), counts[at].ravel())]
+            before = np.concatenate([[0], np.cumsum(per_word)])
+            bounds = before[np.asarray(split.offsets) - split.offsets[0].as_py()].tolist()
+            first, lengths, sums = [], [], []
+            for a, b in zip(bounds, bounds[1:]):
+                raw = ids[a:b].tobytes() + end
+                cuts = range(0, len(raw), step)
+                first.append([cut // 4 for cut in cuts])
+                lengths.append([len(raw[cut : cut + step]) // 4 for cut in cuts])
+                sums.append([zlib.crc32(raw[cut : cut + step]) for cut in cuts])
+            return [batch["larder_id"], first, lengths, sums]
 
         return work
 
@@ -126,7 +176,7 @@ def pieces_of(
     kind = df.schema[id_col].dataType.simpleString()
     texts = df.select(column(id_col).alias("larder_id"), text_of(text_col).alias("larder_text"))
     schema = f"id {kind}, starts array<bigint>, lengths array<bigint>, sums array<bigint>"
-    cut = map_batches(texts, schema, tokenised(tokenizer, capacity, end_id))
+    cut = map_batches(texts, schema, tokenised(tokenizer, capacity, end_id), BATCH_BYTES)
     zipped = F.posexplode(F.arrays_zip("starts", "lengths", "sums")).alias("piece", "p")
     return cut.select("id", zipped).select(
         F.col("id").alias(id_col),

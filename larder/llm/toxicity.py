@@ -22,7 +22,7 @@ ROUNDS = 24
 LEAST_WORDS = 6
 SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 WORD = re.compile(r"\w+")
-MEMO_WORDS = 500_000
+MEMO_WORDS = 200_000
 
 
 def features_of(word: str) -> tuple[str, ...]:
