@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larder.functions import column
-from larder.llm.common import map_batches, text_of
+from larder.llm.common import map_batches, saved, text_of
 
 # The formats searched for
 ASSIGN = re.compile(
@@ -123,11 +123,22 @@ def spans_of(text: str, ranks: dict[str, int], near: dict[str, set[str]], least:
 
 
 def frequent_words(df: DataFrame, text_col: str = "text", words: int = WORDS) -> dict[str, int]:
-    """The ``words`` most frequent words of 3 to 20 letters a-z, with their ranks."""
+    """At most ``words`` of the most frequent words of 3 to 20 letters a-z, with their ranks.
+
+    How many words occur how often is counted first; only words above the frequency at which
+    there are few enough reach the driver.
+    """
     split = F.explode(F.split(F.lower(text_of(text_col)), "[^a-z]+")).alias("word")
     counts = df.select(split).where(f"length(word) between 3 and {LONGEST_WORD}").groupBy("word")
-    top = counts.agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(words)
-    corpus = [row["word"] for row in top.collect()]
+    counts = saved(counts.agg(F.count("*").alias("n")).where("n > 1"), "word-counts")
+    least, found = 2, 0
+    for row in counts.groupBy("n").agg(F.count("*").alias("words")).orderBy(F.desc("n")).toLocalIterator():
+        found += row["words"]
+        if found > words:
+            least = row["n"] + 1
+            break
+    top = counts.where(F.col("n") >= least).collect()
+    corpus = [row["word"] for row in sorted(top, key=lambda row: (-row["n"], row["word"]))]
     return {word: rank for rank, word in reversed(list(enumerate([*COMMON, *corpus])))}
 
 
