@@ -33,6 +33,8 @@ NA_TOKENS = (
 )
 
 INTEGER = r"^\s*[+-]?\d{1,18}\s*$"
+LONG_INTEGER = r"^\s*[+-]?\d{19,}\s*$"
+UNSIGNED_MAX = "18446744073709551615"
 NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf(inity)?)\s*$"
 BOOLEAN = r"^(?:True|TRUE|true|False|FALSE|false)$"
 
@@ -61,9 +63,9 @@ def read_csv(
         .option("escape", '"')
         .option("multiLine", multiline)
     )
-    if schema is not None:
-        return reader.option("enforceSchema", False).schema(schema).csv(path)
-    return reader.option("inferSchema", infer).csv(path)
+    # files whose headers differ in names or order must not be read by position
+    reader = reader.option("enforceSchema", False)
+    return reader.schema(schema).csv(path) if schema is not None else reader.option("inferSchema", infer).csv(path)
 
 
 def read_tsv(
@@ -111,7 +113,8 @@ def infer_types(df: DataFrame) -> DataFrame:
 
     One aggregation looks at all columns at once: it turns them into rows, which keeps the
     generated code small for hundreds of columns, and each task reduces them to one row per
-    column. Whole numbers become ``bigint``, other numbers ``double``, true/false texts
+    column. Whole numbers become ``bigint``, ones up to 2^64 - 1 ``decimal(20,0)``, and larger
+    ones, or such next to fractions, stay strings, as no type keeps all their digits; other numbers ``double``, true/false texts
     ``boolean``; mixed columns, texts and columns without any value stay strings, and so do
     dates.
     """
@@ -119,12 +122,15 @@ def infer_types(df: DataFrame) -> DataFrame:
     if not strings:
         return df
     text = F.col("text")
+    unsigned = F.trim(text).try_cast("decimal(38,0)").between(F.lit(0), F.lit(UNSIGNED_MAX).cast("decimal(20,0)"))
+    long_kind = F.when(F.trim(text).try_cast("bigint").isNotNull(), 1).when(unsigned, 16).otherwise(8)
     seen = (
         df.select(F.posexplode(F.array(*[column(name) for name in strings])).alias("i", "text"))
         .groupBy("i")
         .agg(
             F.bit_or(
                 F.when(text.rlike(INTEGER), 1)
+                .when(text.rlike(LONG_INTEGER), long_kind)
                 .when(text.rlike(NUMBER), 2)
                 .when(text.rlike(BOOLEAN), 4)
                 .when(text.isNotNull(), 8)
@@ -132,7 +138,7 @@ def infer_types(df: DataFrame) -> DataFrame:
         )
         .collect()
     )
-    kinds = {1: "bigint", 2: "double", 3: "double", 4: "boolean"}
+    kinds = {1: "bigint", 2: "double", 3: "double", 4: "boolean", 16: "decimal(20,0)", 17: "decimal(20,0)"}
     target = {strings[row["i"]]: kinds[row["bits"]] for row in seen if row["bits"] in kinds}
     return df.select(
         [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable
 
@@ -59,6 +60,8 @@ def process_new(
     The checkpoint remembers the files, so a later call gets only newer ones. A batch that
     failed half-way is handed over again under the same number.
     """
+    if isinstance(handle, BatchFolders) and handle.checkpoint is None:
+        handle = BatchFolders(handle.path, checkpoint)
     query = (
         stream.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
@@ -68,10 +71,26 @@ def process_new(
     query.awaitTermination()
 
 
-def append_batch_to(path: str) -> Callable[[DataFrame, int], None]:
-    """A handler that writes each batch into its own folder; a repeated batch replaces itself."""
+class BatchFolders:
+    """Writes each batch into a folder named by the stream's own id and the batch's number."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    def __init__(self, path: str, checkpoint: str | None = None):
+        self.path = path
+        self.checkpoint = checkpoint
 
-    return write
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        folder = self.path
+        if self.checkpoint is not None:
+            metadata = batch.sparkSession.read.text(f"{self.checkpoint}/metadata").first()["value"]
+            folder += f"/stream_id={json.loads(metadata)['id']}"
+        batch.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+
+
+def append_batch_to(path: str, checkpoint: str | None = None) -> BatchFolders:
+    """A handler that writes each batch into its own folder; a repeated batch replaces itself.
+
+    Streams number their batches from 0, so the folder also carries the id that the stream
+    keeps in its checkpoint: several streams may write to one path. :func:`process_new`
+    fills in its checkpoint; name it where the handler is called by another one.
+    """
+    return BatchFolders(path, checkpoint)

@@ -20,7 +20,7 @@ def count_new_lines(
     Counts add up, so each batch stores its own and no running state is kept: the cost of a
     batch depends on its size, not on all words seen before.
     """
-    store = append_batch_to(counts)
+    store = append_batch_to(counts, checkpoint)
     process_new(
         stream_files(spark, source, file_format="text", max_files=max_files),
         lambda lines, batch_id: store(word_count(lines), batch_id),
