@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from larder.functions import column
-from larder.llm.common import map_batches, saved, small, text_of
+from larder.llm.common import map_batches, saved, slices, small, text_of
 
 FEATURES = 20_000
 LEAST_DOCUMENTS = 5
@@ -23,6 +23,7 @@ LEAST_WORDS = 6
 SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 WORD = re.compile(r"\w+")
 MEMO_WORDS = 200_000
+COUNTED = 300_000
 
 
 def features_of(word: str) -> tuple[str, ...]:
@@ -30,14 +31,14 @@ def features_of(word: str) -> tuple[str, ...]:
     return (word, *(word[:n] + "*" for n in (4, 5, 6) if len(word) > n))
 
 
-def remembered(function):
+def remembered(function, most: int = MEMO_WORDS):
     """The function of a word, looked up for words met before."""
     memo: dict = {}
 
     def look(word: str):
         found = memo.get(word)
         if found is None:
-            if len(memo) >= MEMO_WORDS:
+            if len(memo) >= most:
                 memo.clear()
             found = memo[word] = function(word)
         return found
@@ -68,23 +69,29 @@ def sentences_of(text: str) -> list[tuple[int, int, list[str]]]:
 
 
 def count_features():
-    """A function for ``mapInArrow``: a task's document counts of each feature, by label."""
+    """A function for ``mapInArrow``: a task's document counts of each feature, by label.
+
+    Counts are passed on whenever there are many, which bounds a task's memory.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = remembered(features_of)
-        for batch in batches:
-            counts: tuple[Counter, Counter] = (Counter(), Counter())
-            for text, toxic in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
+        features = remembered(features_of, MEMO_WORDS // 4)
+        clean, toxic = Counter(), Counter()
+
+        def passed_on() -> pa.RecordBatch:
+            names = list(clean.keys() | toxic.keys())
+            counts = [pa.array([found[name] for name in names], pa.int64()) for found in (clean, toxic)]
+            clean.clear()
+            toxic.clear()
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *counts], ["feature", "clean", "toxic"])
+
+        for batch in (part for whole in batches for part in slices(whole, 1 << 20)):
+            for text, label in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
                 words = set(WORD.findall(text.lower()))
-                counts[toxic].update({*chain.from_iterable(map(features, words))})
-            names = list(counts[0].keys() | counts[1].keys())
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "feature": pa.array(names, pa.string()),
-                    "clean": pa.array([counts[0][name] for name in names], pa.int64()),
-                    "toxic": pa.array([counts[1][name] for name in names], pa.int64()),
-                }
-            )
+                (toxic if label else clean).update({*chain.from_iterable(map(features, words))})
+            if len(clean) + len(toxic) > COUNTED:
+                yield passed_on()
+        yield passed_on()
 
     return run
 
@@ -123,7 +130,7 @@ def sentence_features(index: dict[str, int]):
     after sentence, and how many each has."""
 
     def make():
-        ids = remembered(lambda word: tuple(index[f] for f in features_of(word) if f in index))
+        ids = remembered(lambda word: tuple(index[f] for f in features_of(word) if f in index), MEMO_WORDS // 4)
 
         def work(batch: pa.RecordBatch) -> list:
             lists, sizes = [], []
