@@ -117,7 +117,7 @@ def batches_of(schema: T.StructType | str, make, size: int) -> tuple:
     return run, schema
 
 
-def map_batches(df: DataFrame, schema: T.StructType | str, make, size: int = 4 << 20) -> DataFrame:
+def map_batches(df: DataFrame, schema: T.StructType | str, make, size: int = 1 << 20) -> DataFrame:
     return df.mapInArrow(*batches_of(schema, make, size))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from larder.functions import column
-from larder.llm.common import map_batches, saved, text_of
+from larder.llm.common import map_batches, saved, slices, text_of
 
 BUCKETS = 1 << 16
 DIMENSIONS = 256
@@ -37,7 +37,7 @@ def document_counts(docs: DataFrame, numbers: dict[str, int]) -> tuple[np.ndarra
         known = set(numbers)
         total = np.zeros(size, np.int64)
         rows = 0
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1 << 20)):
             rows += batch.num_rows
             for text in batch["larder_text"].to_pylist():
                 met = {numbers[word] for word in known.intersection(WORD.findall(text.lower()))}
