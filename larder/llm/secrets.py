@@ -56,7 +56,7 @@ def brute(text: str) -> float:
     """The logarithm of the number of strings of this length and these kinds of character."""
     size = 26 * any("a" <= c <= "z" for c in text) + 26 * any("A" <= c <= "Z" for c in text)
     size += 10 * any("0" <= c <= "9" for c in text) + 33 * any(not (c.isascii() and c.isalnum()) for c in text)
-    return len(text) * math.log10(size)
+    return len(text) * math.log10(max(1, size))
 
 
 def log_guesses(value: str, ranks: dict[str, int], near: dict[str, set[str]] | None = None) -> float:
