@@ -113,6 +113,8 @@ def batches_of(schema: T.StructType | str, make, size: int) -> tuple:
                     for field, value in zip(arrow, work(batch))
                 ]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+        del work
+        pa.default_memory_pool().release_unused()  # Spark reuses the process for other tasks
 
     return run, schema
 

@@ -224,6 +224,7 @@ def find_contamination(
 def searcher(numbers, idf, vectors, latent, owners, texts, least_cosine, least_overlap, names):
     """For :func:`map_batches`: found items and the largest overlap of each document."""
     square = np.square(idf)
+    block = max(16, min(2048, (4 << 20) // max(1, len(latent))))  # of windows, at most 16 MB of cosines
     inside = square.copy()
     inside[0] = 0
 
@@ -271,8 +272,8 @@ def searcher(numbers, idf, vectors, latent, owners, texts, least_cosine, least_o
             read: dict[int, list[str]] = {}
             base = np.cumsum(sizes) - sizes
             padded = np.concatenate([at, np.zeros(WINDOW, np.int32)])
-            for first in range(0, len(likely), 2048):
-                chosen = likely[first : first + 2048]
+            for first in range(0, len(likely), block):
+                chosen = likely[first : first + block]
                 places = start[chosen][:, None] + np.arange(WINDOW)
                 codes = np.where(places < end[chosen][:, None], padded[places], 0)
                 folded = np.zeros((len(chosen), vectors.shape[1]), np.float32)
