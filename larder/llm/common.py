@@ -13,6 +13,17 @@ from larder.functions import column
 from larder.session import new_run_dir
 
 BROADCAST_ROWS = 200_000
+BATCH_SETTING, BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let the session send texts to Python 4 MB at a time, unless it has a limit of its own.
+
+    By default a batch may take 64 MB, several times over in each of an executor's tasks: in
+    the JVM's buffers outside the heap and in Python. A larger row is a batch by itself.
+    """
+    if BATCH_SETTING not in spark.conf.getAll:
+        spark.conf.set(BATCH_SETTING, BATCH_LIMIT)
 
 
 def saved(df: DataFrame, purpose: str) -> DataFrame:
@@ -120,6 +131,7 @@ def batches_of(schema: T.StructType | str, make, size: int) -> tuple:
 
 
 def map_batches(df: DataFrame, schema: T.StructType | str, make, size: int = 1 << 20) -> DataFrame:
+    bounded_batches(df.sparkSession)
     return df.mapInArrow(*batches_of(schema, make, size))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from larder.functions import column
-from larder.llm.common import map_batches, saved, slices, text_of
+from larder.llm.common import bounded_batches, map_batches, saved, slices, text_of
 
 BUCKETS = 1 << 16
 DIMENSIONS = 256
@@ -50,6 +50,7 @@ def document_counts(docs: DataFrame, numbers: dict[str, int]) -> tuple[np.ndarra
             }
         )
 
+    bounded_batches(docs.sparkSession)
     parts = docs.select("larder_text").mapInArrow(count, "i int, n bigint").groupBy("i").agg(F.sum("n").alias("n"))
     found = {row["i"]: row["n"] for row in parts.collect()}
     rows = found.pop(-1, 0)

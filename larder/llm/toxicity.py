@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from larder.functions import column
-from larder.llm.common import map_batches, saved, slices, small, text_of
+from larder.llm.common import bounded_batches, map_batches, saved, slices, small, text_of
 
 FEATURES = 20_000
 LEAST_DOCUMENTS = 5
@@ -198,6 +198,7 @@ def fit_toxicity(
     chosen features. Rows with a null label are left out, null texts are empty. Without both
     labels there is nothing to learn, and every score is 0.
     """
+    bounded_batches(labelled.sparkSession)
     label = column(label_col).cast("int")
     train = labelled.select(text_of(text_col).alias("text"), label.alias("toxic")).where("toxic in (0, 1)")
     train = saved(train, "toxic-train")
