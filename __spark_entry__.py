@@ -103,7 +103,7 @@ def score_row(spark: SparkSession, score: float) -> DataFrame:
 
 def entry(spark: SparkSession) -> DataFrame:
     """lineitem -> assemble -> standardise -> k-means for k = 2..9 -> silhouette per k."""
-    return sweep_k(scaled_measures(spark, "/root/testdata/sf0.001").select("scaled"))
+    return sweep_k(scaled_measures(spark, "/root/testdata/sf0.001"))
 
 
 # Word counts
@@ -281,7 +281,7 @@ def published_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = scaled_measures(spark, sf_dir)
-    model = fit_kmeans(rows.select("scaled"), k=4)
+    model = fit_kmeans(rows, k=4)
     return assign(rows, model).select("l_orderkey", "l_linenumber", *MEASURES, "prediction")
 
 

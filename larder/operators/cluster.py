@@ -13,6 +13,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
@@ -45,28 +46,75 @@ def layout_partitions(df: DataFrame, features_col: str = "scaled") -> int:
     return max(1, min(by_rows, SMALL_PARTITIONS), by_bytes)
 
 
+def count_equal():
+    """A function for ``mapInArrow``: equal rows of a batch become one, with their number.
+
+    Rows are told apart by ``key``, a hash; one whose numbers differ from those of the first
+    row with its key stays a row of its own.
+    """
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            _, first, group = np.unique(np.asarray(batch["key"]), return_index=True, return_inverse=True)
+            same = np.ones(batch.num_rows, bool)
+            for name in batch.schema.names[1:]:
+                lengths = np.diff(np.asarray(batch[name].offsets))
+                if (lengths != lengths[0]).any():
+                    same[:] = False
+                    break
+                numbers = np.asarray(batch[name].flatten()).reshape(batch.num_rows, -1)
+                same &= (numbers == numbers[first[group]]).all(axis=1)
+            same[first] = True
+            copies = np.bincount(group[same], minlength=len(first)).astype(float)
+            alone = np.flatnonzero(~same)
+            kept = batch.take(pa.array(np.concatenate([first, alone])))
+            counts = pa.array(np.concatenate([copies, np.ones(len(alone))]))
+            yield pa.RecordBatch.from_arrays([*kept.columns, counts], [*batch.schema.names, "copies"])
+
+    return combine
+
+
 def stable_layout(
-    df: DataFrame, features_col: str = "scaled", partitions: int | None = None
+    df: DataFrame,
+    features_col: str = "scaled",
+    partitions: int | None = None,
+    source_col: str | None = None,
 ) -> DataFrame:
     """The distinct vectors as ``(values, copies)``, always in the same partitions and order.
 
     K-means draws its first centres per partition, so a seed repeats a result only over a
-    fixed layout. Equal vectors are counted before they are shuffled and become one weighted
-    row, so a vector that makes up a third of the table is no hot partition. The result is
-    checkpointed: the many passes of a fit start from it, on lost executors too.
+    fixed layout. Rows are dealt out and sorted by ``source_col``, the vectors before scaling:
+    the last bits of scaled ones depend on the order in which the deviations were summed.
+    Without it the vectors themselves decide. Equal vectors are counted in each batch, before
+    the one shuffle, and become one weighted row, so a vector that makes up a third of the
+    table is no hot partition. The result is checkpointed: the many passes of a fit start
+    from it, on lost executors too.
     """
     shared_dir(df.sparkSession)
     if partitions is None:
         partitions = layout_partitions(df, features_col)
+    names = ["values"] if source_col in (None, features_col) else ["source", "values"]
+    origin = dict(zip(names[::-1], (features_col, source_col)))
+    vectors = df.select(*[vector_to_array(column(origin[name])).alias(name) for name in names])
+    keyed = vectors.select(F.xxhash64(names[0]).alias("key"), *names)
+    counted = keyed.mapInArrow(count_equal(), T.StructType([*keyed.schema.fields, T.StructField("copies", T.DoubleType())]))
     return (
-        df.groupBy(vector_to_array(column(features_col)).alias("values"))
-        .agg(F.count(F.lit(1)).cast("double").alias("copies"))
-        .repartition(partitions, "values")
-        .sortWithinPartitions("values")
+        counted.repartition(partitions, "key")
+        .groupBy("key", *names)
+        .agg(F.sum("copies").alias("copies"))
+        .sortWithinPartitions(*names)
+        .select("values", "copies")
         .checkpoint()
     )
 
 
+def source_of(df: DataFrame, features_col: str) -> str | None:
+    """The column of unscaled vectors, as :func:`standardise` leaves it beside the scaled ones."""
+    return "features" if features_col == "scaled" and "features" in df.columns else None
+
+
 def fit_layout(
     layout: DataFrame, k: int, features_col: str, prediction_col: str, seed: int
 ) -> KMeansModel:
@@ -100,8 +148,12 @@ def fit_kmeans(
     seed: int = 42,
     partitions: int | None = None,
 ) -> KMeansModel:
-    """Fit ``k`` centres; the same rows and seed give the same model."""
-    layout = stable_layout(df, features_col, partitions)
+    """Fit ``k`` centres; the same rows and seed give the same model.
+
+    Keep a column ``features`` with the unscaled vectors beside ``scaled``, or the last bits
+    of the scaled ones count as part of the rows.
+    """
+    layout = stable_layout(df, features_col, partitions, source_of(df, features_col))
     return fit_layout(layout, k, features_col, prediction_col, seed)
 
 
@@ -184,25 +236,26 @@ def sum_partition(ks: Sequence[int]):
     read = batch_reader()
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: list = [0.0] * len(ks)
+        totals: list = [None] * len(ks)
         for batch in batches:
             if not batch.num_rows:
                 continue
             points, norms, copies, assigned = read(batch)
-            moments = np.column_stack([np.ones(len(points)), norms, points])
+            moments = np.column_stack([np.ones(len(points)), norms, points]) * copies[:, None]
             for i, k in enumerate(ks):
-                member = np.zeros((len(points), k))
-                member[np.arange(len(points)), assigned[:, i]] = copies
-                totals[i] = totals[i] + member.T @ moments
+                if totals[i] is None:
+                    totals[i] = np.zeros((k, moments.shape[1]))
+                order = np.argsort(assigned[:, i], kind="stable")
+                cluster, start = np.unique(assigned[order, i], return_index=True)
+                totals[i][cluster] += np.add.reduceat(moments[order], start, axis=0)
         for i, total in enumerate(totals):
-            if np.ndim(total):
-                cluster, j = np.indices(total.shape)
+            if total is not None:
+                met = np.flatnonzero(total[:, 0])
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "i": pa.array(np.full(total.size, i, np.int32)),
-                        "cluster": pa.array(cluster.ravel().astype(np.int32)),
-                        "j": pa.array(j.ravel().astype(np.int32)),
-                        "total": pa.array(total.ravel()),
+                        "i": pa.array(np.full(len(met), i, np.int32)),
+                        "cluster": pa.array(met.astype(np.int32)),
+                        "total": pa.array(total[met].tolist(), pa.list_(pa.float64())),
                     }
                 )
 
@@ -234,6 +287,7 @@ def score_partition(sums: Sequence[np.ndarray]):
                 own = distance[row, assigned[:, i]] * n / np.maximum(n - 1, 1)
                 distance[row, assigned[:, i]] = np.inf
                 other = distance.min(axis=1)
+                other[np.isinf(other)] = 0.0  # there is no other cluster
                 larger = np.maximum(own, other)
                 value = np.divide(other - own, larger, out=np.zeros(len(points)), where=larger > 0)
                 totals[i] += np.sum(np.where(n > 1, value, 0) * copies)
@@ -244,12 +298,16 @@ def score_partition(sums: Sequence[np.ndarray]):
     return scores
 
 
-def silhouettes(layout: DataFrame, models: Sequence[KMeansModel], features_col: str) -> list[float]:
+def silhouettes(layout: DataFrame, models: Sequence[KMeansModel], features_col: str) -> list[float | None]:
     """The silhouette of each model over the rows of a layout, all in two passes.
 
     The first sums up the clusters of every model, the second scores the rows against those
-    sums. A task sends on one row per cluster and dimension, then one per model.
+    sums. A task sends on one array per cluster, then one row per model. A model that leaves
+    fewer than two clusters with rows has none. The nearest centres are found in both passes,
+    which costs less than storing them with the vectors.
     """
+    if not models:
+        return []
     points = layout.withColumn(features_col, array_to_vector("values"))
     names = [f"larder_{i}" for i in range(len(models))]
     for name, model in zip(names, models):
@@ -257,17 +315,15 @@ def silhouettes(layout: DataFrame, models: Sequence[KMeansModel], features_col:
     assigned = points.select("values", "copies", F.array(*names).alias("assigned"))
     ks = [len(model.clusterCenters()) for model in models]
     summed = (
-        assigned.mapInArrow(sum_partition(ks), "i int, cluster int, j int, total double")
-        .groupBy("i", "cluster", "j")
-        .agg(F.sum("total").alias("total"))
+        assigned.mapInArrow(sum_partition(ks), "i int, cluster int, total array<double>")
+        .groupBy("i", "cluster")
+        .agg(Summarizer.sum(array_to_vector("total")).alias("total"))
         .collect()
     )
     dims = len(models[0].clusterCenters()[0])
     sums = [np.zeros((k, dims + 2)) for k in ks]
-    for i, cluster, j, total in summed:
-        sums[i][cluster, j] = total
-    if any(np.count_nonzero(total[:, 0]) < 2 for total in sums):
-        raise ValueError("the silhouette needs at least two non-empty clusters")
+    for i, cluster, total in summed:
+        sums[i][cluster] = total.toArray()
     scored = (
         assigned.mapInArrow(score_partition(sums), "i int, score double")
         .groupBy("i")
@@ -275,7 +331,8 @@ def silhouettes(layout: DataFrame, models: Sequence[KMeansModel], features_col:
         .collect()
     )
     by_model = {row["i"]: row["score"] for row in scored}
-    return [by_model[i] / float(total[:, 0].sum()) for i, total in enumerate(sums)]
+    apart = [np.count_nonzero(total[:, 0]) > 1 for total in sums]
+    return [by_model[i] / float(total[:, 0].sum()) if apart[i] else None for i, total in enumerate(sums)]
 
 
 def sweep_k(
@@ -288,17 +345,22 @@ def sweep_k(
 ) -> DataFrame:
     """Fit k-means for every ``k`` and score it: ``(k, silhouette)``.
 
+    A ``k`` that leaves a single cluster with rows has a null score. Where ``df`` has the
+    unscaled vectors in ``features``, they decide the layout (see :func:`stable_layout`).
+
     All fits and scores read one checkpointed layout. Fits run side by side only as far as
     one alone leaves cores idle, because each keeps its own copy of the vectors in memory.
     """
     spark = df.sparkSession
     ks = list(ks)
+    if not ks:
+        return spark.createDataFrame([], "k int, silhouette double")
     if partitions is None:
         partitions = layout_partitions(df, features_col)
     if parallelism is None:
         cores = spark.sparkContext.defaultParallelism
         parallelism = math.ceil(TASKS_PER_CORE * cores / partitions)
-    layout = stable_layout(df, features_col, partitions)
+    layout = stable_layout(df, features_col, partitions, source_of(df, features_col))
 
     @inheritable_thread_target(spark)
     def fit(k: int) -> KMeansModel:

@@ -21,5 +21,4 @@ def score_published(
     timeout_seconds: float | None = None,
 ) -> DataFrame:
     """Wait for a published dataset, then ``(k, silhouette)``; reads only the vectors."""
-    rows = read_published(spark, path, poll_seconds, timeout_seconds)
-    return sweep_k(rows.select(features_col), ks, features_col, seed)
+    return sweep_k(read_published(spark, path, poll_seconds, timeout_seconds), ks, features_col, seed)

@@ -148,8 +148,36 @@ def test_fewer_distinct_rows_than_clusters(spark):
 
 def test_identical_rows_have_no_silhouette(spark):
     df = spark.createDataFrame([(Vectors.dense(1.0, 2.0),)] * 10, ["scaled"])
-    with pytest.raises(ValueError):
-        sweep_k(df, [2])
+    assert [tuple(row) for row in sweep_k(df, [2, 3]).collect()] == [(2, None), (3, None)]
+    assert sweep_k(df, []).collect() == []
+
+
+def test_scores_repeat_whatever_the_partitions_that_were_scaled(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/lineitem.parquet").select(*MEASURES)
+    found = []
+    for n in (1, 7, 20):
+        scaled = standardise(assemble(rows.repartition(n), MEASURES))
+        found.append([row["silhouette"] for row in sweep_k(scaled, [2, 4, 7], partitions=8).collect()])
+    assert found[1] == pytest.approx(found[0], abs=1e-9) and found[2] == pytest.approx(found[0], abs=1e-9)
+
+
+def test_layout_takes_one_exchange(points, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    plans = []
+    monkeypatch.setattr(DataFrame, "checkpoint", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()))
+    stable_layout(points, partitions=3)
+    assert plans[0].count("Exchange") == 1
+
+
+def test_equal_hashes_of_different_vectors_stay_apart():
+    import pyarrow as pa
+
+    from larder.operators.cluster import count_equal
+
+    batch = pa.RecordBatch.from_pydict({"key": [5, 5, 5, 6], "values": [[1.0], [2.0], [1.0], [1.0]]})
+    (out,) = count_equal()(iter([batch]))
+    assert sorted(zip(*(out[name].to_pylist() for name in ("key", "values", "copies")))) == [(5, [1.0], 2.0), (5, [2.0], 1.0), (6, [1.0], 1.0)]
 
 
 def test_sweep_scores_every_k_and_repeats(points):
