@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -269,9 +270,29 @@ def kmeans_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("prediction")
 
 
+def distant_groups(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
+    """lineitem as ``k`` groups far apart, which k-means finds from any centres that it draws
+    one in each of; with more groups than four, Spark's drawing may miss that."""
+    apart = (F.col("l_orderkey") % k) * 1000.0
+    rows = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_quantity") + apart).alias("x"), F.col("l_discount").alias("y")
+    )
+    return assemble(rows, ["x", "y"], "scaled")
+
+
 def sweep_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = sweep_k(separated_groups(spark, sf_dir), [2])
-    return scores.select("k", F.round("silhouette", 6).alias("silhouette"))
+    parts = [sweep_k(distant_groups(spark, sf_dir, k), [k]) for k in range(2, 5)]
+    return reduce(DataFrame.union, parts).select("k", F.round("silhouette", 6).alias("silhouette"))
+
+
+def sweep_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each score of the sweep is the one that Spark's evaluator gives the same model."""
+    rows = embedding_vectors(spark, sf_dir).select("scaled")
+    found = []
+    for k, score in sweep_k(rows).collect():
+        single = silhouette(assign(rows, fit_kmeans(rows, k)))
+        found.append((k, abs(score - single) < 1e-8))
+    return spark.createDataFrame(found, "k int, agrees boolean")
 
 
 def published_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,6 +306,20 @@ def kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign(rows, model).select("l_orderkey", "l_linenumber", *MEASURES, "prediction")
 
 
+def kmeans_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the centre that each row was given is the nearest of all."""
+    rows = scaled_measures(spark, sf_dir)
+    model = fit_kmeans(rows, k=4)
+    values = vector_to_array("scaled")
+    apart = [
+        sum((values[i] - float(v)) * (values[i] - float(v)) for i, v in enumerate(centre))
+        for centre in model.clusterCenters()
+    ]
+    distances = F.array(*apart)
+    nearest = distances[F.col("prediction")] <= F.array_min(distances) + 1e-9
+    return assign(rows, model).select("l_orderkey", "l_linenumber", nearest.alias("nearest"))
+
+
 # Sources, sinks and published files
 
 
@@ -366,11 +401,15 @@ def jdbc_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def jdbc_scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
     url = embedded_database()
     rows = table(spark, sf_dir, "customer").select(
-        F.nullif("c_nationkey", F.lit(0)).alias("c_nationkey"), "c_acctbal"
+        "c_custkey", F.nullif("c_nationkey", F.lit(0)).alias("c_nationkey"), "c_acctbal"
     )
     write_jdbc(rows, url, "features", properties=EMBEDDED)
     values = vector_to_array("scaled")
-    return scale_jdbc_table(spark, url, "features", properties=EMBEDDED).select(
+    scaled = scale_jdbc_table(
+        spark, url, "features", ["c_nationkey", "c_acctbal"],
+        partition_column="c_custkey", num_partitions=4, properties=EMBEDDED,
+    )
+    return scaled.select(
         *[F.round(values[i], 6).alias(f"f{i}") for i in range(2)]
     )
 
@@ -425,6 +464,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "nearest_centroid": nearest_label,
         "kmeans_groups": kmeans_groups,
         "sweep_groups": sweep_groups,
+        "sweep_agreement": sweep_agreement,
+        "kmeans_nearest": kmeans_nearest,
         "kmeans_sweep": kmeans_sweep,
         "published_sweep": published_sweep,
         "kmeans_assign": kmeans_assign,
@@ -513,6 +554,13 @@ FROM pair
 """
 
 
+def scores_of(points) -> str:
+    """``(k, silhouette)`` for k = 2..4; ``points(k)`` names the clusters."""
+    return " UNION ALL ".join(
+        f"SELECT {k} AS k, silhouette FROM ({silhouette_of(points(k))})" for k in range(2, 5)
+    )
+
+
 LABEL_SILHOUETTE = """
 WITH e AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
@@ -606,11 +654,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT count(*) AS n_rows, round(avg(x), 6) AS mean_x, max(x) AS max_x
             FROM ({GROUPS}) GROUP BY g
         """,
-        "sweep_groups": f"""
-            SELECT 2 AS k, silhouette FROM ({silhouette_of(
-                f"SELECT row_number() OVER () AS id, g, x AS a, y AS b, 0 AS c, 0 AS d FROM ({GROUPS})"
-            )})
-        """,
+        "sweep_groups": scores_of(
+            lambda k: f"SELECT row_number() OVER () AS id, l_orderkey % {k} AS g, "
+            f"l_quantity + (l_orderkey % {k}) * 1000 AS a, l_discount AS b, 0 AS c, 0 AS d FROM lineitem"
+        ),
+        "sweep_agreement": "SELECT k::INTEGER AS k, true AS agrees FROM range(2, 10) AS t(k)",
+        "kmeans_nearest": "SELECT l_orderkey, l_linenumber, true AS nearest FROM lineitem",
         "parquet_roundtrip": "SELECT * REPLACE (l_shipdate::DATE::VARCHAR AS l_shipdate) FROM lineitem",
         "csv_roundtrip": "SELECT * FROM part",
         "csv_inferred": "SELECT * FROM customer",

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import argparse
+import uuid
 
 from pyspark.sql import SparkSession
 
 from larder.plans.clustering import score_published
-from larder.plans.datamart import publish_scaled
+from larder.plans.datamart import publish_scaled, scale_jdbc_table
 from larder.plans.products import clean_products, load_products_jdbc, load_products_table
 from larder.plans.wordcount import count_words
-from larder.sinks import write_csv, write_parquet
+from larder.sinks import publish_parquet, write_csv, write_parquet
 from larder.sources import blank_tokens, read_csv, read_tsv
 
 
@@ -27,9 +28,21 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     job = jobs.add_parser("clusters", help="k-means sweep over a published dataset")
     job.add_argument("dataset")
     job.add_argument("--output", help="folder for the scores")
+    job.add_argument("--ks", type=int, nargs="+", default=list(range(2, 10)), help="numbers of clusters")
+    job.add_argument("--features", default="scaled", help="vector column")
     job.add_argument("--seed", type=int, default=42)
     job.add_argument("--timeout", type=float)
 
+    job = jobs.add_parser("scale", help="database table to published, scaled feature vectors")
+    job.add_argument("table")
+    job.add_argument("root")
+    job.add_argument("--url", required=True, help="JDBC address")
+    job.add_argument("--columns", nargs="+", help="feature columns; all without it")
+    job.add_argument("--partition-column", help="number, date or timestamp that spreads the rows")
+    job.add_argument("--partitions", type=int, help="tasks that read; 1 needs no column")
+    job.add_argument("--run-id")
+    job.add_argument("--property", action="append", default=[], metavar="NAME=VALUE")
+
     job = jobs.add_parser("clean", help="raw product TSV to a clean numeric CSV")
     job.add_argument("tsv")
     job.add_argument("output")
@@ -60,10 +73,23 @@ def main(argv: list[str] | None = None) -> None:
         policy = "skip" if args.skip_invalid else "error"
         print(publish_scaled(spark, args.csv, args.root, handle_invalid=policy, run_id=args.run_id))
     elif args.job == "clusters":
-        scores = score_published(spark, args.dataset, seed=args.seed, timeout_seconds=args.timeout)
+        scores = score_published(
+            spark, args.dataset, args.ks, args.features, seed=args.seed, timeout_seconds=args.timeout
+        )
         scores.orderBy("k").show(truncate=False)
         if args.output:
             write_parquet(scores, args.output)
+    elif args.job == "scale":
+        scaled = scale_jdbc_table(
+            spark,
+            args.url,
+            args.table,
+            args.columns,
+            partition_column=args.partition_column,
+            num_partitions=args.partitions,
+            properties=dict(pair.split("=", 1) for pair in args.property),
+        )
+        print(publish_parquet(scaled, args.root, args.run_id or uuid.uuid4().hex))
     elif args.job == "clean":
         fraction = args.min_fraction
         if args.min_present is None and fraction is None:

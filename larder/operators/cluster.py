@@ -85,7 +85,7 @@ def stable_layout(
     """The distinct vectors as ``(values, copies)``, always in the same partitions and order.
 
     K-means draws its first centres per partition, so a seed repeats a result only over a
-    fixed layout. Rows are dealt out and sorted by ``source_col``, the vectors before scaling:
+    fixed layout. Rows are dealt out and sorted by a hash of ``source_col``, the vectors before scaling:
     the last bits of scaled ones depend on the order in which the deviations were summed.
     Without it the vectors themselves decide. Equal vectors are counted in each batch, before
     the one shuffle, and become one weighted row, so a vector that makes up a third of the
@@ -104,7 +104,7 @@ def stable_layout(
         counted.repartition(partitions, "key")
         .groupBy("key", *names)
         .agg(F.sum("copies").alias("copies"))
-        .sortWithinPartitions(*names)
+        .sortWithinPartitions("key", *names)
         .select("values", "copies")
         .checkpoint()
     )

@@ -29,7 +29,7 @@ def sorted_rows(names: list[str], rows: list) -> list[tuple]:
     return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
 
 
-SPARK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string"}
+SPARK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
 
 
 def differences(result: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -> list[str]:

@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from larder.__main__ import main
+from larder.__main__ import arguments, main
 from larder.operators.features import NUTRITION_COLUMNS
 from larder.plans.clustering import score_published
 from larder.plans.datamart import publish_scaled, scale_jdbc_table
@@ -79,7 +79,7 @@ def test_load_products(spark, products, embedded, tmp_path):
     rows = read_csv(spark, products).drop("name")
     url, properties = embedded
     load_products_jdbc(rows, url, "food", properties=properties)
-    stored = read_jdbc(spark, url, "food", properties=properties)
+    stored = read_jdbc(spark, url, "food", num_partitions=1, properties=properties)
     assert stored.columns == list(PRODUCT_TABLE) and stored.count() == 200
     load_products_table(rows, "larder_food", location=f"{tmp_path}/food")
     table = spark.table("larder_food")
@@ -107,6 +107,8 @@ def test_command_line(spark, products, raw_dump, tmp_path, capsys, monkeypatch):
     assert "run_id=1" in capsys.readouterr().out
     main(["clusters", f"{tmp_path}/scaled/run_id=1", "--output", f"{tmp_path}/scores"])
     assert spark.read.parquet(f"{tmp_path}/scores").count() == 8
+    main(["clusters", f"{tmp_path}/scaled/run_id=1", "--output", f"{tmp_path}/two", "--ks", "3", "5"])
+    assert sorted(row["k"] for row in spark.read.parquet(f"{tmp_path}/two").collect()) == [3, 5]
     main(["clean", raw_dump, f"{tmp_path}/clean", "--rows", "10", "--order-by", "code", "--min-present", "5"])
     assert read_csv(spark, f"{tmp_path}/clean").columns == ["fat_100g", "salt_100g"]
     main(["wordcount", products, "--output", f"{tmp_path}/words"])
@@ -118,6 +120,13 @@ def test_command_line(spark, products, raw_dump, tmp_path, capsys, monkeypatch):
     spark.sql("DROP TABLE larder_fat")
 
 
+def test_command_line_options():
+    args = arguments(["clusters", "/d", "--ks", "3", "5", "--features", "v"])
+    assert (args.ks, args.features) == ([3, 5], "v")
+    args = arguments(["scale", "t", "/r", "--url", "jdbc:x", "--partition-column", "id", "--partitions", "8"])
+    assert (args.partition_column, args.partitions) == ("id", 8)
+
+
 def test_shared_folder_comes_from_the_session(spark):
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     assert shared_dir(spark) == (configured or spark.sparkContext.getCheckpointDir())

@@ -9,7 +9,7 @@ import pytest
 from larder.operators.shape import drop_sparse
 from larder.sinks import publish_parquet
 from larder.sinks.jdbc import limited_writers
-from larder.sources import read_csv
+from larder.sources import read_csv, read_jdbc
 from larder.sources.files import infer_types
 from larder.streaming import count_new_lines, merged_counts
 
@@ -54,3 +54,8 @@ def test_streams_share_an_output(spark, tmp_path):
 def test_limited_writers_keep_the_tasks_before(spark):
     plan = limited_writers(spark.range(100), 3)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange RoundRobinPartitioning(3)" in plan
+
+
+def test_one_task_reads_have_to_be_asked_for(spark):
+    with pytest.raises(ValueError, match="one task"):
+        read_jdbc(spark, "jdbc:nowhere", "t")
