@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
-from larder.llm import chat, jaccard, packing, pages, secrets, spans, toxicity
+from larder.llm import chat, common, jaccard, packing, pages, secrets, spans, toxicity
 from larder.llm.decontaminate import common_words, find_contamination
 from larder.llm.exact_dedup import drop_copies, exact_dedup
 from larder.llm.jaccard import drop_near_copies, near_duplicates
@@ -300,3 +300,17 @@ def test_pipeline_decisions_take_effect(spark):
     assert len(set(texts)) == len(texts)
     packed = corpus_pipeline.packing(spark, docs, SMALL)
     assert packed.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+
+
+def test_batches_are_bounded_unless_the_session_says_otherwise(spark):
+    before = spark.conf.getAll.get(common.BATCH_SETTING)
+    try:
+        spark.conf.set(common.BATCH_SETTING, "9m")
+        common.bounded_batches(spark)
+        assert spark.conf.get(common.BATCH_SETTING) == "9m"
+        spark.conf.unset(common.BATCH_SETTING)
+        common.bounded_batches(spark)
+        assert spark.conf.get(common.BATCH_SETTING) == common.BATCH_LIMIT
+    finally:
+        if before is not None:
+            spark.conf.set(common.BATCH_SETTING, before)
