@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,8 @@ from larder.llm.common import bounded_batches, map_batches, saved, slices, text_
 BUCKETS = 1 << 16
 DIMENSIONS = 256
 WINDOW, STRIDE = 32, 16
+GROUP = 12  # windows whose words are counted together
+RUN = 3  # words in a row that make an item a candidate; the windows' overlap must hold them
 LEAST_COSINE = 0.3
 LEAST_OVERLAP = 0.6
 PARAPHRASE_OVERLAP, ANSWER_OVERLAP = 0.45, 0.8
@@ -172,16 +175,20 @@ def find_contamination(
     """Add ``contaminated``, ``items`` and ``overlap`` to every document.
 
     Every window of 32 words, each half overlapping the next, is compared with every
-    benchmark passage by the cosine in the latent space; where it is at least
-    ``least_cosine``, the words around are compared with the item's. An item is found if the
+    benchmark passage by the cosine in the latent space. Where it is at least
+    ``least_cosine``, or where the window holds three words in a row that an item has, the
+    words around are compared with the item's. An item is found if the
     longest common subsequence holds ``least_overlap`` of its words, or as a paraphrase if it
     holds 0.45 of them and 0.8 of its answer, the item's last sentence. ``items`` lists the
     found items' ids, ``overlap`` is the largest share.
 
     Word weights are inverse document frequencies over all documents. The space is fitted on
     the benchmark's passages, all of them, as only what they hold can tell an item from
-    another; a window's other words count in its length, so a window with too few of the
-    benchmark's words cannot reach the cosine and is passed over. The benchmark goes to every task and must have at most 100,000 items, else an error is raised.
+    another. Words outside the benchmark count nowhere, and both sides of the cosine are
+    normalised in the space, so neither the number of documents nor what the space leaves out
+    of a large benchmark lowers the cosine of a copy. An item of fewer than three words is
+    found by the cosine alone. The benchmark goes to every task and
+    must have at most 100,000 items, else an error is raised.
 
     Null and empty texts and items without words or ids match nothing; equal items are all
     listed; repeated rows give repeated results; an empty benchmark finds nothing. Input
@@ -204,7 +211,6 @@ def find_contamination(
         return docs.select(*[column(name) for name in names], *nothing, F.lit(0.0).alias("overlap"))
     numbers = numbered({word for row in plain for word in row["words"]})
     counts, n_docs = document_counts(rows, numbers)
-    # a word outside the benchmark weighs like the rarest
     idf = np.log((1 + n_docs) / (1 + counts)) + 0.05
     dims = max(1, min(dims, len(plain)))
     basis = latent_space(passages, numbers, idf, dims)
@@ -216,33 +222,71 @@ def find_contamination(
     for row in items.collect():
         texts.setdefault(row["item"], []).append((WORD.findall(row["text"].lower()), answer_of(row["text"])))
     search = searcher(
-        numbers, idf.astype(np.float32), (idf[:, None] * basis).astype(np.float32), latent, [row["item"] for row in plain],
-        texts, least_cosine, least_overlap, names,
+        numbers, (idf[:, None] * basis).astype(np.float32), latent, [row["item"] for row in plain], texts,
+        least_cosine, least_overlap, names,
     )
     return map_batches(rows, T.StructType([*fields, *added]), search)
 
 
-def searcher(numbers, idf, vectors, latent, owners, texts, least_cosine, least_overlap, names):
+def word_runs(codes: np.ndarray) -> np.ndarray:
+    """A number for each ``RUN`` words in a row, or -1 where one of them is outside the benchmark."""
+    many = max(0, len(codes) - RUN + 1)
+    key, known = np.zeros(many, np.int64), np.ones(many, bool)
+    for k in range(RUN):
+        part = codes[k : k + many].astype(np.int64)
+        key = key * (BUCKETS + 1) + part
+        known &= part > 0
+    return np.where(known, key, -1)
+
+
+def runs_of_items(numbers, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The items' runs, sorted and each once, where each one's items begin, and those items."""
+    pairs = []
+    for item, versions in texts.items():
+        for words, _ in versions:
+            runs = np.unique(word_runs(np.array([numbers[word] for word in words], np.int64)))
+            pairs.append((runs, np.full(len(runs), item, np.int64)))
+    runs, items = (np.concatenate(x) for x in zip(*pairs))  # -1 too, which no document's run equals
+    runs, items = np.append(runs, -1), np.append(items, -1)
+    order = np.lexsort((items, runs))
+    runs, first = np.unique(runs[order], return_index=True)
+    return runs, np.append(first, len(items)), items[order]
+
+
+def searcher(numbers, vectors, latent, owners, texts, least_cosine, least_overlap, names):
     """For :func:`map_batches`: found items and the largest overlap of each document."""
-    square = np.square(idf)
     block = max(16, min(2048, (4 << 20) // max(1, len(latent))))  # of windows, at most 16 MB of cosines
-    inside = square.copy()
-    inside[0] = 0
-
-    def windows(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Document, start and end of every window over texts that lie one after another."""
+    runs, run_first, run_items = runs_of_items(numbers, texts)
+    least = min(least_overlap, PARAPHRASE_OVERLAP) - 1e-9
+    known = sorted(texts)
+    places = {item: place for place, item in enumerate(known)}
+    owners = np.array([places[item] for item in owners], np.int64)
+    known = np.array(known, np.int64)
+    versions = [(places[item], words) for item in texts for words, _ in texts[item] if words]
+    version_of = np.array([place for place, _ in versions], np.int64)
+    spelt = np.array([numbers[word] for _, words in versions for word in words], np.int32)
+    lengths = np.array([len(words) for _, words in versions], np.int64)
+    spelt_first = np.cumsum(lengths) - lengths
+    longest, needed = int(lengths.max()), least * lengths
+
+    def windows(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Document, start and end of every window over texts that lie one after another, and
+        each document's first window."""
         ends = np.cumsum(sizes)
         many = np.where(sizes > 0, np.maximum(1, -(-(sizes - STRIDE) // STRIDE)), 0)
         doc = np.repeat(np.arange(len(sizes)), many)
-        number = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
+        first = np.cumsum(many) - many
+        number = np.arange(len(doc)) - np.repeat(first, many)
         start = (ends - sizes)[doc] + STRIDE * number
-        return doc, start, np.minimum(start + WINDOW, ends[doc])
+        return doc, start, np.minimum(start + WINDOW, ends[doc]), first
 
     def matched(words: list[str], start: int, end: int, item: int) -> float:
         """The share of an item's words that lie around a window in the item's order, or 0."""
         best = 0.0
         for wanted, answer in texts[item]:
             around = words[max(0, start - len(wanted)) : end + len(wanted)]
+            if sum(map(set(around).__contains__, wanted)) < least * len(wanted):
+                continue  # too few even in any order
             share = common_words(wanted, around) / max(1, len(wanted))
             enough = share >= least_overlap or (
                 share >= PARAPHRASE_OVERLAP and common_words(answer, around) >= ANSWER_OVERLAP * len(answer)
@@ -251,47 +295,92 @@ def searcher(numbers, idf, vectors, latent, owners, texts, least_cosine, least_o
                 best = max(best, share)
         return best
 
+    def folds(padded, doc, start, end) -> np.ndarray:
+        """The sum of the words' vectors of each window: its first half and the second, which
+        is the first half of the next window of the same text."""
+        def half(first: np.ndarray, end: np.ndarray) -> np.ndarray:
+            places = first[:, None] + np.arange(STRIDE)
+            codes = np.where(places < end[:, None], padded[places], 0)
+            out = np.zeros((len(first), vectors.shape[1]), np.float32)
+            for k in range(STRIDE):
+                out += vectors[codes[:, k]]
+            return out
+
+        folded = half(start, end)
+        last = np.append(doc[1:] != doc[:-1], True)
+        second = half(start[last] + STRIDE, end[last])
+        whole = folded.copy()
+        whole[:-1][~last[:-1]] += folded[1:][~last[:-1]]
+        whole[last] += second
+        return whole
+
+    def possible(at, doc, start, end, text_start, text_end) -> tuple[np.ndarray, np.ndarray]:
+        """Stretches of at most ``GROUP`` windows of one text, and which items have enough of
+        their words, in any order, around each: no other item can be found there."""
+        new = np.append(True, doc[1:] != doc[:-1])
+        since = np.arange(len(doc)) - np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))
+        heads = np.flatnonzero(since % GROUP == 0)
+        tails = np.append(heads[1:], len(doc)) - 1
+        out = np.zeros((len(heads), len(known)), bool)
+        here = np.zeros(BUCKETS + 1, bool)
+        for k, (head, tail) in enumerate(zip(heads.tolist(), tails.tolist())):
+            i = doc[head]
+            around = at[max(text_start[i], start[head] - longest) : min(text_end[i], end[tail] + longest)]
+            here[around] = True
+            here[0] = False
+            many = np.add.reduceat(here[spelt].view(np.int8), spelt_first, dtype=np.int32)
+            out[k, version_of[many >= needed]] = True
+            here[around] = False
+        return np.repeat(np.arange(len(heads)), tails - heads + 1), out
+
     def make():
         get = numbers.get
+        maybe = np.zeros(1 << 22, bool)
+        maybe[(runs * 0x9E3779B1 >> 16) & (1 << 22) - 1] = True
+
+        def with_runs(at, doc_of, base, first, windows_of) -> tuple[np.ndarray, np.ndarray]:
+            """(window, item) wherever a document has a run of the item's."""
+            key = word_runs(at)
+            place = np.flatnonzero((key > 0) & maybe[(key * 0x9E3779B1 >> 16) & (1 << 22) - 1])
+            where = np.searchsorted(runs[:-1], key[place])
+            real = (runs[where] == key[place]) & (doc_of[place] == doc_of[place + RUN - 1])
+            place, where, doc = place[real], where[real], doc_of[place[real]]
+            window = first[doc] + np.minimum((place - base[doc]) // STRIDE, windows_of[doc] - 1)
+            many = run_first[where + 1] - run_first[where]
+            offset = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            return np.repeat(window, many), run_items[np.repeat(run_first[where], many) + offset]
 
         def work(batch: pa.RecordBatch) -> list:
             texts_read = batch["larder_text"].to_pylist()
-            found: list[int] = []
-            sizes = np.zeros(len(texts_read), np.int64)
-            for i, text in enumerate(texts_read):
-                words = WORD.findall(text.lower())
-                sizes[i] = len(words)
-                found.extend([get(word, 0) for word in words])
-            at = np.array(found, np.int32)
-            doc, start, end = windows(sizes)
-            whole = np.concatenate([[0], np.cumsum(square[at], dtype=np.float64)])
-            part = np.concatenate([[0], np.cumsum(inside[at], dtype=np.float64)])
-            norm = whole[end] - whole[start]
-            likely = np.flatnonzero(part[end] - part[start] >= 0.5 * least_cosine**2 * norm)
-            overlap = np.zeros(len(texts_read))
-            items: list[set[int]] = [set() for _ in texts_read]
-            read: dict[int, list[str]] = {}
+            read = [WORD.findall(text.lower()) for text in texts_read]
+            sizes = np.array([len(words) for words in read], np.int64)
+            at = np.fromiter(map(get, chain.from_iterable(read), repeat(0)), np.int32, int(sizes.sum()))
+            doc, start, end, first = windows(sizes)
             base = np.cumsum(sizes) - sizes
+            doc_of = np.repeat(np.arange(len(sizes)), sizes)
+            found = [with_runs(at, doc_of, base, first, np.bincount(doc, minlength=len(sizes)))]
             padded = np.concatenate([at, np.zeros(WINDOW, np.int32)])
-            for first in range(0, len(likely), block):
-                chosen = likely[first : first + block]
-                places = start[chosen][:, None] + np.arange(WINDOW)
-                codes = np.where(places < end[chosen][:, None], padded[places], 0)
-                folded = np.zeros((len(chosen), vectors.shape[1]), np.float32)
-                for k in range(WINDOW):
-                    folded += vectors[codes[:, k]]
+            for low in range(0, len(doc), block):
+                part = slice(low, low + block)
+                folded = folds(padded, doc[part], start[part], end[part])
                 cosine = folded @ latent.T
-                cosine /= np.sqrt(norm[chosen])[:, None]
-                for w, p in zip(*np.nonzero(cosine >= least_cosine)):
-                    i, item = int(doc[chosen[w]]), owners[p]
-                    if item in items[i]:
-                        continue
-                    if i not in read:
-                        read[i] = WORD.findall(texts_read[i].lower())
-                    share = matched(read[i], int(start[chosen[w]] - base[i]), int(end[chosen[w]] - base[i]), item)
-                    if share:
-                        items[i].add(item)
-                        overlap[i] = max(overlap[i], share)
+                length = np.sqrt(np.einsum("ij,ij->i", folded, folded))
+                w, p = np.nonzero((cosine >= least_cosine * length[:, None]) & (length[:, None] > 1e-6))
+                stretch, enough = possible(at, doc[part], start[part], end[part], base, base + sizes)
+                real = enough[stretch[w], owners[p]]
+                pairs = np.unique(w[real] * len(known) + owners[p[real]])
+                found.append((low + pairs // len(known), known[pairs % len(known)]))
+            window, item = (np.concatenate(x) for x in zip(*found))
+            overlap = np.zeros(len(texts_read))
+            items: list[set[int]] = [set() for _ in texts_read]
+            for w, one in sorted(set(zip(window.tolist(), item.tolist()))):
+                i = int(doc[w])
+                if one in items[i]:
+                    continue
+                share = matched(read[i], int(start[w] - base[i]), int(end[w] - base[i]), one)
+                if share:
+                    items[i].add(one)
+                    overlap[i] = max(overlap[i], share)
             lists = [sorted(x) for x in items]
             return [*[batch[name] for name in names], [bool(x) for x in lists], lists, overlap]
 

@@ -206,6 +206,16 @@ def test_decontamination(spark):
     assert not any(row["contaminated"] for row in find_contamination(docs, bench.limit(0)).collect())
 
 
+def test_decontamination_finds_copies_of_a_large_benchmark_in_few_dimensions(spark):
+    rng = random.Random(31)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=40))) for i in range(2000)]
+    docs = [(i, " ".join(rng.choices(vocabulary, k=25)) + " own " + text + " end " + " ".join(rng.choices(vocabulary, k=25))) for i, text in items[::20]]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    found = find_contamination(spark.createDataFrame(docs, "doc_id bigint, text string"), bench, dims=16)
+    assert {row["doc_id"]: row["items"] for row in found.collect()} == {i: [i] for i, _ in docs}
+
+
 def test_common_subsequence_equals_dynamic_programming():
     rng = random.Random(6)
     for _ in range(100):
