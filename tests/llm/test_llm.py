@@ -216,6 +216,21 @@ def test_decontamination_finds_copies_of_a_large_benchmark_in_few_dimensions(spa
     assert {row["doc_id"]: row["items"] for row in found.collect()} == {i: [i] for i, _ in docs}
 
 
+def test_decontamination_finds_edited_items_among_many_documents(spark):
+    rng = random.Random(32)
+    vocabulary = [f"w{i}" for i in range(300)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=40))) for i in range(30)]
+    edited = []
+    for i, text in items:
+        gone = set(rng.sample(range(40), 16))
+        edited.append((i, " ".join(f"new{i}x{k}" if k in gone else word for k, word in enumerate(text.split()))))
+    others = [(1000 + i, " ".join(rng.sample(vocabulary, 60))) for i in range(3000)]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    for docs in (edited, edited + others):
+        found = find_contamination(spark.createDataFrame(docs, "doc_id bigint, text string"), bench).where("doc_id < 1000")
+        assert {row["doc_id"]: row["items"] for row in found.collect()} == {i: [i] for i, _ in items}
+
+
 def test_common_subsequence_equals_dynamic_programming():
     rng = random.Random(6)
     for _ in range(100):
