@@ -15,28 +15,53 @@ from larder.llm.common import key_of, map_batches, saved, text_of
 RUN = 3
 RUN_WORDS = 15
 LONGEST = 16
-SENTENCE = re.compile(r"[^\s.!?][^.!?\n]*[.!?]*|[.!?]+")
-WORD = re.compile(r"\S+")
+NEAR = 3
+# Scripts written without spaces, a character of which counts as a word
+WIDE = "\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+STOPS = ".!?\u3002\uff01\uff1f\uff61"
+SENTENCE = re.compile(rf"[^\s{STOPS}][^{STOPS}\n]*[{STOPS}]*|[{STOPS}]+")
+WORD = re.compile(rf"[{WIDE}]|[^\s{WIDE}]+")
+IS_WIDE = re.compile(f"[{WIDE}]")
+
+
+def pieces_of(words: list[str]) -> list[int]:
+    """Where the pieces of a long sentence begin: at its start, at each word whose hash is the
+    least among its ``NEAR`` neighbours on either side, and 16 words after another piece at
+    the latest. The words around decide, not their number from the start, so a passage has
+    the same pieces wherever it stands."""
+    import xxhash
+
+    code = xxhash.xxh32_intdigest
+    past = [1 << 32] * NEAR
+    codes = [*past, *map(code, words), *past]
+    shifted = [codes[k : k + len(words)] for k in range(2 * NEAR + 1)]
+    starts = [0]
+    for i, around in enumerate(zip(*shifted)):
+        if i and (around[NEAR] == min(around) or i - starts[-1] == LONGEST):
+            starts.append(i)
+    return starts
 
 
 def sentences_of(text: str) -> list[tuple[int, int, int, str]]:
     """(start, end, words, normal form) of each sentence.
 
     A sentence ends at a full stop, exclamation or question mark or at the end of the line.
-    One of more than 16 words counts as several of 16, so that a passage without full stops
-    has sentences too. The normal form is in lower case with single spaces.
+    One of more than 16 words counts as several, cut by its content, so that a passage
+    without full stops or one that begins within a sentence has sentences too. The normal
+    form is in lower case with single spaces.
     """
     found = []
+    words_of = WORD.findall if not text.isascii() and IS_WIDE.search(text) else str.split
     for match in SENTENCE.finditer(text):
-        words = match.group().lower().split()
+        words = words_of(match.group().lower())
         if len(words) <= LONGEST:
             found.append((match.start(), match.end(), len(words), " ".join(words)))
             continue
         places = [m.span() for m in WORD.finditer(text, match.start(), match.end())]
-        for i in range(0, len(places), LONGEST):
-            last = min(len(places), i + LONGEST) - 1
-            part = text[places[i][0] : places[last][1]].lower().split()
-            found.append((places[i][0], places[last][1], len(part), " ".join(part)))
+        words = [text[start:end].lower() for start, end in places]
+        starts = pieces_of(words)
+        for i, end in zip(starts, [*starts[1:], len(words)]):
+            found.append((places[i][0], places[end - 1][1], end - i, " ".join(words[i:end])))
     return found
 
 

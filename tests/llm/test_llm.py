@@ -191,6 +191,26 @@ def test_spans(spark):
     assert spans.remove_repeats(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("glue", [" ", ""])
+def test_spans_planted_within_sentences(spark, glue):
+    rng = random.Random(33)
+    word = (lambda: words(rng, 1)) if glue else (lambda: chr(rng.randrange(0x4E00, 0x9FA0)))
+    rows, passages = [], []
+    for i in range(40):
+        passage = glue.join(word() for _ in range(100))
+        for first in (3, 5 + i % 16):
+            rows.append((len(rows), glue.join([*(word() for _ in range(first)), passage, *(word() for _ in range(i % 7))])))
+        passages.append(passage)
+    found = spans.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    found = {row["doc_id"]: row for row in found}
+    for i, passage in enumerate(passages):
+        assert found[2 * i]["n_removed"] == 0
+        text, later = rows[2 * i + 1][1], found[2 * i + 1]
+        start = text.index(passage)
+        assert later["n_removed"] >= 0.7 * len(passage)
+        assert all(start <= cut["start"] and cut["end"] <= start + len(passage) + 1 for cut in later["removed"])
+
+
 def test_decontamination(spark):
     rng = random.Random(4)
     items = [words(rng, n) + ". " + words(rng, 6) + "." for n in (16, 30, 50, 90)]
