@@ -88,6 +88,49 @@ def read_message(role: str | None, text: str, schemas: Mapping[str, Mapping]) ->
     return text, calls, results
 
 
+def settled(links: DataFrame, step: int) -> DataFrame:
+    """``(n, s)``: of each turn in ``links`` (a, b) the place and the depth it moves to.
+
+    A turn moves to the largest place among its own and those its predecessors move to, with
+    a depth of ``step`` more than theirs. Each round hands the values on by one link and is
+    stored; there are as many rounds as the longest chain of turns that move.
+    """
+    ends = links.select(F.col("a").alias("n")).union(links.select(F.col("b").alias("n"))).distinct()
+    state = saved(ends.select("n", F.struct(F.col("n").alias("m"), F.lit(0).alias("d")).alias("s")), "chat-places")
+    while True:
+        handed = links.join(state, F.col("a") == F.col("n")).groupBy("b").agg(
+            F.max(F.struct(F.col("s.m").alias("m"), (F.col("s.d") + step).alias("d"))).alias("t")
+        )
+        # greatest skips the null of a turn without predecessors
+        new = state.join(handed, F.col("n") == F.col("b"), "left").select(
+            "n", F.greatest("s", "t").alias("s"), (F.col("t") > F.col("s")).alias("more")
+        )
+        new = saved(new, "chat-places")
+        state = new.select("n", "s")
+        if new.where("more").isEmpty():
+            return state
+
+
+def without_cycles(links: DataFrame) -> DataFrame:
+    """The links, but of those in cycles or between them only the ones that point forward.
+
+    Turns of a cycle move to one place, so only links within a place are peeled: those that
+    nothing leads to, or that lead nowhere, until none is left or none goes.
+    """
+    state = settled(links, 0)
+    at_a = state.select(F.col("n").alias("a"), F.col("s.m").alias("m_a"))
+    at_b = state.select(F.col("n").alias("b"), F.col("s.m").alias("m_b"))
+    core = saved(links.join(at_a, "a").join(at_b, "b").where("m_a = m_b").select("a", "b"), "chat-core")
+    many = core.count()
+    while many:
+        targets, sources = core.select(F.col("b").alias("a")).distinct(), core.select(F.col("a").alias("b")).distinct()
+        core = saved(core.join(targets, "a", "left_semi").join(sources, "b", "left_semi").select("a", "b"), "chat-core")
+        before, many = many, core.count()
+        if many == before:
+            return saved(links.join(core.where("a > b"), ["a", "b"], "left_anti"), "chat-links")
+    return links
+
+
 def format_chats(
     turns: DataFrame,
     schemas: Mapping[str, Mapping] | None = None,
@@ -102,10 +145,12 @@ def format_chats(
     A text may hold calls, ``<tool_call>{"id", "name", "arguments"}</tool_call>``, and
     results, ``<tool_result>{"id", "content"}</tool_result>``; a turn of the role "tool" may
     be one JSON result with a ``tool_call_id``. Calls and results are joined by conversation
-    and identifier; of repeated calls with one identifier the first counts. A result that
-    stands before its call is moved behind it, else turns keep their order, so ``position``
-    (from 0 in each conversation) is a topological order: calls depend on no result, thus
-    one move sorts them. Arguments are checked against ``schemas``, JSON schemas by tool name;
+    and identifier; of repeated calls with one identifier the first counts. A turn with a
+    result that stands before its call moves right behind the call's turn, and the turns with
+    results of its own calls move behind it in turn; else turns keep their order. ``position``
+    (from 0 in each conversation) is a topological order of the links; where turns wait for
+    each other, only links with the call before the result count, and a turn may hold both a
+    call and its result. Arguments are checked against ``schemas``, JSON schemas by tool name;
     with schemas given, a tool without one is invalid. A result without a call, broken JSON
     and a call without an identifier stay in the message and are not linked.
 
@@ -139,25 +184,27 @@ def format_chats(
     schema = f"conv {conv}, turn {turn}, role string, content string, calls {item}, results {item}"
     read = map_batches(rows, schema, make).withColumn("row", F.monotonically_increasing_id())
     read = saved(read, "chat-turns")
+    placed = ranked(read, ["conv", "turn", "role", "content", "row"], "place")
     calls = (
-        read.select("conv", "turn", "row", F.explode("calls").alias("c"))
-        .where("c.call_id is not null")
-        .groupBy("conv", F.col("c.call_id").alias("id"))
-        .agg(F.min(F.struct("turn", "row")).alias("first"))
-        .select(F.col("conv").alias("call_conv"), F.col("id").alias("call"), F.col("first.turn").alias("call_turn"))
+        placed.select("conv", "place", F.explode("calls.call_id").alias("call"))
+        .where("call is not null")
+        .groupBy(F.col("conv").alias("call_conv"), "call")
+        .agg(F.min("place").alias("after"))
     )
-    results = read.select("conv", "row", F.explode("results.call_id").alias("id")).where("id is not null")
+    results = placed.select("conv", "place", F.explode("results.call_id").alias("id")).where("id is not null")
     linked = saved(
-        results.join(calls, F.col("conv").eqNullSafe(F.col("call_conv")) & (F.col("id") == F.col("call")))
-        .groupBy("row")
-        .agg(F.count("*").alias("n_linked"), F.max("call_turn").alias("after"), F.sort_array(F.collect_set("id")).alias("links")),
+        results.join(calls, F.col("conv").eqNullSafe(F.col("call_conv")) & (F.col("id") == F.col("call"))).select("place", "after", "id"),
         "chat-links",
     )
-    placed = read.join(linked, "row", "left").withColumns(
-        {"moved": F.coalesce(F.greatest("turn", "after"), F.col("turn")), "late": F.coalesce(F.col("after") >= F.col("turn"), F.lit(False))}
-    )
-    order = ["conv", "moved", "late", "turn", "role", "content", "row"]
-    placed = ranked(placed, order, "place")
+    links = saved(linked.select(F.col("after").alias("a"), F.col("place").alias("b")).where("a != b").distinct(), "chat-links")
+    found = linked.groupBy("place").agg(F.count("*").alias("n_linked"), F.sort_array(F.collect_set("id")).alias("links"))
+    placed = placed.join(found, "place", "left")
+    if not links.where("a > b").isEmpty():
+        moves = settled(without_cycles(links), 1).select(F.col("n").alias("place"), F.col("s.m").alias("moved"), F.col("s.d").alias("depth"))
+        placed = placed.join(moves, "place", "left").withColumns(
+            {"moved": F.coalesce("moved", "place"), "depth": F.coalesce("depth", F.lit(0)), "stood": F.col("place")}
+        )
+        placed = ranked(placed.drop("place"), ["moved", "depth", "stood"], "place")
     firsts = saved(placed.groupBy("conv").agg(F.min("place").alias("first")).withColumnRenamed("conv", "first_conv"), "chat-first")
     placed = placed.join(firsts, F.col("conv").eqNullSafe(F.col("first_conv"))).withColumn("position", F.col("place") - F.col("first"))
 

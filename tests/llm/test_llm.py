@@ -331,6 +331,26 @@ def test_chat(spark):
     assert found[2, 0]["n_linked"] == 0 and found[2, 0]["role"] == ""
 
 
+def test_chat_chains_and_cycles(spark):
+    def text(calls: str, results: str) -> str:
+        made = "".join(f'<tool_call>{{"id":"{c}","name":"f","arguments":{{}}}}</tool_call>' for c in calls)
+        return made + "".join(f'<tool_result>{{"id":"{r}","content":1}}</tool_result>' for r in results)
+
+    chats = {
+        1: [(1, "", ""), (4, "C", "A"), (5, "", "C"), (6, "A", ""), (7, "", "")],
+        2: [(2, "", "B"), (3, "B", "A"), (5, "A", ""), (6, "", "")],
+        3: [(1, "A", "B"), (2, "B", "A"), (3, "", "B"), (4, "", "")],
+        4: [(1, "", "D"), (2, "D", "C"), (3, "C", "B"), (4, "B", "A"), (5, "A", "A"), (6, "", "A")],
+    }
+    rows = [(c, n, "tool", text(made, got)) for c, turns in chats.items() for n, made, got in turns]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
+    order = defaultdict(list)
+    for row in sorted(chat.format_chats(turns).collect(), key=lambda row: (row["conv_id"], row["position"])):
+        assert row["position"] == len(order[row["conv_id"]])
+        order[row["conv_id"]].append(row["turn"])
+    assert order == {1: [1, 6, 4, 5, 7], 2: [5, 3, 2, 6], 3: [1, 2, 3, 4], 4: [5, 4, 3, 2, 1, 6]}
+
+
 def test_pipeline_decisions_take_effect(spark):
     import corpus_pipeline
 
