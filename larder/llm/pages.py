@@ -44,19 +44,21 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 CLOSED_BY = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "option": {"option"}}
 
-WORD, OPEN, CLOSE = "w", "o", "c"
-LEAST_BLOCK, LEAST_INLINE = -0.3, -1.5
+WORD, OPEN, CLOSE, NAME = "w", "o", "c", "n"
+NAME_PART = re.compile(r"[a-z]{2,40}")
+MAX_NAMES = 10_000
+LEARNT_CLUTTER, LISTED_WORD = -2.0, -1.0
 
 
 def is_clutter(tag: str, attributes: str) -> bool:
-    """Whether an element is no part of any article: by tag, role, or class and id words."""
+    """Whether an element is no part of any article: by tag, role, or because it is hidden."""
     if tag in RAW or tag in DROPPED:
         return True
     if not attributes or tag in HEAD_OF_PAGE:
         return False
     for match in ATTRIBUTE.finditer(attributes):
         name, value = match[1].lower(), (match[2] or match[3] or match[4] or "").lower()
-        if name == "role" and value in CLUTTER_ROLES or name in ("class", "id") and CLUTTER.search(value):
+        if name == "role" and value in CLUTTER_ROLES:
             return True
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return True
@@ -65,17 +67,32 @@ def is_clutter(tag: str, attributes: str) -> bool:
     return False
 
 
-def tokens_of(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
-    """(kind, tag, text, clutter, content) of each tag and stretch of text, in page order.
+def names_of(tag: str, attributes: str) -> tuple[frozenset[str], bool]:
+    """The words of an element's class and id, and whether the list of clutter has one."""
+    names, listed = frozenset(), False
+    if attributes and tag not in HEAD_OF_PAGE:
+        for match in ATTRIBUTE.finditer(attributes):
+            if match[1].lower() in ("class", "id"):
+                value = (match[2] or match[3] or match[4] or "").lower()
+                names |= frozenset(NAME_PART.findall(value))
+                listed = listed or CLUTTER.search(value) is not None
+    return names, listed
+
+
+def tokens_of(page: str) -> Iterator[tuple[str, str, str, bool, bool, frozenset[str], bool]]:
+    """(kind, tag, text, clutter, content, names, listed) of each tag and stretch of text, in
+    page order.
 
     ``tag`` is that of the tag itself or of the element around the text; ``content`` says
-    that an article or main element is open. An unclosed element ends with an enclosing one
+    that an article or main element is open. ``names`` are the class and id words of all open
+    elements, ``listed`` says that the list of clutter has one, outside content. An unclosed element ends with an enclosing one
     or, for paragraphs and list items, with the next of its kind.
     """
-    stack: list[tuple[str, bool, bool]] = []  # tag, clutter, content
+    none: frozenset[str] = frozenset()
+    stack: list[tuple] = []  # tag, clutter, content, names, listed
 
-    def top() -> tuple[str, bool, bool]:
-        return stack[-1] if stack else ("", False, False)
+    def top() -> tuple:
+        return stack[-1] if stack else ("", False, False, none, False)
 
     at = 0
     n = len(page)
@@ -83,8 +100,8 @@ def tokens_of(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
         match = TOKEN.search(page, at)
         start = match.start() if match else n
         if start > at:
-            tag, clutter, content = top()
-            yield WORD, tag, page[at:start], clutter, content
+            tag, clutter, content, names, listed = top()
+            yield WORD, tag, page[at:start], clutter, content, names, listed
         if not match:
             return
         at = match.end()
@@ -94,24 +111,27 @@ def tokens_of(page: str) -> Iterator[tuple[str, str, str, bool, bool]]:
         if not page.endswith(">", 0, at):
             return  # the page ends inside a tag
         if match[1]:
-            _, clutter, content = top()
-            yield CLOSE, tag, "", clutter, content
-            if any(name == tag for name, _, _ in stack):
+            yield CLOSE, tag, "", *top()[1:]
+            if any(entry[0] == tag for entry in stack):
                 while stack.pop()[0] != tag:
                     pass
             continue
         while stack and tag in CLOSED_BY.get(stack[-1][0], ()):
             stack.pop()
-        _, inside, content = top()
+        _, inside, content, names, listed = top()
         clutter = inside or is_clutter(tag, match[3])
-        yield OPEN, tag, "", clutter, content
+        own, marked = names_of(tag, match[3])
+        names = names | own if own else names
+        content = content or tag in ("article", "main")
+        listed = listed or marked and not content
+        yield OPEN, tag, "", clutter, content, names, listed
         if tag in VOID or match[3].rstrip().endswith("/") and tag not in BLOCKS:
             continue
         if tag in RAW or tag == "title":
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             at = end.end() if end else n
             continue
-        stack.append((tag, clutter, content or tag in ("article", "main")))
+        stack.append((tag, clutter, content, names, listed))
 
 
 def token_class(kind: str, tag: str) -> str:
@@ -131,12 +151,15 @@ def count_classes():
                 low = page.lower()
                 if low.count("<article") != 1 and low.count("<main") != 1:
                     continue
-                for kind, tag, text, clutter, content in tokens_of(page):
-                    inside = content and not clutter
+                for kind, tag, text, clutter, content, names, listed in tokens_of(page):
+                    if clutter:
+                        continue  # never scored by its class
+                    many = len(text.split()) if kind == WORD else 1
                     if kind == WORD:
-                        counts[inside][token_class(kind, tag)] += len(text.split())
-                    else:
-                        counts[inside][token_class(kind, tag)] += 1
+                        for name in names:
+                            counts[content][NAME + name] += many
+                    if not listed:
+                        counts[content][token_class(kind, tag)] += many
         names = list(counts[0].keys() | counts[1].keys())
         yield pa.RecordBatch.from_pydict(
             {
@@ -150,48 +173,56 @@ def count_classes():
 
 
 def fit_weights(pages: DataFrame, html_col: str = "html") -> dict[str, float]:
-    """The weight of each class of token, from all labelled pages among ``pages``.
-
-    A word weighs between 0.5 and 2, a tag between -1.5 (block: -0.3) and -0.02, by the log odds of its
-    class in and out of content; a class of word never seen weighs 1 and a tag -0.2. There are at
-    most three classes per HTML tag, which bounds what reaches the driver.
+    """The weight of each class of token and each class or id word, from all labelled pages
+    among ``pages``.
+
+    Weights follow the log odds in and out of content: a word of text up to 2, a tag at most
+    -0.02, neither with a floor; a class or id word weighs its log odds over the text in the
+    elements that bear it. Tags and text that are never scored by their class (menus, scripts,
+    hidden elements) or stand outside content under a listed name are not counted for tags.
+    There are at most three classes per HTML tag, and the 10,000 names with the most text,
+    which bounds what reaches the driver.
     """
     texts = pages.select(text_of(html_col).alias("larder_html"))
     counts = texts.mapInArrow(count_classes(), "class string, outside bigint, inside bigint").groupBy("class")
-    rows = counts.agg(F.sum("outside").alias("outside"), F.sum("inside").alias("inside")).collect()
+    counts = counts.agg(F.sum("outside").alias("outside"), F.sum("inside").alias("inside"))
+    named = F.col("class").startswith(NAME)
+    names = counts.where(named).orderBy(F.desc(F.col("outside") + F.col("inside")), "class").limit(MAX_NAMES)
     weights = {}
-    for row in rows:
+    for row in counts.where(~named).union(names).collect():
         odds = math.log((row["inside"] + 1) / (row["outside"] + 1))
-        word = row["class"].startswith(WORD)
-        if word:
-            weights[row["class"]] = min(2.0, max(0.5, 1 + odds / 4))
-        else:
-            # lists and divisions stand in articles too, whatever these pages use them for
-            floor = LEAST_BLOCK if row["class"][1:] in BLOCKS else LEAST_INLINE
-            weights[row["class"]] = max(floor, min(-0.02, odds - 1))
+        kind = row["class"][0]
+        weights[row["class"]] = odds if kind == NAME else min(2.0, 1 + odds / 4) if kind == WORD else min(-0.02, odds - 1)
     return weights
 
 
 def extract(page: str, weights: dict[str, float]) -> str:
-    """The text of the best stretch of tokens, without what is marked as clutter in it."""
-    tokens = list(tokens_of(page))
+    """The text of the best stretch of tokens, without what is marked as clutter in it.
+
+    Under names that the labelled pages show outside content, text scores against the stretch
+    and is left out; under names only the list has, outside an article or main element, it
+    scores against the stretch, and stays if the best stretch goes on behind it.
+    """
+    tokens = []
     best = (0.0, 0, 0)
     score, start = 0.0, 0
-    for i, (kind, tag, text, clutter, _) in enumerate(tokens):
-        if clutter:
-            score += 0.0 if kind == WORD else -0.02
-        elif kind == WORD:
-            score += weights.get(token_class(kind, tag), 1.0) * len(text.split())
+    for i, (kind, tag, text, clutter, _, names, listed) in enumerate(tokens_of(page)):
+        learnt = min((weights.get(NAME + name, 0.0) for name in names), default=0.0)
+        out = clutter or learnt <= LEARNT_CLUTTER
+        tokens.append((kind, tag, text, out))
+        many = len(text.split()) if kind == WORD else 1
+        if out or listed:
+            score += -0.02 if kind != WORD else 0.0 if clutter else LISTED_WORD * many
         else:
-            score += weights.get(token_class(kind, tag), -0.2)
+            score += weights.get(token_class(kind, tag), 1.0 if kind == WORD else -0.2) * many
         if score <= 0:
             score, start = 0.0, i + 1
         elif score > best[0]:
             best = (score, start, i + 1)
     blocks: list[list[str]] = [[]]
-    for kind, tag, text, clutter, _ in tokens[best[1] : best[2]]:
+    for kind, tag, text, out in tokens[best[1] : best[2]]:
         if kind == WORD:
-            if not clutter:
+            if not out:
                 blocks[-1].append(html.unescape(text))
         elif tag in BLOCKS:
             blocks.append([])
@@ -208,8 +239,9 @@ def extract_pages(
 
     Words score for and tags against a stretch of the page; the best stretch is found by one
     scan over the whole page. Menus, headers, footers, asides, forms, scripts, styles and
-    elements whose class, id or role names them, notices, adverts or comments score nothing
-    and are left out. Weights are learnt from the pages themselves if none are given.
+    hidden elements score nothing and are left out. Class and id words weigh what the
+    labelled pages show; a fixed list stands in, outside articles, for those they don't show.
+    Weights are learnt from the pages themselves if none are given.
     Character references are decoded, white space in a block becomes one space, blocks are
     joined by an empty line. A null or empty page, or one without words, gives an empty
     text. Pages are treated one by one, repeated ones too.

@@ -294,6 +294,16 @@ def test_pages(spark):
     assert found[2]["text"] == found[3]["text"] == found[None]["text"] == "" and found[4]["text"] == "only <one>"
 
 
+def test_page_names_are_learnt(spark):
+    body = "<p>" + "plain words of the text " * 10 + "</p>"
+    page = f'<html><body><div class="zebra">Buy this thing today</div><div>Unmarked advert of six words</div><article>{body}</article></body></html>'
+    weights = pages.fit_weights(spark.createDataFrame([(page,)] * 300, "html string"))
+    kept = "".join(f"<section {name}><h2>Part</h2><p>Kept {name[-8:-1]} words</p></section>" for name in ('id="discussion"', 'id="related-work"', 'class="side-by-side"'))
+    text = pages.extract(f'<html><body><div>Unmarked advert of six words</div><article>{body}{kept}<div class="zebra">Buy more</div>{body}</article></body></html>', weights)
+    assert "ussion words" in text and "ed-work words" in text and "by-side words" in text
+    assert "Buy" not in text and "Unmarked" not in text
+
+
 def test_secrets(spark):
     text = 'Password: "abcdefgh1" x ſecret=aaaaaaaaaa TOKEN=short AKIA' + "A1" * 6 + " " + "0af" * 11 + " login: k9$Xq!27zPw# pwd=qwertyuiop"
     docs = spark.createDataFrame([(1, text), (2, None), (None, "")], "doc_id bigint, text string")
