@@ -6,6 +6,7 @@ import hashlib
 import math
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -35,7 +36,11 @@ COMMON = (
 
 WORDS = 20_000
 LONGEST_WORD = 20
-DATE = re.compile(r"(?:19|20)\d\d(?:[-/._]?(?:0[1-9]|1[0-2])(?:[-/._]?(?:0[1-9]|[12]\d|3[01]))?)?")
+LONGEST_PERIOD = 1000
+MONTH, DAY, SEP = r"(?:0[1-9]|1[0-2])", r"(?:0[1-9]|[12]\d|3[01])", r"[-/._]?"
+DATE = re.compile(
+    rf"(?:19|20)\d\d(?:{SEP}{MONTH}(?:{SEP}{DAY})?)?|(?:{DAY}{SEP}{MONTH}|{MONTH}{SEP}{DAY}|{MONTH}){SEP}(?:19|20)\d\d"
+)
 LEET = str.maketrans("4301578$@", "aeoistbsa")
 LEAST_LOG_GUESSES = 8.0
 
@@ -64,8 +69,9 @@ def log_guesses(value: str, ranks: dict[str, int], near: dict[str, set[str]] | N
 
     ``best[i]`` is the cheapest way to write the first i characters as words, dates, repeats,
     keyboard walks and single characters tried one by one; each segment multiplies the
-    guesses, and a further segment costs a factor of 2 for its place. Work grows in proportion
-    to the length.
+    guesses, and a further segment costs a factor of 2 for its place. Walks and runs of one
+    character may begin anywhere, dates be written in any order, and repeats have any period
+    up to 1,000, which keeps the work in proportion to the length.
     """
     near = near or keyboard()
     n = len(value)
@@ -74,6 +80,12 @@ def log_guesses(value: str, ranks: dict[str, int], near: dict[str, set[str]] | N
     per_char = brute(value) / max(1, n)
     best = [0.0] + [math.inf] * n
     walk = same = 0
+    walked = math.inf  # the cheapest way whose last segment is a walk that ends here
+    codes = np.array([ord(c) for c in lower], np.int32)
+    periods = np.arange(1, min(n, LONGEST_PERIOD) + 1)
+    repeats = np.zeros(len(periods), np.int64)  # characters up to here that equal the one a period before
+    reached = np.full(n + 1, math.inf)  # best, as an array
+    reached[0] = 0.0
     for i in range(1, n + 1):
         best[i] = best[i - 1] + per_char
         for size in range(3, min(i, LONGEST_WORD) + 1):
@@ -83,20 +95,26 @@ def log_guesses(value: str, ranks: dict[str, int], near: dict[str, set[str]] | N
                 if rank is not None:
                     upper = value[start:i] != lower[start:i]
                     best[i] = min(best[i], best[start] + math.log10(2 * (rank + 1)) + more + upper * math.log10(4))
-        for size in (10, 8, 7, 6, 4):
+        for size in (10, 9, 8, 7, 6, 4):
             if size <= i and DATE.fullmatch(lower, i - size, i):
-                best[i] = min(best[i], best[i - size] + math.log10(2 * 100 * (12 if size > 5 else 1) * (31 if size > 7 else 1)))
+                ways = 1 if lower[i - size : i - size + 4].startswith(("19", "20")) else 2  # day or month first
+                best[i] = min(best[i], best[i - size] + math.log10(2 * 100 * ways * (12 if size > 5 else 1) * (31 if size > 7 else 1)))
         same = same + 1 if i > 1 and lower[i - 1] == lower[i - 2] else 0
-        if same >= 2:
-            best[i] = min(best[i], best[i - same - 1] + math.log10(2 * 36 * (same + 1)))
+        # a segment before can end at most a word's length into the run
+        for run in range(max(2, same - LONGEST_WORD), same + 1):
+            best[i] = min(best[i], best[i - run - 1] + math.log10(2 * 36 * (run + 1)))
         step = i > 1 and (lower[i - 1] in near.get(lower[i - 2], ()) or abs(ord(lower[i - 1]) - ord(lower[i - 2])) == 1)
         walk = walk + 1 if step else 0
+        walked = walked + math.log10(3) if walk > 3 else math.inf
         if walk >= 3:
-            best[i] = min(best[i], best[i - walk - 1] + math.log10(2 * 36) + walk * math.log10(3))
-        for period in (2, 3, 4):
-            size = period * 2
-            if size <= i and lower[i - size : i - period] == lower[i - period : i]:
-                best[i] = min(best[i], best[i - period] + math.log10(2))
+            walked = min(walked, best[i - 4] + math.log10(2 * 36) + 3 * math.log10(3))
+            best[i] = min(best[i], walked)
+        many = min(i - 1, len(periods))
+        repeats[:many] = (repeats[:many] + 1) * (codes[i - 1 - many : i - 1][::-1] == codes[i - 1])
+        twice = periods[1:many][repeats[1:many] >= periods[1:many]]
+        if len(twice):
+            best[i] = min(best[i], float(reached[i - twice].min()) + math.log10(2))
+        reached[i] = best[i]
     return best[n]
 
 

@@ -321,6 +321,16 @@ def test_secrets(spark):
     assert cost("qwertyuiop") < 7 < secrets.brute("qwertyuiop") and cost("aaaaaaaaaaaa") < 4 and cost("") == 0
 
 
+def test_segments_of_any_start_period_and_date_order():
+    ranks = {"password": 0, "pass": 1, "horse": 50}
+    cost = lambda value: secrets.log_guesses(value, ranks)
+    for date in ("12/31/1999", "31.12.1999", "31121999", "12-1999"):
+        assert cost(date) < 6
+    assert cost("horsert" + "yuiop") < cost("horse") + 5 and cost("passsssss") < cost("pass") + 4
+    assert cost("k9x2q" * 4) <= cost("k9x2q") + 1
+    assert cost("ab" * 4000) < cost("ab") + 4000 and cost("password1990") < 6
+
+
 def test_chat(spark):
     call = '<tool_call>{"id": "c1", "name": "add", "arguments": {"b": 2, "a": 1}}</tool_call>'
     bad = '<tool_call>{"id": "c2", "name": "add", "arguments": {"a": "x"}}</tool_call><tool_call>{oops</tool_call>'
