@@ -15,6 +15,7 @@ from larder.llm.common import map_batches, ranked, saved
 # How calls and results are written in a message's text
 CALL = re.compile(r"<tool_call>(.*?)</tool_call>", re.S)
 RESULT = re.compile(r"<tool_result>(.*?)</tool_result>", re.S)
+TOOLS = re.compile(r"<tools>(.*?)</tools>", re.S)
 JSON_TYPES = {
     "string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list,
     "null": type(None),
@@ -34,7 +35,7 @@ def fits(value: object, schema: Mapping) -> bool:
     if kinds is not None:
         kinds = [kinds] if isinstance(kinds, str) else kinds
         if not any(
-            isinstance(value, JSON_TYPES[kind]) and (kind in ("boolean", "null") or not isinstance(value, bool))
+            isinstance(value, JSON_TYPES.get(kind, ())) and (kind in ("boolean", "null") or not isinstance(value, bool))
             for kind in kinds
         ):
             return False
@@ -52,6 +53,29 @@ def fits(value: object, schema: Mapping) -> bool:
     return True
 
 
+def defined_tools(text: str) -> list[dict]:
+    """Name and JSON schema of each tool that a system message defines."""
+    found = []
+    for body in TOOLS.findall(text):
+        try:
+            tools = json.loads(body)
+        except ValueError:
+            continue
+        for tool in tools if isinstance(tools, list) else [tools]:
+            if isinstance(tool, dict) and isinstance(tool.get("name"), str):
+                schema = tool.get("parameters")
+                found.append({"name": tool["name"], "schema": canonical(schema if isinstance(schema, dict) else {})})
+    return found
+
+
+def fits_defined(body: str, schema: str | None) -> bool:
+    """Whether arguments fit a tool's definition; none, or one that is no schema, fits nothing."""
+    try:
+        return schema is not None and fits(json.loads(body), json.loads(schema))
+    except (TypeError, AttributeError):
+        return False
+
+
 def parsed(text: str) -> dict | None:
     try:
         found = json.loads(text)
@@ -151,7 +175,9 @@ def format_chats(
     (from 0 in each conversation) is a topological order of the links; where turns wait for
     each other, only links with the call before the result count, and a turn may hold both a
     call and its result. Arguments are checked against ``schemas``, JSON schemas by tool name;
-    with schemas given, a tool without one is invalid. A result without a call, broken JSON
+    with schemas given, a tool without one is invalid. Without ``schemas``, the tools that a
+    conversation's system turns define count, ``<tools>[{"name", "parameters"}]</tools>``, the
+    first of a name; a conversation that defines none takes any object. A result without a call, broken JSON
     and a call without an identifier stay in the message and are not linked.
 
     Null conversations form one conversation, a null turn comes first, a null role is the
@@ -163,13 +189,14 @@ def format_chats(
 
     def make():
         def work(batch: pa.RecordBatch) -> list:
-            texts, calls, results = [], [], []
+            texts, calls, results, tools = [], [], [], []
             for role, text in zip(batch["role"].to_pylist(), batch["text"].to_pylist()):
                 left, made, got = read_message(role, text, known)
                 texts.append(left)
                 calls.append(made)
                 results.append(got)
-            return [batch["conv"], batch["turn"], batch["role"], texts, calls, results]
+                tools.append(defined_tools(text) if role == "system" and schemas is None and "<tools>" in text else [])
+            return [batch["conv"], batch["turn"], batch["role"], texts, calls, results, tools]
 
         return work
 
@@ -181,7 +208,7 @@ def format_chats(
         F.coalesce(column(text_col).cast("string"), F.lit("")).alias("text"),
     )
     item = f"array<struct<{', '.join(field.replace(' ', ': ') for field in FIELDS.split(', '))}>>"
-    schema = f"conv {conv}, turn {turn}, role string, content string, calls {item}, results {item}"
+    schema = f"conv {conv}, turn {turn}, role string, content string, calls {item}, results {item}, tools array<struct<name: string, schema: string>>"
     read = map_batches(rows, schema, make).withColumn("row", F.monotonically_increasing_id())
     read = saved(read, "chat-turns")
     placed = ranked(read, ["conv", "turn", "role", "content", "row"], "place")
@@ -205,15 +232,31 @@ def format_chats(
             {"moved": F.coalesce("moved", "place"), "depth": F.coalesce("depth", F.lit(0)), "stood": F.col("place")}
         )
         placed = ranked(placed.drop("place"), ["moved", "depth", "stood"], "place")
+    tools = placed.select("conv", "place", F.explode("tools").alias("t")).groupBy(F.col("conv").alias("tool_conv"), F.col("t.name").alias("tool"))
+    tools = saved(tools.agg(F.min(F.struct("place", "t.schema")).getField("schema").alias("schema")), "chat-tools")
+    if tools.isEmpty():
+        placed = placed.withColumns({"defined": F.lit(False), "known": F.expr("cast(null as map<string, string>)")})
+    else:
+        named = placed.select("conv", "place", F.explode(F.array_distinct("calls.name")).alias("name"))
+        named = named.join(tools, F.col("conv").eqNullSafe(F.col("tool_conv")) & (F.col("name") == F.col("tool")))
+        named = named.groupBy("place").agg(F.map_from_entries(F.collect_list(F.struct("tool", "schema"))).alias("known"))
+        convs = tools.select("tool_conv", F.lit(True).alias("has")).distinct()
+        placed = placed.join(named, "place", "left").join(convs, F.col("conv").eqNullSafe(F.col("tool_conv")), "left")
+        placed = placed.withColumn("defined", F.coalesce("has", F.lit(False)))
     firsts = saved(placed.groupBy("conv").agg(F.min("place").alias("first")).withColumnRenamed("conv", "first_conv"), "chat-first")
     placed = placed.join(firsts, F.col("conv").eqNullSafe(F.col("first_conv"))).withColumn("position", F.col("place") - F.col("first"))
 
     def make_json():
         def work(batch: pa.RecordBatch) -> list:
-            messages = []
-            for role, content, calls, results, links in zip(
-                *(batch[name].to_pylist() for name in ("role", "content", "calls", "results", "links"))
+            messages, invalid = [], []
+            for role, content, calls, results, links, defined, known in zip(
+                *(batch[name].to_pylist() for name in ("role", "content", "calls", "results", "links", "defined", "known"))
             ):
+                if defined:
+                    schema_of = dict(known or ())
+                    for c in calls:
+                        c["valid"] = c["valid"] and fits_defined(c["body"], schema_of.get(c["name"]))
+                invalid.append(sum(not c["valid"] for c in calls))
                 message: dict = {"content": content, "role": role}
                 if calls:
                     message["tool_calls"] = [
@@ -226,20 +269,19 @@ def format_chats(
                         for r in results
                     ]
                 messages.append(canonical(message))
-            return [*[batch[name] for name in kept], messages]
+            return [*[batch[name] for name in kept], invalid, messages]
 
         return work
 
-    kept = ["conv", "turn", "position", "role", "n_calls", "n_results", "n_linked", "n_invalid"]
+    kept = ["conv", "turn", "position", "role", "n_calls", "n_results", "n_linked"]
     counted = placed.withColumns(
         {
             "n_calls": F.size("calls").cast("bigint"),
             "n_results": F.size("results").cast("bigint"),
             "n_linked": F.coalesce("n_linked", F.lit(0)).cast("bigint"),
-            "n_invalid": F.size(F.filter("calls", lambda c: ~c["valid"])).cast("bigint"),
         }
-    ).select(*kept, "content", "calls", "results", "links")
-    counts = ", ".join(f"{name} bigint" for name in kept[4:])
+    ).select(*kept, "content", "calls", "results", "links", "defined", "known")
+    counts = ", ".join(f"{name} bigint" for name in [*kept[4:], "n_invalid"])
     schema = f"{conv_col} {conv}, {turn_col} {turn}, position bigint, role string, {counts}, message string"
     return map_batches(counted, schema, make_json)
 

@@ -371,6 +371,17 @@ def test_chat_chains_and_cycles(spark):
     assert order == {1: [1, 6, 4, 5, 7], 2: [5, 3, 2, 6], 3: [1, 2, 3, 4], 4: [5, 4, 3, 2, 1, 6]}
 
 
+def test_chat_reads_tools_from_system_turns(spark):
+    tools = '<tools>[{"name":"f","parameters":{"type":"object","required":["x"],"properties":{"x":{"type":"integer"}}}},{"name":"g","parameters":{"type":"odd"}}]</tools>'
+    call = lambda name, arguments: f'<tool_call>{{"id":"1","name":"{name}","arguments":{arguments}}}</tool_call>'
+    calls = [call("f", '{"x":1}'), call("f", '{"x":"1"}'), call("f", "{}"), call("g", "{}"), call("h", "{}"), call("f", "[]")]
+    rows = [(c, n, "a", text) for c in (1, 2) for n, text in enumerate(calls, 1)]
+    rows += [(1, 0, "system", tools), (2, 0, "user", tools)]
+    found = chat.format_chats(spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")).collect()
+    found = {(r["conv_id"], r["turn"]): r["n_invalid"] for r in found}
+    assert [found[1, n] for n in range(7)] == [0, 0, 1, 1, 1, 1, 1] and [found[2, n] for n in range(7)] == [0, 0, 0, 0, 0, 0, 1]
+
+
 def test_pipeline_decisions_take_effect(spark):
     import corpus_pipeline
 
