@@ -15,6 +15,7 @@ from larder.llm.pages import op3_html_text
 from larder.llm.secrets import op8_secrets
 from larder.llm.shards import op5_sharding
 from larder.llm.spans import op10_spans
+from larder.llm.token_files import op13_token_files
 from larder.llm.toxicity import op2_toxicity
 
 
@@ -30,6 +31,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secrets": op8_secrets,
         "op9_decontaminate": op9_decontaminate,
         "op10_spans": op10_spans,
+        "op13_token_files": op13_token_files,
     }
 
 
