@@ -17,6 +17,7 @@ from larder.llm.shards import op5_sharding
 from larder.llm.spans import op10_spans
 from larder.llm.token_files import op13_token_files
 from larder.llm.toxicity import op2_toxicity
+from larder.llm.vector_codes import OP12_SQL, op12_vector_codes
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -31,9 +32,10 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secrets": op8_secrets,
         "op9_decontaminate": op9_decontaminate,
         "op10_spans": op10_spans,
+        "op12_vector_codes": op12_vector_codes,
         "op13_token_files": op13_token_files,
     }
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op7_chat": OP7_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op7_chat": OP7_SQL, "op12_vector_codes": OP12_SQL}
