@@ -12,6 +12,7 @@ from larder.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from larder.llm.jaccard import op4_ngram_jaccard
 from larder.llm.packing import op6_packing
 from larder.llm.pages import op3_html_text
+from larder.llm.search import OP11_SQL, op11_search
 from larder.llm.secrets import op8_secrets
 from larder.llm.shards import op5_sharding
 from larder.llm.spans import op10_spans
@@ -32,10 +33,11 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secrets": op8_secrets,
         "op9_decontaminate": op9_decontaminate,
         "op10_spans": op10_spans,
+        "op11_search": op11_search,
         "op12_vector_codes": op12_vector_codes,
         "op13_token_files": op13_token_files,
     }
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": OP1_SQL, "op7_chat": OP7_SQL, "op12_vector_codes": OP12_SQL}
+    return {"op1_exact_dedup": OP1_SQL, "op7_chat": OP7_SQL, "op11_search": OP11_SQL, "op12_vector_codes": OP12_SQL}
