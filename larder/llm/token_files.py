@@ -9,7 +9,7 @@ A dataset of token files is a folder with three Parquet tables:
               documents in ascending order of their id. ``ids`` and ``counts`` name the
               documents and how many token ids each has, ``first`` the token ids of the part
               before this block. ``bits`` is the bit stream, ``marks`` the bit at which every
-              512th token id begins, so a block is decoded from all its marks at once and
+              256th token id begins, so a block is decoded from all its marks at once and
               needs no other block.
 ``parts``     ``(part, start)``: the token ids of all documents before each part.
 """
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,17 +32,20 @@ from larder.session import new_run_dir
 END_ID = 2
 MAX_BITS = 18
 BLOCK_IDS = 1 << 16
-MARK_IDS = 512
+MARK_IDS = 256
 MEMO_STEMS = 800_000
-BATCH_BYTES = 3 << 20
+BATCH_BYTES = 1 << 20
+CHUNK_BYTES = 12 << 20
 NAMES = ["doc", "ids", "width", "met", "times"]
 LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]+"
-STOPS = ".,!?;:"
+STOPS = ".,!?;:$%#&*()"
 
 
 def stretches(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The positions start, start + 1, ... of every stretch, one stretch after another."""
-    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+    before = np.cumsum(counts)
+    shift = (starts - (before - counts)).astype(starts.dtype)
+    return np.repeat(shift, counts) + np.arange(before[-1] if len(before) else 0, dtype=starts.dtype)
 
 
 def binaries(values: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -78,61 +81,56 @@ class StemEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = pa.array([], pa.string())
         self.ids, self.n_ids = np.zeros(1 << 16, self.kind), 0
-        self.spans, self.n_spans = np.zeros((1 << 14, 2), np.int64), 0
+        self.spans = np.zeros((0, 2), np.int32)
 
-    def whole_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        coded = [one.ids for one in self.whole.encode_batch_fast(words, add_special_tokens=False)]
+    def whole_ids(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        coded = [one.ids for one in self.whole.encode_batch_fast(words.to_pylist(), add_special_tokens=False)]
         return np.fromiter(chain.from_iterable(coded), self.kind), np.fromiter(map(len, coded), np.int64, len(coded))
 
-    def stem_ids(self, stems: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        lines = [" ".join(stems[i : i + 64]) for i in range(0, len(stems), 64)]
+    def stem_ids(self, stems: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        cuts = pa.array([*range(0, len(stems), 64), len(stems)], pa.int32())
+        lines = pc.binary_join(pa.ListArray.from_arrays(cuts, stems), " ").to_pylist()
         coded = self.lean.encode_batch_fast(lines, add_special_tokens=False)
         ids = np.fromiter(chain.from_iterable(line.ids for line in coded), self.kind)
         counts = np.diff(np.flatnonzero(self.closes[ids]), prepend=-1)
         # a stem has one token that closes a word, its last, or none if the vocabulary lacks that
         return (ids, counts) if len(counts) == len(stems) else self.whole_ids(stems)
 
-    def learn(self, pieces: list[str], encode) -> None:
-        for first in range(0, len(pieces), 16_384):
-            part = pieces[first : first + 16_384]
+    def places(self, pieces: pa.Array, encode) -> np.ndarray:
+        """Where the spans of distinct pieces are; those not met before are learnt."""
+        found = pc.index_in(pieces, value_set=self.known)
+        lacking = np.asarray(pc.is_null(found))
+        new = pieces.filter(pa.array(lacking))
+        place = np.array(pc.fill_null(found, 0))
+        place[lacking] = len(self.spans) + np.arange(len(new), dtype=np.int32)
+        spans = [self.spans]
+        for first in range(0, len(new), 16_384):
+            part = new.slice(first, 16_384)
             ids, counts = encode(part)
             while self.n_ids + len(ids) > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            while self.n_spans + len(part) > len(self.spans):
-                self.spans = np.concatenate([self.spans, np.zeros_like(self.spans)])
             self.ids[self.n_ids : self.n_ids + len(ids)] = ids
-            self.spans[self.n_spans : self.n_spans + len(part), 0] = self.n_ids + np.cumsum(counts) - counts
-            self.spans[self.n_spans : self.n_spans + len(part), 1] = counts
-            self.known.update(zip(part, range(self.n_spans, self.n_spans + len(part))))
+            spans.append(np.stack([self.n_ids + np.cumsum(counts) - counts, counts], axis=1).astype(np.int32))
             self.n_ids += len(ids)
-            self.n_spans += len(part)
-
-    def places(self, pieces: list[str], encode) -> np.ndarray:
-        """Where the spans of distinct pieces are; those not met before are learnt."""
-        found = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
-        new = np.flatnonzero(found < 0)
-        if len(new):
-            found[new] = self.n_spans + np.arange(len(new))
-            self.learn([pieces[i] for i in new.tolist()], encode)
-        return found
+        self.known, self.spans = pa.concat_arrays([self.known, new]), np.concatenate(spans)
+        return place
 
     def encode(self, words: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """``(starts, counts)`` into ``ids``, two stretches for each of some distinct words."""
-        if self.n_spans > MEMO_STEMS:
+        if len(self.known) > MEMO_STEMS:
             self.forget()
         plain = np.asarray(pc.match_substring_regex(words, f"^{LETTERS}[{STOPS}]*$"))
         stemmed = words.filter(pa.array(plain))
         stems = pc.utf8_lower(pc.utf8_rtrim(stemmed, STOPS)).dictionary_encode()
         tails = pc.replace_substring_regex(stemmed, f"^{LETTERS}", "").dictionary_encode()
-        others = words.filter(pa.array(~plain)).to_pylist()
-        where = np.zeros((len(words), 2), np.int64)
+        where = np.zeros((len(words), 2), np.int32)
         # no word is a stem and something else, and tails are words to the tokenizer
-        where[plain, 0] = self.places(stems.dictionary.to_pylist(), self.stem_ids)[np.asarray(stems.indices)]
-        where[plain, 1] = self.places(tails.dictionary.to_pylist(), self.whole_ids)[np.asarray(tails.indices)]
-        where[~plain, 0] = self.places(others, self.whole_ids)
-        where[~plain, 1] = self.places([""], self.whole_ids)
+        where[plain, 0] = self.places(stems.dictionary, self.stem_ids)[np.asarray(stems.indices)]
+        where[plain, 1] = self.places(tails.dictionary, self.whole_ids)[np.asarray(tails.indices)]
+        where[~plain, 0] = self.places(words.filter(pa.array(~plain)), self.whole_ids)
+        where[~plain, 1] = self.places(pa.array([""]), self.whole_ids)
         spans = self.spans[where]
         return spans[:, :, 0], spans[:, :, 1]
 
@@ -151,25 +149,43 @@ def tokenised(tokenizer: str | None, end_id: int):
         kind = coder.kind if end_id < 1 << 16 else np.dtype("<u4")
         met = np.zeros(max(coder.size, end_id + 1), np.int64)
         doc = None
+
+        def coded(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            texts = pa.concat_arrays([batch["text"] for batch in held])
+            split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+            first_word = np.asarray(split.offsets)
+            words = split.flatten().dictionary_encode()
+            del texts, split
+            starts, counts = coder.encode(words.dictionary)
+            row = 0
+            for batch in held:
+                bounds = first_word[row : row + batch.num_rows + 1]
+                at = np.asarray(words.indices)[bounds[0] : bounds[-1]]
+                row += batch.num_rows
+                ends = np.concatenate([[0], np.cumsum(counts.sum(axis=1)[at])])
+                ids = coder.ids[stretches(starts[at].ravel(), counts[at].ravel())]
+                met[:] += np.bincount(ids, minlength=len(met))
+                met[end_id] += batch.num_rows
+                cuts = ends[bounds[1:] - bounds[0]]
+                ids = np.insert(ids.astype(kind, copy=False), cuts, end_id)  # in front of each cut
+                cuts = (cuts + np.arange(1, len(cuts) + 1)) * kind.itemsize
+                none = pa.nulls(len(cuts), pa.list_(pa.int32())), pa.nulls(len(cuts), pa.list_(pa.int64()))
+                width = pa.array(np.full(len(cuts), kind.itemsize, np.int32))
+                yield pa.RecordBatch.from_arrays([batch["doc"], binaries(ids, cuts), width, *none], names=NAMES)
+
+        held, size = [], 0
         for batch in (part for whole in batches for part in slices(whole, BATCH_BYTES)):
             if not batch.num_rows:
                 continue
             doc = batch["doc"].type
-            split = pc.split_pattern(pc.replace_substring(batch["text"], "\n", " "), " ")
-            words = split.flatten().dictionary_encode()
-            starts, counts = coder.encode(words.dictionary)
-            at = np.asarray(words.indices)
-            per_word = counts.sum(axis=1)[at]
-            ids = coder.ids[stretches(starts[at].ravel(), counts[at].ravel())]
-            met += np.bincount(ids, minlength=len(met))
-            met[end_id] += batch.num_rows
-            ends = np.concatenate([[0], np.cumsum(per_word)])
-            cuts = ends[np.asarray(split.offsets)[1:] - split.offsets[0].as_py()]
-            ids = np.insert(ids.astype(kind, copy=False), cuts, end_id)  # in front of each cut
-            cuts = cuts + np.arange(1, len(cuts) + 1)
-            none = pa.nulls(len(cuts), pa.list_(pa.int32())), pa.nulls(len(cuts), pa.list_(pa.int64()))
-            width = pa.array(np.full(len(cuts), kind.itemsize, np.int32))
-            yield pa.RecordBatch.from_arrays([batch["doc"], binaries(ids, cuts * kind.itemsize), width, *none], names=NAMES)
+            held.append(batch)
+            size += batch["text"].nbytes
+            if size >= CHUNK_BYTES:
+                yield from coded(held)
+                held, size = [], 0
+        if held:
+            yield from coded(held)
+            held = []
         if doc is not None:
             seen = np.flatnonzero(met)
             last = [pa.nulls(1, doc), pa.nulls(1, pa.binary()), pa.nulls(1, pa.int32())]
@@ -221,30 +237,31 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
     return codes
 
 
-def pack_bits(codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """The codes one after another, highest bit first, and the bit at which each begins.
+def encoder_of(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A table from id to ``code * 32 + length``."""
+    table = np.zeros(int(ids.max(initial=0)) + 1, np.uint64)
+    table[ids] = canonical_codes(lengths) * 32 + lengths
+    return table
+
+
+def pack_bits(entries: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The codes of table entries one after another, highest bit first, and the bit at which each begins.
 
     A code is put at its place in a 64-bit window that begins with a 32-bit word of the
     stream. As no code is longer than a word, one begins in every word, so the windows of a
     word's codes are summed in one run.
     """
-    at = np.cumsum(lengths) - lengths
+    lengths = (entries & 31).astype(np.int64)
+    ends = np.cumsum(lengths)
+    at = ends - lengths
     word = at >> 5
-    window = codes.astype(np.uint64) << (64 - (at & 31) - lengths).astype(np.uint64)
+    window = (entries >> 5) << (64 + (word << 5) - ends).astype(np.uint64)
     firsts = np.flatnonzero(np.diff(word, prepend=-1))
     sums = np.add.reduceat(window, firsts)
     stream = np.zeros(len(firsts) + 1, np.uint32)
-    stream[:-1] = (sums >> np.uint64(32)).astype(np.uint32)
-    stream[1:] |= (sums & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    total = int(at[-1] + lengths[-1])
-    return stream.astype(">u4").tobytes()[: -(-total // 8)], at
-
-
-def encoder_of(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Tables from id to code and to length."""
-    code, length = np.zeros(int(ids.max(initial=0)) + 1, np.int64), np.zeros(int(ids.max(initial=0)) + 1, np.int64)
-    code[ids], length[ids] = canonical_codes(lengths), lengths
-    return code, length
+    stream[:-1] = sums >> 32
+    stream[1:] |= (sums & 0xFFFFFFFF).astype(np.uint32)
+    return stream.astype(">u4").tobytes()[: -(-int(ends[-1]) // 8)], at
 
 
 def decoder_of(ids: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, int]:
@@ -281,39 +298,47 @@ def block_writer(ids: np.ndarray, lengths: np.ndarray, schema: pa.Schema, block_
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        code, length = encoder_of(ids, lengths)
-        held: list[tuple] = []
+        table = encoder_of(ids, lengths)
+        docs, counts, tokens = [], [], []  # of the block that is not yet full
         block = first = size = 0
 
         def row() -> pa.RecordBatch:
-            tokens = np.concatenate([x[2] for x in held])
-            counts = np.array([len(x[2]) for x in held], np.int64)
-            bits, at = pack_bits(code[tokens], length[tokens])
-            docs = pa.concat_arrays([x[0].slice(x[1], 1) for x in held])
+            bits, at = pack_bits(table[np.concatenate(tokens)])
+            held = pa.concat_arrays(docs)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([part], pa.int32()),
                     pa.array([block], pa.int64()),
                     pa.array([first], pa.int64()),
-                    pa.array([len(tokens)], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), docs),
-                    pa.array([counts], pa.list_(pa.int64())),
+                    pa.array([size], pa.int64()),
+                    pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), held),
+                    pa.array([np.concatenate(counts)], pa.list_(pa.int64())),
                     pa.array([at[::MARK_IDS]], pa.list_(pa.int64())),
                     pa.array([bits], pa.binary()),
                 ],
                 schema=schema,
             )
 
-        for batch in batches:
-            for i, (width, raw) in enumerate(zip(batch["width"].to_pylist(), batch["ids"].to_pylist())):
-                tokens = np.frombuffer(raw, f"<u{width}")
-                held.append((batch["doc"], i, tokens))
-                size += len(tokens)
+        for batch in (x for x in batches if x.num_rows):
+            coded, width = batch["ids"], batch["width"][0].as_py()
+            bounds = np.frombuffer(coded.buffers()[1], np.int32)[coded.offset : coded.offset + len(coded) + 1]
+            found = np.frombuffer(coded.buffers()[2], np.uint8)[bounds[0] : bounds[-1]].view(f"<u{width}")
+            ends = ((bounds - bounds[0]) // width).astype(np.int64)
+            done = 0
+            while done < len(coded):
+                # the document that fills the block, or the last one
+                full = int(np.searchsorted(ends[1:], ends[done] + block_ids - size))
+                upto = min(full + 1, len(coded))
+                docs.append(batch["doc"].slice(done, upto - done))
+                counts.append(np.diff(ends[done : upto + 1]))
+                tokens.append(found[ends[done] : ends[upto]])
+                size += int(ends[upto] - ends[done])
+                done = upto
                 if size >= block_ids:
                     yield row()
-                    block, first = block + 1, first + size
-                    held, size = [], 0
-        if held:
+                    docs, counts, tokens = [], [], []
+                    block, first, size = block + 1, first + size, 0
+        if docs:
             yield row()
 
     return run
