@@ -39,6 +39,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     job.add_argument("--url", required=True, help="JDBC address")
     job.add_argument("--columns", nargs="+", help="feature columns; all without it")
     job.add_argument("--partition-column", help="number, date or timestamp that spreads the rows")
+    job.add_argument("--split-columns", nargs="+", help="columns that the database counts even parts by")
     job.add_argument("--partitions", type=int, help="tasks that read; 1 needs no column")
     job.add_argument("--run-id")
     job.add_argument("--property", action="append", default=[], metavar="NAME=VALUE")
@@ -58,6 +59,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     job.add_argument("csv")
     job.add_argument("table")
     job.add_argument("--url", help="JDBC address; the session catalog without it")
+    job.add_argument("--load-id", help="name of this load: it is made once, however often it is started")
     job.add_argument("--property", action="append", default=[], metavar="NAME=VALUE")
 
     job = jobs.add_parser("wordcount", help="word counts of text files")
@@ -87,6 +89,7 @@ def main(argv: list[str] | None = None) -> None:
             args.columns,
             partition_column=args.partition_column,
             num_partitions=args.partitions,
+            split_columns=args.split_columns,
             properties=dict(pair.split("=", 1) for pair in args.property),
         )
         print(publish_parquet(scaled, args.root, args.run_id or uuid.uuid4().hex))
@@ -109,7 +112,7 @@ def main(argv: list[str] | None = None) -> None:
         rows = blank_tokens(read_csv(spark, args.csv))
         if args.url:
             properties = dict(pair.split("=", 1) for pair in args.property)
-            load_products_jdbc(rows, args.url, args.table, properties=properties)
+            load_products_jdbc(rows, args.url, args.table, properties=properties, load_id=args.load_id)
         else:
             load_products_table(rows, args.table)
     else:
