@@ -271,8 +271,7 @@ def kmeans_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def distant_groups(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
-    """lineitem as ``k`` groups far apart, which k-means finds from any centres that it draws
-    one in each of; with more groups than four, Spark's drawing may miss that."""
+    """lineitem as ``k`` groups far apart, which k-means finds from one centre in each of them."""
     apart = (F.col("l_orderkey") % k) * 1000.0
     rows = table(spark, sf_dir, "lineitem").select(
         (F.col("l_quantity") + apart).alias("x"), F.col("l_discount").alias("y")
@@ -281,7 +280,7 @@ def distant_groups(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
 
 
 def sweep_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [sweep_k(distant_groups(spark, sf_dir, k), [k]) for k in range(2, 5)]
+    parts = [sweep_k(distant_groups(spark, sf_dir, k), [k], init="farthest") for k in range(2, 10)]
     return reduce(DataFrame.union, parts).select("k", F.round("silhouette", 6).alias("silhouette"))
 
 
@@ -555,9 +554,9 @@ FROM pair
 
 
 def scores_of(points) -> str:
-    """``(k, silhouette)`` for k = 2..4; ``points(k)`` names the clusters."""
+    """``(k, silhouette)`` for k = 2..9; ``points(k)`` names the clusters."""
     return " UNION ALL ".join(
-        f"SELECT {k} AS k, silhouette FROM ({silhouette_of(points(k))})" for k in range(2, 5)
+        f"SELECT {k} AS k, silhouette FROM ({silhouette_of(points(k))})" for k in range(2, 10)
     )
 
 

@@ -4,12 +4,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator, Sequence
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pyarrow as pa
-from py4j.protocol import Py4JJavaError
-from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -18,12 +15,12 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from larder.functions import column
+from larder.operators.lloyd import Layout, lloyd, nearest_rows, points_of
 from larder.session import shared_dir
 
 ROWS_PER_PARTITION = 100_000
 SMALL_PARTITIONS = 4_096
 BYTES_PER_PARTITION = 256 << 20
-TASKS_PER_CORE = 4
 MODEL_BYTES = 256 << 20
 IDS_IN_PLAN = 1_000
 
@@ -82,12 +79,11 @@ def stable_layout(
     partitions: int | None = None,
     source_col: str | None = None,
 ) -> DataFrame:
-    """The distinct vectors as ``(values, copies)``, always in the same partitions and order.
+    """The distinct vectors as ``(key, values, copies)``, always in the same partitions and order.
 
-    K-means draws its first centres per partition, so a seed repeats a result only over a
-    fixed layout. Rows are dealt out and sorted by a hash of ``source_col``, the vectors before scaling:
-    the last bits of scaled ones depend on the order in which the deviations were summed.
-    Without it the vectors themselves decide. Equal vectors are counted in each batch, before
+    The key is a hash of ``source_col``, the vectors before scaling: the last bits of scaled ones
+    depend on the order in which the deviations were summed. Without it the vectors
+    themselves decide. Starting centres are drawn by the key. Equal vectors are counted in each batch, before
     the one shuffle, and become one weighted row, so a vector that makes up a third of the
     table is no hot partition. The result is checkpointed: the many passes of a fit start
     from it, on lost executors too.
@@ -105,7 +101,7 @@ def stable_layout(
         .groupBy("key", *names)
         .agg(F.sum("copies").alias("copies"))
         .sortWithinPartitions("key", *names)
-        .select("values", "copies")
+        .select("key", "values", "copies")
         .checkpoint()
     )
 
@@ -115,29 +111,58 @@ def source_of(df: DataFrame, features_col: str) -> str | None:
     return "features" if features_col == "scaled" and "features" in df.columns else None
 
 
-def fit_layout(
-    layout: DataFrame, k: int, features_col: str, prediction_col: str, seed: int
-) -> KMeansModel:
-    """Fit over a layout with the block solver, which keeps vectors as compact matrices.
+def start_centres(layout: Layout, ks: Sequence[int], seed: int, init: str) -> list[np.ndarray]:
+    """``init="spread"`` draws rows in proportion to their squared distance from those drawn
+    before; ``"farthest"`` takes the farthest row each time, which cannot miss a far group."""
+    if init == "farthest":
+        rows = layout.farthest_first(max(ks), seed)
+        return [rows[:k] for k in ks]
+    if init != "spread":
+        raise ValueError(f'init must be "spread" or "farthest", not {init!r}')
+    return layout.spread_starts(ks, seed)
 
-    It cannot work with fewer than ``k`` distinct starting centres, as few distinct rows or
-    far outliers may leave; only then does the row solver take over.
-    """
-    points = layout.select(array_to_vector("values").alias(features_col), "copies")
-    kmeans = KMeans(
+
+class FitSummary:
+    """How a fit went: the cost before the last move of the centres, and the rounds."""
+
+    def __init__(self, k: int, cost: float, rounds: int):
+        self.k, self.trainingCost, self.numIter = k, cost, rounds
+
+
+class FittedKMeans(KMeansModel):
+    """Spark's model with given centres, and the summary of their fit."""
+
+    fitted: FitSummary | None = None
+
+    @property
+    def hasSummary(self) -> bool:
+        return self.fitted is not None
+
+    @property
+    def summary(self) -> FitSummary | None:
+        return self.fitted
+
+
+class CentresAsModel(KMeans):
+    """Fitted to a table of distinct centres, each of which is a cluster of its own."""
+
+    def _create_model(self, java_model) -> FittedKMeans:
+        return FittedKMeans(java_model)
+
+
+def model_of(spark, centres: np.ndarray, features_col: str, prediction_col: str) -> FittedKMeans:
+    """A Spark model with these centres, in an order of its own."""
+    rows = [(values,) for values in np.unique(centres, axis=0).tolist()]
+    table = spark.createDataFrame(rows, "v array<double>").coalesce(1).select(array_to_vector("v").alias(features_col))
+    return CentresAsModel(
         featuresCol=features_col,
         predictionCol=prediction_col,
-        weightCol="copies",
-        solver="block",
-        k=k,
-        seed=seed,
-    )
-    try:
-        return kmeans.fit(points)
-    except Py4JJavaError as error:
-        if "ArrayIndexOutOfBoundsException" not in str(error):
-            raise
-        return kmeans.setSolver("row").fit(points)
+        solver="row",
+        initMode="random",
+        maxIter=1,
+        k=max(2, len(rows)),
+        seed=0,
+    ).fit(table)
 
 
 def fit_kmeans(
@@ -147,14 +172,20 @@ def fit_kmeans(
     prediction_col: str = "prediction",
     seed: int = 42,
     partitions: int | None = None,
-) -> KMeansModel:
-    """Fit ``k`` centres; the same rows and seed give the same model.
+    init: str = "spread",
+) -> FittedKMeans:
+    """Fit ``k`` centres; the same rows and seed give the same centres, whatever the partitions.
 
-    Keep a column ``features`` with the unscaled vectors beside ``scaled``, or the last bits
-    of the scaled ones count as part of the rows.
+    Fewer distinct rows than ``k`` give fewer centres. Keep a column ``features`` with the unscaled vectors
+    beside ``scaled``, or the last bits of the scaled ones count as part of the rows.
     """
-    layout = stable_layout(df, features_col, partitions, source_of(df, features_col))
-    return fit_layout(layout, k, features_col, prediction_col, seed)
+    layout = Layout(stable_layout(df, features_col, partitions, source_of(df, features_col)))
+    ((centres, cost, rounds),) = lloyd(layout, start_centres(layout, [k], seed, init))
+    if not len(centres):
+        raise ValueError("there are no rows to fit")
+    model = model_of(df.sparkSession, centres, features_col, prediction_col)
+    model.fitted = FitSummary(k, cost, rounds)
+    return model
 
 
 def assign(df: DataFrame, model: KMeansModel) -> DataFrame:
@@ -298,8 +329,27 @@ def score_partition(sums: Sequence[np.ndarray]):
     return scores
 
 
+def assigner(models: Sequence[np.ndarray]):
+    """A function for ``mapInArrow``: rows of a layout with their nearest centre in each model."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            points = points_of(batch)
+            found = np.stack([nearest_rows(points, centres)[0] for centres in models], axis=1).astype(np.int32)
+            offsets = pa.array(np.arange(0, found.size + 1, len(models), dtype=np.int32))
+            assigned = pa.ListArray.from_arrays(offsets, pa.array(found.ravel()))
+            yield pa.RecordBatch.from_arrays([batch["values"], batch["copies"], assigned], ["values", "copies", "assigned"])
+
+    return run
+
+
 def silhouettes(layout: DataFrame, models: Sequence[KMeansModel], features_col: str) -> list[float | None]:
-    """The silhouette of each model over the rows of a layout, all in two passes.
+    """:func:`silhouettes_of` for the centres of Spark's models."""
+    return silhouettes_of(layout, [np.array(model.clusterCenters()) for model in models])
+
+
+def silhouettes_of(layout: DataFrame, models: Sequence[np.ndarray]) -> list[float | None]:
+    """The silhouette for each array of centres over the rows of a layout, all in two passes.
 
     The first sums up the clusters of every model, the second scores the rows against those
     sums. A task sends on one array per cluster, then one row per model. A model that leaves
@@ -308,19 +358,18 @@ def silhouettes(layout: DataFrame, models: Sequence[KMeansModel], features_col:
     """
     if not models:
         return []
-    points = layout.withColumn(features_col, array_to_vector("values"))
-    names = [f"larder_{i}" for i in range(len(models))]
-    for name, model in zip(names, models):
-        points = model.setPredictionCol(name).transform(points)
-    assigned = points.select("values", "copies", F.array(*names).alias("assigned"))
-    ks = [len(model.clusterCenters()) for model in models]
+    if not all(len(centres) for centres in models):
+        return [None] * len(models)
+    schema = "values array<double>, copies double, assigned array<int>"
+    assigned = layout.select("values", "copies").mapInArrow(assigner(models), schema)
+    ks = [len(centres) for centres in models]
     summed = (
         assigned.mapInArrow(sum_partition(ks), "i int, cluster int, total array<double>")
         .groupBy("i", "cluster")
         .agg(Summarizer.sum(array_to_vector("total")).alias("total"))
         .collect()
     )
-    dims = len(models[0].clusterCenters()[0])
+    dims = models[0].shape[1]
     sums = [np.zeros((k, dims + 2)) for k in ks]
     for i, cluster, total in summed:
         sums[i][cluster] = total.toArray()
@@ -341,32 +390,22 @@ def sweep_k(
     features_col: str = "scaled",
     seed: int = 42,
     partitions: int | None = None,
+    init: str = "spread",
     parallelism: int | None = None,
 ) -> DataFrame:
     """Fit k-means for every ``k`` and score it: ``(k, silhouette)``.
 
     A ``k`` that leaves a single cluster with rows has a null score. Where ``df`` has the
-    unscaled vectors in ``features``, they decide the layout (see :func:`stable_layout`).
+    unscaled vectors in ``features``, they decide the draws (see :func:`stable_layout`).
 
-    All fits and scores read one checkpointed layout. Fits run side by side only as far as
-    one alone leaves cores idle, because each keeps its own copy of the vectors in memory.
+    All models are fitted together over one checkpointed layout, one pass a round for all
+    that still move, so ``parallelism`` has nothing left to decide.
     """
     spark = df.sparkSession
     ks = list(ks)
     if not ks:
         return spark.createDataFrame([], "k int, silhouette double")
-    if partitions is None:
-        partitions = layout_partitions(df, features_col)
-    if parallelism is None:
-        cores = spark.sparkContext.defaultParallelism
-        parallelism = math.ceil(TASKS_PER_CORE * cores / partitions)
-    layout = stable_layout(df, features_col, partitions, source_of(df, features_col))
-
-    @inheritable_thread_target(spark)
-    def fit(k: int) -> KMeansModel:
-        return fit_layout(layout, k, features_col, "prediction", seed)
-
-    with ThreadPool(max(1, min(parallelism, len(ks)))) as pool:
-        models = pool.map(fit, ks, chunksize=1)
-    scores = silhouettes(layout, models, features_col)
-    return spark.createDataFrame(list(zip(ks, scores)), "k int, silhouette double")
+    rows = stable_layout(df, features_col, partitions, source_of(df, features_col))
+    layout = Layout(rows)
+    models = [centres for centres, _, _ in lloyd(layout, start_centres(layout, ks, seed, init))]
+    return spark.createDataFrame(list(zip(ks, silhouettes_of(rows, models))), "k int, silhouette double")
