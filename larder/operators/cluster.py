@@ -179,7 +179,8 @@ def fit_kmeans(
     Fewer distinct rows than ``k`` give fewer centres. Keep a column ``features`` with the unscaled vectors
     beside ``scaled``, or the last bits of the scaled ones count as part of the rows.
     """
-    layout = Layout(stable_layout(df, features_col, partitions, source_of(df, features_col)))
+    partitions = partitions or layout_partitions(df, features_col)
+    layout = Layout(stable_layout(df, features_col, partitions, source_of(df, features_col)), partitions)
     ((centres, cost, rounds),) = lloyd(layout, start_centres(layout, [k], seed, init))
     if not len(centres):
         raise ValueError("there are no rows to fit")
@@ -405,7 +406,8 @@ def sweep_k(
     ks = list(ks)
     if not ks:
         return spark.createDataFrame([], "k int, silhouette double")
+    partitions = partitions or layout_partitions(df, features_col)
     rows = stable_layout(df, features_col, partitions, source_of(df, features_col))
-    layout = Layout(rows)
+    layout = Layout(rows, partitions)
     models = [centres for centres, _, _ in lloyd(layout, start_centres(layout, ks, seed, init))]
     return spark.createDataFrame(list(zip(ks, silhouettes_of(rows, models))), "k int, silhouette double")
