@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from larder.functions import column
+from larder.operators.cells import nearest_by_cells
 from larder.operators.lloyd import Layout, lloyd, nearest_rows, points_of
 from larder.session import shared_dir
 
@@ -201,12 +202,13 @@ def nearest_centroid(
     id_col: str = "label",
     output_col: str = "nearest",
 ) -> DataFrame:
-    """Add the ``id_col`` of the nearest row of a small table of given centroids.
+    """Add the ``id_col`` of the nearest row of a table of given centroids.
 
     Every centroid is a cluster of its own, so a k-means model fitted to that table has them
     as its centres and assigns points without pairing them. Their ids are looked up in the
     plan, or by a join on the centre's index where there are many. Equal centroids count as
-    the one with the smallest id.
+    the one with the smallest id. A table too large for a model, which every task holds,
+    stays partitioned: :func:`~larder.operators.cells.nearest_by_cells`.
     """
     shared_dir(df.sparkSession)
     table = centroids.select(column(id_col), column(features_col)).checkpoint()
@@ -214,7 +216,7 @@ def nearest_centroid(
     if not size:
         raise ValueError("there are no centroids")
     if size * dims * 8 > MODEL_BYTES:
-        raise ValueError(f"{size} centroids of {dims} dimensions are too many for one model")
+        return nearest_by_cells(df, table, features_col, id_col, output_col)
     id_type = table.schema[id_col].dataType
     if size == 1:
         return df.withColumn(output_col, F.lit(table.first()[id_col]).cast(id_type))
