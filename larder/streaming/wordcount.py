@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larder.operators.text import word_count
+from larder.streaming.compaction import compact, read_live
 from larder.streaming.published import append_batch_to, process_new, stream_files
 
 
@@ -30,4 +31,14 @@ def count_new_lines(
 
 def merged_counts(spark: SparkSession, counts: str) -> DataFrame:
     """``(word, n)`` over all batches stored so far."""
-    return spark.read.parquet(counts).groupBy("word").agg(F.sum("n").alias("n"))
+    return added_up(read_live(spark, counts))
+
+
+def compact_counts(spark: SparkSession, counts: str) -> int:
+    """Add up the counts stored so far, so that reading them costs as much as there are distinct
+    words, however many batches there were; returns how many were taken in."""
+    return compact(spark, counts, added_up)
+
+
+def added_up(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("word").agg(F.sum("n").alias("n"))
