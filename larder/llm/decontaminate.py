@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,8 @@ LEAST_OVERLAP = 0.6
 PARAPHRASE_OVERLAP, ANSWER_OVERLAP = 0.45, 0.8
 MAX_ITEMS = 100_000
 WORD = re.compile(r"\w+")
+#: ASCII letters in lower case, digits, the underscore and all bytes beyond ASCII; the rest become spaces.
+ROUGH_BYTES = bytes(b if b >= 0x80 else ord(chr(b).lower()) if chr(b).isalnum() or b == 0x5F else 32 for b in range(256))
 
 
 def numbered(words: set[str]) -> dict[str, int]:
@@ -32,19 +34,68 @@ def numbered(words: set[str]) -> dict[str, int]:
     return {word: 1 + i % BUCKETS for i, word in enumerate(sorted(words))}
 
 
+def word_codes(numbers: dict[str, int]):
+    """A function from texts to the numbers of their words, one text after another, and how
+    many words each has: those that ``WORD`` finds in the lowered text.
+
+    Texts are cut at ASCII characters that no word holds, and each distinct stretch of a
+    batch is looked up once. One beyond ASCII is lowered and searched for words, which may be none or
+    several. A capital sigma is lowered by what is around it, so texts with one are read whole.
+    """
+    known = pa.array(sorted(numbers), pa.string())
+    code_of = np.array([*(numbers[word] for word in sorted(numbers)), 0], np.int32)
+
+    def codes(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        sigma = pc.match_substring(texts, "Σ")
+        whole = np.flatnonzero(np.asarray(sigma))
+        if len(whole):
+            read = [[numbers.get(w, 0) for w in WORD.findall(text.lower())] for text in texts.filter(sigma).to_pylist()]
+            texts = pc.if_else(sigma, "", texts)
+        ends = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+        data = texts.buffers()[2] or pa.py_buffer(b"")
+        raw = bytes(memoryview(data)[ends[0] : ends[-1]]).translate(ROUGH_BYTES)
+        rough = pa.Array.from_buffers(pa.string(), len(texts), [None, pa.py_buffer(ends - ends[0]), pa.py_buffer(raw)])
+        split = pc.split_pattern(rough, " ")
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary
+        found = np.asarray(pc.fill_null(pc.index_in(distinct, value_set=known), len(known)))
+        code, many = code_of[found], np.asarray(pc.not_equal(distinct, "")).astype(np.int32)
+        first = np.arange(len(distinct), dtype=np.int32)
+        more = []
+        for place in np.flatnonzero(~np.asarray(pc.string_is_ascii(distinct))).tolist():
+            parts = WORD.findall(distinct[place].as_py().lower())
+            first[place], many[place] = len(code) + len(more), len(parts)
+            more += [numbers.get(part, 0) for part in parts]
+        code = np.concatenate([code, np.array(more, np.int32)])
+        at = np.asarray(words.indices)
+        counts = many[at]
+        before = np.cumsum(counts)
+        out = code[np.repeat(first[at] - (before - counts), counts) + np.arange(before[-1] if len(before) else 0)]
+        sizes = np.diff(np.concatenate([[0], before])[np.asarray(split.offsets) - split.offsets[0].as_py()])
+        if len(whole):
+            starts = np.concatenate([[0], np.cumsum(sizes)])
+            parts = np.split(out, starts[whole])
+            out = np.concatenate([x for pair in zip(parts, [*(np.array(r, np.int32) for r in read), []]) for x in pair])
+            sizes[whole] = [len(r) for r in read]
+        return out.astype(np.int32), sizes.astype(np.int64)
+
+    return codes
+
+
 def document_counts(docs: DataFrame, numbers: dict[str, int]) -> tuple[np.ndarray, int]:
     """In how many documents each numbered word occurs, and the number of documents."""
     size = 1 + min(BUCKETS, len(numbers))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = set(numbers)
+        codes = word_codes(numbers)
         total = np.zeros(size, np.int64)
         rows = 0
         for batch in (part for whole in batches for part in slices(whole, 1 << 20)):
             rows += batch.num_rows
-            for text in batch["larder_text"].to_pylist():
-                met = {numbers[word] for word in known.intersection(WORD.findall(text.lower()))}
-                total[list(met)] += 1
+            at, sizes = codes(batch["larder_text"])
+            doc = np.repeat(np.arange(batch.num_rows), sizes)
+            each = np.unique(doc[at > 0] * size + at[at > 0])
+            total += np.bincount(each % size, minlength=size)
         met = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict(
             {
@@ -280,13 +331,20 @@ def searcher(numbers, vectors, latent, owners, texts, least_cosine, least_overla
         start = (ends - sizes)[doc] + STRIDE * number
         return doc, start, np.minimum(start + WINDOW, ends[doc]), first
 
-    def matched(words: list[str], start: int, end: int, item: int) -> float:
+    coded = {item: [np.array([numbers[w] for w in words], np.int64) for words, _ in texts[item]] for item in texts}
+    here = np.zeros(BUCKETS + 1, bool)
+
+    def matched(read, codes: np.ndarray, start: int, end: int, item: int) -> float:
         """The share of an item's words that lie around a window in the item's order, or 0."""
         best = 0.0
-        for wanted, answer in texts[item]:
-            around = words[max(0, start - len(wanted)) : end + len(wanted)]
-            if sum(map(set(around).__contains__, wanted)) < least * len(wanted):
+        for (wanted, answer), spelling in zip(texts[item], coded[item]):
+            around = slice(max(0, start - len(wanted)), end + len(wanted))
+            here[codes[around]] = True
+            met = np.count_nonzero(here[spelling])
+            here[codes[around]] = False
+            if met < least * len(wanted):
                 continue  # too few even in any order
+            around = read()[around]
             share = common_words(wanted, around) / max(1, len(wanted))
             enough = share >= least_overlap or (
                 share >= PARAPHRASE_OVERLAP and common_words(answer, around) >= ANSWER_OVERLAP * len(answer)
@@ -334,7 +392,7 @@ def searcher(numbers, vectors, latent, owners, texts, least_cosine, least_overla
         return np.repeat(np.arange(len(heads)), tails - heads + 1), out
 
     def make():
-        get = numbers.get
+        codes = word_codes(numbers)
         maybe = np.zeros(1 << 22, bool)
         maybe[(runs * 0x9E3779B1 >> 16) & (1 << 22) - 1] = True
 
@@ -351,10 +409,14 @@ def searcher(numbers, vectors, latent, owners, texts, least_cosine, least_overla
             return np.repeat(window, many), run_items[np.repeat(run_first[where], many) + offset]
 
         def work(batch: pa.RecordBatch) -> list:
-            texts_read = batch["larder_text"].to_pylist()
-            read = [WORD.findall(text.lower()) for text in texts_read]
-            sizes = np.array([len(words) for words in read], np.int64)
-            at = np.fromiter(map(get, chain.from_iterable(read), repeat(0)), np.int32, int(sizes.sum()))
+            at, sizes = codes(batch["larder_text"])
+            read: dict[int, list[str]] = {}
+
+            def words_of(i: int) -> list[str]:
+                if i not in read:
+                    read[i] = WORD.findall(batch["larder_text"][i].as_py().lower())
+                return read[i]
+
             doc, start, end, first = windows(sizes)
             base = np.cumsum(sizes) - sizes
             doc_of = np.repeat(np.arange(len(sizes)), sizes)
@@ -371,13 +433,14 @@ def searcher(numbers, vectors, latent, owners, texts, least_cosine, least_overla
                 pairs = np.unique(w[real] * len(known) + owners[p[real]])
                 found.append((low + pairs // len(known), known[pairs % len(known)]))
             window, item = (np.concatenate(x) for x in zip(*found))
-            overlap = np.zeros(len(texts_read))
-            items: list[set[int]] = [set() for _ in texts_read]
+            overlap = np.zeros(batch.num_rows)
+            items: list[set[int]] = [set() for _ in range(batch.num_rows)]
             for w, one in sorted(set(zip(window.tolist(), item.tolist()))):
                 i = int(doc[w])
                 if one in items[i]:
                     continue
-                share = matched(read[i], int(start[w] - base[i]), int(end[w] - base[i]), one)
+                own = at[base[i] : base[i] + sizes[i]]
+                share = matched(lambda: words_of(i), own, int(start[w] - base[i]), int(end[w] - base[i]), one)
                 if share:
                     items[i].add(one)
                     overlap[i] = max(overlap[i], share)
