@@ -61,10 +61,15 @@ def word_codes(numbers: dict[str, int]):
         found = np.asarray(pc.fill_null(pc.index_in(distinct, value_set=known), len(known)))
         code, many = code_of[found], np.asarray(pc.not_equal(distinct, "")).astype(np.int32)
         first = np.arange(len(distinct), dtype=np.int32)
+        beyond = np.flatnonzero(~np.asarray(pc.string_is_ascii(distinct)))
+        lowered = [word.lower() for word in distinct.take(pa.array(beyond)).to_pylist()]
+        single = np.fromiter(map(str.isalnum, lowered), bool, len(lowered))  # letters and digits alone are a word
+        found = np.asarray(pc.fill_null(pc.index_in(pa.array(lowered, pa.string()), value_set=known), len(known)))
+        code[beyond[single]] = code_of[found[single]]
         more = []
-        for place in np.flatnonzero(~np.asarray(pc.string_is_ascii(distinct))).tolist():
-            parts = WORD.findall(distinct[place].as_py().lower())
-            first[place], many[place] = len(code) + len(more), len(parts)
+        for i in np.flatnonzero(~single).tolist():
+            parts = WORD.findall(lowered[i])
+            first[beyond[i]], many[beyond[i]] = len(code) + len(more), len(parts)
             more += [numbers.get(part, 0) for part in parts]
         code = np.concatenate([code, np.array(more, np.int32)])
         at = np.asarray(words.indices)
@@ -331,7 +336,15 @@ def searcher(numbers, vectors, latent, owners, texts, least_cosine, least_overla
         start = (ends - sizes)[doc] + STRIDE * number
         return doc, start, np.minimum(start + WINDOW, ends[doc]), first
 
-    coded = {item: [np.array([numbers[w] for w in words], np.int64) for words, _ in texts[item]] for item in texts}
+    unique = len(numbers) <= BUCKETS  # then numbers do for words
+    if unique:
+        texts = {
+            item: [([numbers[w] for w in words], [numbers[w] for w in answer]) for words, answer in texts[item]]
+            for item in texts
+        }
+        coded = {item: [np.array(words, np.int64) for words, _ in texts[item]] for item in texts}
+    else:
+        coded = {item: [np.array([numbers[w] for w in words], np.int64) for words, _ in texts[item]] for item in texts}
     here = np.zeros(BUCKETS + 1, bool)
 
     def matched(read, codes: np.ndarray, start: int, end: int, item: int) -> float:
@@ -344,7 +357,7 @@ def searcher(numbers, vectors, latent, owners, texts, least_cosine, least_overla
             here[codes[around]] = False
             if met < least * len(wanted):
                 continue  # too few even in any order
-            around = read()[around]
+            around = codes[around].tolist() if unique else read()[around]
             share = common_words(wanted, around) / max(1, len(wanted))
             enough = share >= least_overlap or (
                 share >= PARAPHRASE_OVERLAP and common_words(answer, around) >= ANSWER_OVERLAP * len(answer)
@@ -435,7 +448,8 @@ def searcher(numbers, vectors, latent, owners, texts, least_cosine, least_overla
             window, item = (np.concatenate(x) for x in zip(*found))
             overlap = np.zeros(batch.num_rows)
             items: list[set[int]] = [set() for _ in range(batch.num_rows)]
-            for w, one in sorted(set(zip(window.tolist(), item.tolist()))):
+            pairs = np.unique(window * len(known) + np.searchsorted(known, item))
+            for w, one in zip((pairs // len(known)).tolist(), known[pairs % len(known)].tolist()):
                 i = int(doc[w])
                 if one in items[i]:
                     continue
