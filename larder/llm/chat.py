@@ -16,17 +16,35 @@ from larder.llm.common import map_batches, ranked, saved
 CALL = re.compile(r"<tool_call>(.*?)</tool_call>", re.S)
 RESULT = re.compile(r"<tool_result>(.*?)</tool_result>", re.S)
 TOOLS = re.compile(r"<tools>(.*?)</tools>", re.S)
+SURROGATE = re.compile("[\ud800-\udfff]")
 JSON_TYPES = {
     "string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list,
     "null": type(None),
 }
 
-FIELDS = "call_id string, name string, body string, valid boolean"
+FIELDS = "call_id string, name string, body string, valid boolean, more string"
 
 
 def canonical(value: object) -> str:
-    """JSON with sorted keys, no white space, and characters as they are."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    """JSON with sorted keys, no white space, and characters as they are, but for halves of
+    surrogate pairs, which stay escaped. Numbers that are not finite are no JSON: ValueError."""
+    text = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    return SURROGATE.sub(lambda half: f"\\u{ord(half[0]):04x}", text)
+
+
+def plain(text: str) -> str:
+    """A text without halves of surrogate pairs, which no column can hold: they are escaped."""
+    return SURROGATE.sub(lambda half: f"\\u{ord(half[0]):04x}", text)
+
+
+def refuse(constant: str) -> None:
+    raise ValueError(f"{constant} is not JSON")
+
+
+def rest_of(found: dict, *known: str) -> str | None:
+    """What an object has beside the known keys."""
+    more = {name: value for name, value in found.items() if name not in known}
+    return canonical(more) if more else None
 
 
 def fits(value: object, schema: Mapping) -> bool:
@@ -58,13 +76,14 @@ def defined_tools(text: str) -> list[dict]:
     found = []
     for body in TOOLS.findall(text):
         try:
-            tools = json.loads(body)
-        except ValueError:
+            tools = json.loads(body, parse_constant=refuse)
+            canonical(tools)
+        except (ValueError, RecursionError):
             continue
         for tool in tools if isinstance(tools, list) else [tools]:
             if isinstance(tool, dict) and isinstance(tool.get("name"), str):
                 schema = tool.get("parameters")
-                found.append({"name": tool["name"], "schema": canonical(schema if isinstance(schema, dict) else {})})
+                found.append({"name": plain(tool["name"]), "schema": canonical(schema if isinstance(schema, dict) else {})})
     return found
 
 
@@ -72,14 +91,17 @@ def fits_defined(body: str, schema: str | None) -> bool:
     """Whether arguments fit a tool's definition; none, or one that is no schema, fits nothing."""
     try:
         return schema is not None and fits(json.loads(body), json.loads(schema))
-    except (TypeError, AttributeError):
+    except (TypeError, AttributeError, RecursionError):
         return False
 
 
 def parsed(text: str) -> dict | None:
+    """The object that a text is; None for anything else, also where numbers are not finite or the nesting
+    is too deep to be read."""
     try:
-        found = json.loads(text)
-    except ValueError:
+        found = json.loads(text, parse_constant=refuse)
+        canonical(found)
+    except (ValueError, RecursionError):
         return None
     return found if isinstance(found, dict) else None
 
@@ -92,12 +114,14 @@ def read_message(role: str | None, text: str, schemas: Mapping[str, Mapping]) ->
             for body in kind.findall(text):
                 found = parsed(body)
                 if found is None:
-                    into.append({"call_id": None, "name": None, "body": canonical(body.strip()), "valid": False})
+                    into.append({"call_id": None, "name": None, "body": canonical(body.strip()), "valid": False, "more": None})
                     continue
                 given = found.get("arguments" if into is calls else "content")
                 name = found.get("name")
-                one = {"call_id": str(found["id"]) if found.get("id") is not None else None}
-                one |= {"name": name if isinstance(name, str) else None, "body": canonical(given)}
+                one = {"call_id": plain(str(found["id"])) if found.get("id") is not None else None}
+                one |= {"name": plain(name) if isinstance(name, str) else None, "body": canonical(given)}
+                read = ("id", "arguments", "name") if into is calls else ("id", "content")
+                one["more"] = rest_of(found, *read)
                 valid = True
                 if into is calls:
                     schema = schemas.get(one["name"])
@@ -105,9 +129,8 @@ def read_message(role: str | None, text: str, schemas: Mapping[str, Mapping]) ->
                 into.append(one | {"valid": valid})
             text = kind.sub("", text)
     elif role == "tool" and (found := parsed(text)) is not None and found.get("tool_call_id") is not None:
-        results.append(
-            {"call_id": str(found["tool_call_id"]), "name": None, "body": canonical(found.get("content")), "valid": True}
-        )
+        one = {"call_id": plain(str(found["tool_call_id"])), "name": None, "body": canonical(found.get("content"))}
+        results.append(one | {"valid": True, "more": rest_of(found, "tool_call_id", "content")})
         text = ""
     return text, calls, results
 
@@ -178,11 +201,13 @@ def format_chats(
     with schemas given, a tool without one is invalid. Without ``schemas``, the tools that a
     conversation's system turns define count, ``<tools>[{"name", "parameters"}]</tools>``, the
     first of a name; a conversation that defines none takes any object. A result without a call, broken JSON
-    and a call without an identifier stay in the message and are not linked.
+    and a call without an identifier stay in the message and are not linked. Broken is also JSON with numbers that
+    are not finite and with nesting too deep to be read. Further keys of calls and results stand under ``more``.
 
     Null conversations form one conversation, a null turn comes first, a null role is the
     empty string, a null text is empty. Turns with equal numbers are ordered by role and
-    text. Rows are never gathered by conversation: positions come from one range sort by
+    text. An empty table gives an empty one, a long text is a message like any other, and of the input only the four named
+    columns are read. Rows are never gathered by conversation: positions come from one range sort by
     conversation, turn and row, so a conversation may hold a third of all rows.
     """
     known = dict(schemas or {})
@@ -261,11 +286,13 @@ def format_chats(
                 if calls:
                     message["tool_calls"] = [
                         {"arguments": json.loads(c["body"]), "id": c["call_id"], "name": c["name"], "valid": c["valid"]}
+                        | ({"more": json.loads(c["more"])} if c["more"] else {})
                         for c in calls
                     ]
                 if results:
                     message["tool_results"] = [
                         {"content": json.loads(r["body"]), "id": r["call_id"], "linked": r["call_id"] in (links or ())}
+                        | ({"more": json.loads(r["more"])} if r["more"] else {})
                         for r in results
                     ]
                 messages.append(canonical(message))

@@ -50,6 +50,12 @@ def text_of(name: str) -> Column:
     return F.coalesce(column(name).cast("string"), F.lit(""))
 
 
+def without(df: DataFrame, outputs: Sequence[str]) -> list[T.StructField]:
+    """The fields but for those that have the name of an output, in whatever case."""
+    taken = {name.lower() for name in outputs}
+    return [field for field in df.schema.fields if field.name.lower() not in taken]
+
+
 def key_of(id_col: str, text: Column) -> Column:
     """The id; a null one is stood in for by a negative number made from the text."""
     stand_in = -F.shiftrightunsigned(F.xxhash64(F.lit("no id"), text), 1) - 1

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from larder.functions import column
-from larder.llm.common import bounded_batches, map_batches, saved, slices, text_of
+from larder.llm.common import bounded_batches, map_batches, saved, slices, text_of, without
 
 BUCKETS = 1 << 16
 DIMENSIONS = 256
@@ -248,9 +248,9 @@ def find_contamination(
 
     Null and empty texts and items without words or ids match nothing; equal items are all
     listed; repeated rows give repeated results; an empty benchmark finds nothing. Input
-    columns with the names of the outputs are replaced; ``larder_text`` is reserved.
+    columns with the names of the outputs, in whatever case, are replaced; ``larder_text`` is reserved.
     """
-    fields = [field for field in docs.schema.fields if field.name not in ("contaminated", "items", "overlap")]
+    fields = without(docs, ("contaminated", "items", "overlap"))
     added = T.StructType.fromDDL("contaminated boolean, items array<bigint>, overlap double").fields
     names = [field.name for field in fields]
     rows = docs.withColumn("larder_text", text_of(text_col))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from larder.functions import column
-from larder.llm.common import saved, small, text_of
+from larder.llm.common import saved, small, text_of, without
 
 PREFIX = 64
 OUTPUT = ("keep_id", "group_size", "kept", "listings")
@@ -19,8 +19,8 @@ def normalised(text: Column) -> Column:
 def surviving(df: DataFrame, text_col: str) -> DataFrame:
     """The (length, prefix hash) pairs that more than one row has.
 
-    Lengths are counted first; prefixes are hashed and counted only for rows whose length
-    occurs again.
+    One scan counts the pairs; the lengths' counts are the sums of theirs. Pairs of lengths that
+    occur once are left out first, then pairs that occur once.
     """
     norm = normalised(text_of(text_col))
     sized = saved(
@@ -91,7 +91,7 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     last among equals; its row's ``keep_id`` is null only if no row of the group has an id.
     A row listed twice with the same id and text is one document: if it stays, each listing
     is ``kept``, and ``listings`` says how many there are (else 1). An empty table gives an
-    empty table. An input column with the name of an output is replaced; names that begin
+    empty table. An input column with the name of an output, in whatever case, is replaced; names that begin
     with ``larder_`` are reserved.
 
     Whole texts are hashed only where length and prefix occur twice. Groups are counted by
@@ -99,7 +99,7 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     task. The groups are broadcast if a count shows that they are few; beyond, the join that
     hands them out shuffles the rows and can be split.
     """
-    names = [column(name) for name in df.columns if name not in OUTPUT]
+    names = [column(field.name) for field in without(df, OUTPUT)]
     joined, _ = grouped(df, id_col, text_col)
     return joined.select(*names, *decisions(id_col))
 

@@ -89,7 +89,7 @@ def signer(hashes: int):
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """``(doc, code, n, bands, signature)``: the set's hash, its size, band hashes, MinHashes."""
+    """``(doc, given, hash, code, n, bands, signature)``: the set's hash, its size, band hashes, MinHashes."""
     import xxhash
 
     def make():
@@ -114,11 +114,11 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                             for b in range(BANDS)
                         ]
                     )
-            return [batch["doc"], batch["hash"], codes, counts, bands, signatures]
+            return [batch["doc"], batch["given"], batch["hash"], codes, counts, bands, signatures]
 
         return work
 
-    schema = "doc bigint, hash bigint, code binary, n int, bands array<bigint>, signature binary"
+    schema = "doc bigint, given boolean, hash bigint, code binary, n int, bands array<bigint>, signature binary"
     return map_batches(docs, schema, make)
 
 
@@ -360,7 +360,7 @@ def near_duplicates(
     groups, in which all pairs are verified on the full sets. No pairs are written: tasks pass
     on each text's number of links and a spanning forest of them.
 
-    Ids are numbers from 0 on. Null and empty texts have no shingles; they are copies of one another and linked with
+    Ids are whole numbers. Null and empty texts have no shingles; they are copies of one another and linked with
     nothing. A null id stays null; its text is known by a number of its own, and a class with
     no id at all has a null ``class_id``. Rows listed twice count as copies. An empty table
     gives an empty table.
@@ -368,7 +368,7 @@ def near_duplicates(
     kind = df.schema[id_col].dataType.simpleString()
     joined = joined_rows(df, id_col, text_col, threshold, size, tolerance)
     return joined.select(
-        F.when(F.col("doc") >= 0, F.col("doc")).cast(kind).alias(id_col),
+        F.when(F.col("given"), F.col("doc")).cast(kind).alias(id_col),
         F.col("class_id").cast(kind).alias("class_id"),
         F.col("rep").cast(kind).alias("rep_id"),
         "copies",
@@ -381,11 +381,12 @@ def joined_rows(
 ) -> DataFrame:
     """Per row: its key and text hash, its set's and class's figures, and the class's number."""
     text = text_of(text_col)
-    docs = df.select(key_of(id_col, text).alias("doc"), F.xxhash64(text).alias("hash"), text.alias("text"))
+    given = column(id_col).isNotNull().alias("given")
+    docs = df.select(key_of(id_col, text).alias("doc"), given, F.xxhash64(text).alias("hash"), text.alias("text"))
     signed = signatures(docs, size).withColumn("row", F.monotonically_increasing_id())
     signed = saved(signed, "signatures")
     sets = saved(
-        signed.groupBy("code").agg(F.min("row").alias("node"), F.min(F.when(F.col("doc") >= 0, F.col("doc"))).alias("rep"), F.count("*").alias("copies")),
+        signed.groupBy("code").agg(F.min("row").alias("node"), F.min(F.when(F.col("given"), F.col("doc"))).alias("rep"), F.count("*").alias("copies")),
         "sets",
     )
     copies = saved(sets.where("copies > 1").select("code", "node"), "copies")
@@ -409,7 +410,7 @@ def joined_rows(
     )
     least_id = saved(named.groupBy("component").agg(F.min("rep").alias("class_id")), "classes")
     named = saved(named.join(least_id, "component").select("code", "component", "class_id", "rep", "copies", "n_links"), "members")
-    return signed.select("doc", "hash", "code").join(named, "code")
+    return signed.select("doc", "given", "hash", "code").join(named, "code")
 
 
 def drop_near_copies(
@@ -423,26 +424,28 @@ def drop_near_copies(
     """One row of each class of :func:`near_duplicates`: the one with the least id, and of
     texts with that id the one with the least hash. Rows without an id come last.
 
-    What goes is joined to the rows, not what stays, as that is the smaller part.
+    What goes is joined to the rows, not what stays, as that is the smaller part. The rows keep all
+    their columns; names that begin with ``larder_`` are reserved.
     """
-    rows = saved(joined_rows(df, id_col, text_col, threshold, size, tolerance).select("doc", "hash", "component"), "near-rows")
-    order = F.struct((F.col("doc") < 0).alias("no_id"), "doc", "hash")
+    rows = saved(joined_rows(df, id_col, text_col, threshold, size, tolerance).select("doc", "given", "hash", "component"), "near-rows")
+    order = F.struct((~F.col("given")).alias("no_id"), "doc", "hash")
     classes = rows.groupBy("component").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")
     classes = saved(classes.select(F.col("component").alias("class"), "first.doc", "first.hash"), "near-classes")
     keeper = small(classes.withColumnsRenamed({"doc": "first_doc", "hash": "first_hash"}))
     stays = (F.col("doc") == F.col("first_doc")) & (F.col("hash") == F.col("first_hash"))
     inside = rows.join(keeper, F.col("component") == F.col("class")).withColumn("stays", stays)
     marked = saved(inside.groupBy("doc", "hash", "stays").agg(F.count("*").alias("n")), "near-marked")
+    marked = marked.withColumnsRenamed({"doc": "larder_doc", "hash": "larder_hash"})
     text = text_of(text_col)
-    same = (key_of(id_col, text) == F.col("doc")) & (F.xxhash64(text) == F.col("hash"))
+    same = (key_of(id_col, text) == F.col("larder_doc")) & (F.xxhash64(text) == F.col("larder_hash"))
     names = [column(name) for name in df.columns]
     keyed = df.select(*names)
-    left = keyed.join(small(marked.where("not stays").select("doc", "hash")), same, "left_anti")
-    twice = marked.where("stays and n > 1").select("doc", "hash")
+    left = keyed.join(small(marked.where("not stays").select("larder_doc", "larder_hash")), same, "left_anti")
+    twice = marked.where("stays and n > 1").select("larder_doc", "larder_hash")
     if twice.isEmpty():
         return left
     once = left.join(small(twice), same, "left_anti")
-    often = left.join(small(twice), same).dropDuplicates(["doc", "hash"]).select(*names)
+    often = left.join(small(twice), same).dropDuplicates(["larder_doc", "larder_hash"]).select(*names)
     return once.unionByName(often)
 
 

@@ -41,7 +41,9 @@ CLUTTER = re.compile(
 )
 HEAD_OF_PAGE = frozenset(("html", "body", "main", "article"))
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+CONTENT = re.compile(r"<(?:article|main)[\s/>]", re.I)
+END_OF_FORM = re.compile(r"</form\s*>", re.I)
 CLOSED_BY = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "option": {"option"}}
 
 WORD, OPEN, CLOSE, NAME = "w", "o", "c", "n"
@@ -67,6 +69,13 @@ def is_clutter(tag: str, attributes: str) -> bool:
     return False
 
 
+def around_content(page: str, at: int) -> bool:
+    """Whether the form whose tag ends here holds an article or main element: some pages stand in a
+    form as a whole. Its controls are left out all the same."""
+    end = END_OF_FORM.search(page, at)
+    return CONTENT.search(page, at, end.start() if end else len(page)) is not None
+
+
 def names_of(tag: str, attributes: str) -> tuple[frozenset[str], bool]:
     """The words of an element's class and id, and whether the list of clutter has one."""
     names, listed = frozenset(), False
@@ -120,6 +129,8 @@ def tokens_of(page: str) -> Iterator[tuple[str, str, str, bool, bool, frozenset[
             stack.pop()
         _, inside, content, names, listed = top()
         clutter = inside or is_clutter(tag, match[3])
+        if tag == "form" and not inside and around_content(page, match.end()):
+            clutter = False
         own, marked = names_of(tag, match[3])
         names = names | own if own else names
         content = content or tag in ("article", "main")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from larder.functions import column
-from larder.llm.common import bounded_batches, map_batches, saved, slices, small, text_of
+from larder.llm.common import bounded_batches, map_batches, saved, slices, small, text_of, without
 
 FEATURES = 20_000
 LEAST_DOCUMENTS = 5
@@ -264,11 +264,11 @@ def score_toxicity(df: DataFrame, model: dict[str, float], text_col: str = "text
 
     Whole texts are read. A text without words, empty or null, has no sentence: score 0.
     Every row is scored by itself, so repeated rows give repeated results and an empty table
-    an empty one. Input columns named ``score`` or ``sentences`` are replaced; the name
+    an empty one. Input columns named ``score`` or ``sentences``, in whatever case, are replaced; the name
     ``larder_text`` is reserved.
     """
     added = "score double, sentences array<struct<start: int, end: int, score: double>>"
-    fields = [field for field in df.schema.fields if field.name not in ("score", "sentences")]
+    fields = without(df, ("score", "sentences"))
     schema = T.StructType([*fields, *T.StructType.fromDDL(added).fields])
     names = [field.name for field in fields]
     return map_batches(df.withColumn("larder_text", text_of(text_col)), schema, scorer(model, names))
