@@ -6,8 +6,11 @@ Parquet and read again as the next one's ``docs``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from larder.functions import column
 from larder.llm.common import saved
 from larder.llm.decontaminate import find_contamination
 from larder.llm.exact_dedup import drop_copies
@@ -16,10 +19,17 @@ from larder.llm.packing import pack_documents
 from larder.llm.toxicity import learnt, score_toxicity
 
 
+def untouched(docs: DataFrame, taken: set[str], find: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``find`` keeps of the rows, with their own columns, also those that it has names for."""
+    safe = {name: f"larder_own_{i}" if name.lower() in taken else name for i, name in enumerate(docs.columns)}
+    found = find(docs.select([column(name).alias(safe[name]) for name in docs.columns]))
+    return found.select([column(safe[name]).alias(name) for name in docs.columns])
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents with a toxicity score of 0.5 or more."""
-    scored = score_toxicity(docs, learnt(spark, docs, sf_dir))
-    return scored.where(F.col("score") < 0.5).select(*docs.columns)
+    model = learnt(spark, docs, sf_dir)
+    return untouched(docs, {"score", "sentences"}, lambda rows: score_toxicity(rows, model).where(F.col("score") < 0.5))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +45,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return find_contamination(docs, benchmark).where("not contaminated").select(*docs.columns)
+    taken = {"contaminated", "items", "overlap"}
+    return untouched(docs, taken, lambda rows: find_contamination(rows, benchmark).where("not contaminated"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
