@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -109,6 +111,18 @@ def slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, rows)
 
 
+def release() -> None:
+    """Give what a task has freed back to the system, as Spark keeps the process for other tasks.
+
+    The C library holds on to the memory of freed arrays; where it can be told to let go, it is.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def batches_of(schema: T.StructType | str, make, size: int) -> tuple:
     """``(function, schema)`` for ``mapInArrow`` from a function of one batch's columns.
 
@@ -131,7 +145,7 @@ def batches_of(schema: T.StructType | str, make, size: int) -> tuple:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
         del work
-        pa.default_memory_pool().release_unused()  # Spark reuses the process for other tasks
+        release()
 
     return run, schema
 

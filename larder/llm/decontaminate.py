@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from larder.functions import column
-from larder.llm.common import bounded_batches, map_batches, saved, slices, text_of, without
+from larder.llm.common import bounded_batches, map_batches, release, saved, slices, text_of, without
 
 BUCKETS = 1 << 16
 DIMENSIONS = 256
@@ -108,6 +108,7 @@ def document_counts(docs: DataFrame, numbers: dict[str, int]) -> tuple[np.ndarra
                 "n": pa.array(np.concatenate([total[met], [rows]]).astype(np.int64)),
             }
         )
+        release()
 
     bounded_batches(docs.sparkSession)
     parts = docs.select("larder_text").mapInArrow(count, "i int, n bigint").groupBy("i").agg(F.sum("n").alias("n"))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from larder.functions import column
-from larder.llm.common import bounded_batches, map_batches, saved, slices, small, text_of, without
+from larder.llm.common import bounded_batches, map_batches, release, saved, slices, small, text_of, without
 
 FEATURES = 20_000
 LEAST_DOCUMENTS = 5
@@ -92,6 +92,8 @@ def count_features():
             if len(clean) + len(toxic) > COUNTED:
                 yield passed_on()
         yield passed_on()
+        del features
+        release()
 
     return run
 
