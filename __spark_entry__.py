@@ -34,7 +34,7 @@ from larder.plans.products import clean_products, load_products_jdbc, load_produ
 from larder.plans.wordcount import count_words
 from larder.session import new_run_dir
 from larder.sinks import publish_parquet, run_sql, write_csv, write_jdbc, write_parquet
-from larder.sources import read_csv, read_jdbc, read_jdbc_query, read_lines, read_parquet, read_tsv
+from larder.sources import read_csv, read_jdbc, read_jdbc_query, read_lines, read_parquet, read_quoted_csv, read_tsv
 from larder.streaming import (
     append_batch_to,
     count_new_lines,
@@ -339,6 +339,13 @@ def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, infer=True).withColumn("c_custkey", F.col("c_custkey").cast("bigint"))
 
 
+def csv_quoted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    note = F.concat_ws("\n", F.lit('"Note", first line'), F.col("source"), F.col("text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", note.alias("note"))
+    path = write_csv(docs, new_run_dir(spark, "csv"))
+    return read_quoted_csv(spark, path, docs.schema)
+
+
 def tsv_gz_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     path = write_csv(customer, new_run_dir(spark, "tsv"), sep="\t", compression="gzip")
@@ -471,6 +478,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "parquet_roundtrip": parquet_roundtrip,
         "csv_roundtrip": csv_roundtrip,
         "csv_inferred": csv_inferred,
+        "csv_quoted_lines": csv_quoted_lines,
         "tsv_gz_scan": tsv_gz_scan,
         "table_load": table_load,
         "jdbc_roundtrip": jdbc_roundtrip,
@@ -662,6 +670,9 @@ def oracle_sql() -> dict[str, str]:
         "parquet_roundtrip": "SELECT * REPLACE (l_shipdate::DATE::VARCHAR AS l_shipdate) FROM lineitem",
         "csv_roundtrip": "SELECT * FROM part",
         "csv_inferred": "SELECT * FROM customer",
+        "csv_quoted_lines": """
+            SELECT doc_id, lang, concat_ws(chr(10), '"Note", first line', source, text) AS note FROM documents
+        """,
         "tsv_gz_scan": "SELECT * FROM customer",
         "table_load": "SELECT " + ", ".join(f"{n}::FLOAT::DOUBLE AS {n}" for n in MEASURES) + " FROM lineitem",
         "jdbc_roundtrip": "SELECT * FROM supplier",

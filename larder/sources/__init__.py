@@ -8,6 +8,7 @@ from larder.sources.files import (
     read_tsv,
 )
 from larder.sources.jdbc import read_jdbc, read_jdbc_query
+from larder.sources.records import read_quoted_csv
 
 __all__ = [
     "NA_TOKENS",
@@ -18,5 +19,6 @@ __all__ = [
     "read_jdbc_query",
     "read_lines",
     "read_parquet",
+    "read_quoted_csv",
     "read_tsv",
 ]
