@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from larder.functions import column
 from larder.operators.cells import nearest_by_cells
-from larder.operators.lloyd import Layout, lloyd, nearest_rows, points_of
+from larder.operators.lloyd import CENTRES_PER_BLOCK, Layout, lloyd, nearest_rows, points_of
 from larder.session import shared_dir
 
 ROWS_PER_PARTITION = 100_000
@@ -301,9 +301,11 @@ def score_partition(sums: Sequence[np.ndarray]):
 
     ``sums[i]`` has a row (n, sum of |y|^2, sum of y) for each cluster of the i-th
     clustering. The mean squared distance from x to a cluster is |x|^2 + mean |y|^2 -
-    2 x.mean(y), so no pair of points is ever formed.
+    2 x.mean(y), so no pair of points is ever formed. Clusters are taken in blocks with the
+    least distance so far, so memory does not grow with a batch times their number.
     """
     read = batch_reader()
+    width = CENTRES_PER_BLOCK
     sizes = [total[:, 0] for total in sums]
     means = [total[:, 1:] / np.maximum(total[:, :1], 1) for total in sums]
 
@@ -313,14 +315,18 @@ def score_partition(sums: Sequence[np.ndarray]):
             if not batch.num_rows:
                 continue
             points, norms, copies, assigned = read(batch)
-            row = np.arange(len(points))
             for i, (size, mean) in enumerate(zip(sizes, means)):
-                distance = norms[:, None] + mean[:, 0] - 2 * (points @ mean[:, 1:].T)
-                distance[:, size == 0] = np.inf
+                own, other = np.zeros(len(points)), np.full(len(points), np.inf)
+                for first in range(0, len(size), width):
+                    block = mean[first : first + width]
+                    distance = norms[:, None] + block[:, 0] - 2 * (points @ block[:, 1:].T)
+                    distance[:, size[first : first + width] == 0] = np.inf
+                    row = np.flatnonzero((assigned[:, i] >= first) & (assigned[:, i] < first + width))
+                    at = assigned[row, i] - first
+                    own[row], distance[row, at] = distance[row, at], np.inf
+                    np.minimum(other, distance.min(axis=1), out=other)
                 n = size[assigned[:, i]]
-                own = distance[row, assigned[:, i]] * n / np.maximum(n - 1, 1)
-                distance[row, assigned[:, i]] = np.inf
-                other = distance.min(axis=1)
+                own *= n / np.maximum(n - 1, 1)
                 other[np.isinf(other)] = 0.0  # there is no other cluster
                 larger = np.maximum(own, other)
                 value = np.divide(other - own, larger, out=np.zeros(len(points)), where=larger > 0)

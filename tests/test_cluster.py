@@ -6,6 +6,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from larder.operators import cluster
 from larder.operators.cluster import (
     assign,
     fit_kmeans,
@@ -131,6 +132,17 @@ def test_joint_silhouettes_equal_the_evaluator_on_all_rows(copied, points):
         assert joint == pytest.approx(single, abs=1e-9)
 
 
+def test_silhouettes_by_blocks_of_clusters(copied, monkeypatch):
+    layout = stable_layout(copied, "scaled", 3)
+    centres = np.unique(matrix(copied), axis=0)[::3]
+    models = [centres[:k] for k in (2, 7, 40)] + [np.concatenate([centres[:5], centres[:1] + 1e6])]
+    whole = cluster.silhouettes_of(layout, models)
+    assert None not in whole
+    for width in (1, 3, 7):
+        monkeypatch.setattr(cluster, "CENTRES_PER_BLOCK", width)
+        assert cluster.silhouettes_of(layout, models) == pytest.approx(whole, abs=1e-9)
+
+
 def test_joint_silhouettes_with_singletons(spark):
     x = np.array([[0.0], [0.2], [9.0], [30.0]])
     df = spark.createDataFrame([(Vectors.dense(v),) for v in x], ["scaled"])
