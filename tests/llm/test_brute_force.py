@@ -1,0 +1,304 @@
+"""Operators that SQL can't express, against slow and plain versions of what they promise."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from conftest import SMALL
+from larder.llm import pages, secrets, shards, spans, toxicity
+from larder.llm.decontaminate import answer_of, common_words, find_contamination
+
+DOCS = "doc_id bigint, text string"
+
+
+# toxicity
+
+
+def noisy_or(weights, bias, sentences):
+    clean = 1.0  # that no sentence is toxic
+    for ids in sentences:
+        clean *= 1 - 1 / (1 + math.exp(-(bias + sum(weights[i] for i in ids))))
+    return 1 - clean
+
+
+def test_toxicity_gradient_equals_differences_of_the_loss():
+    rng = random.Random(1)
+    docs = [(rng.randint(0, 1), [[rng.randrange(6) for _ in range(rng.randint(0, 4))] for _ in range(rng.randint(1, 5))]) for _ in range(30)]
+    batch = pa.RecordBatch.from_pydict(
+        {
+            "toxic": pa.array([label for label, _ in docs], pa.int32()),
+            "ids": pa.array([[i for one in text for i in one] for _, text in docs], pa.list_(pa.int32())),
+            "sizes": pa.array([[len(one) for one in text] for _, text in docs], pa.list_(pa.int32())),
+        }
+    )
+    point = np.array([rng.uniform(-1, 1) for _ in range(6)] + [-1.5])
+
+    def loss(at):
+        chance = [(label, noisy_or(at[:-1], at[-1], text)) for label, text in docs]
+        return -sum(math.log(p if label else 1 - p) for label, p in chance)
+
+    (out,) = toxicity.gradient(point[:-1], point[-1])(iter([batch]))
+    found = dict(zip(out["i"].to_pylist(), out["g"].to_pylist()))
+    assert found[-2] == pytest.approx(loss(point))
+    for i in range(7):
+        step = np.eye(7)[i] * 1e-6
+        slope = (loss(point + step) - loss(point - step)) / 2e-6
+        assert found.get(i if i < 6 else -1, 0.0) == pytest.approx(slope, rel=1e-4, abs=1e-5)
+
+
+def test_toxicity_scores_are_the_noisy_or(spark):
+    rng = random.Random(2)
+    vocabulary = ["alpha", "beta", "gamma", "delta", "epsilon"]
+    model = {f: rng.uniform(-2, 2) for word in vocabulary for f in toxicity.features_of(word)} | {"": -2.0}
+    texts = ["", None, "alpha", *(" ".join(rng.choice(vocabulary) + rng.choice(["", "", ".", "!"]) for _ in range(n)) for n in (5, 40, 40, 900))]
+    rows = [(i, text) for i, text in enumerate([*texts, texts[-1]])]
+    empty = spark.createDataFrame([], DOCS)
+    assert toxicity.score_toxicity(empty, model).collect() == []
+    for row in toxicity.score_toxicity(spark.createDataFrame(rows, DOCS), model).collect():
+        parts = [set(found) for _, _, found in toxicity.sentences_of(row["text"] or "")]
+        clean = 1.0
+        for words in parts:
+            z = model[""] + sum(model.get(f, 0.0) for word in words for f in toxicity.features_of(word))
+            clean *= 1 - 1 / (1 + math.exp(-z))
+        assert row["score"] == pytest.approx(1 - clean, abs=1e-9)
+
+
+# page extraction
+
+
+def best_stretch(scores):
+    """The stretch with the greatest sum; of equal ones the first to end, then the shortest."""
+    sums = [(sum(scores[a:b]), -b, a) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)]
+    total, end, start = max(sums, default=(0.0, 0, 0))
+    return (start, -end) if total > 0 else (0, 0)
+
+
+def rendered(tokens):
+    blocks = [[]]
+    for token in tokens:
+        blocks.append([]) if token.startswith("<") else blocks[-1].append(token)
+    return "\n\n".join(" ".join(block) for block in blocks if block)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_pages_hold_the_best_of_all_stretches(seed):
+    rng = random.Random(seed)
+    for _ in range(60):
+        weights = {kind + tag: -rng.uniform(0.02, 3) for kind in "oc" for tag in ("p", "div", "h2")}
+        weights |= {"w" + tag: rng.uniform(-1, 2) for tag in ("p", "div", "h2")}
+        tokens, scores = [], []
+        for _ in range(rng.randint(0, 12)):
+            tag, n = rng.choice(["p", "div", "h2"]), rng.randint(0, 4)
+            words = " ".join(f"w{rng.randrange(100)}" for _ in range(n))
+            for token, score in ((f"<{tag}>", weights["o" + tag]), (words, n * weights["w" + tag]), (f"</{tag}>", weights["c" + tag])):
+                if token:
+                    tokens.append(token)
+                    scores.append(score)
+        start, end = best_stretch(scores)
+        assert pages.extract("".join(tokens), weights) == rendered(tokens[start:end])
+
+
+def test_pages_with_ties_long_and_repeated_ones(spark):
+    weights = {"wp": 1.0, "op": -0.5, "cp": -0.5, "ohr": -9.0}
+    tie = "<p>one two</p><hr><p>three four</p>"
+    assert pages.extract(tie, weights) == "one two"
+    long = "<p>" + "word " * 300_000 + "</p>"
+    rows = [(1, "u", tie, 9), (1, "u", tie, 9), (2, "u", long, 9)]
+    table = spark.createDataFrame(rows, "page_id bigint, url string, html string, larder_n int")
+    found = sorted((row["page_id"], row["n_chars"]) for row in pages.extract_pages(table, weights).collect())
+    assert found == [(1, 7), (1, 7), (2, 5 * 300_000 - 1)]
+    assert pages.extract_pages(table.limit(0)).collect() == []
+
+
+# sharding
+
+
+def test_sharding_query_equals_plain_figures(spark):
+    found = {row["doc_id"]: row for row in shards.op5_sharding(spark, SMALL).collect()}
+    docs = {row["doc_id"]: (row["text"] or "").encode() for row in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    assert found.keys() == docs.keys()
+    for doc, text in docs.items():
+        row = found[doc]
+        assert (row["size"], row["text_crc32"], row["law"], row["grown_shard"]) == (len(text) + 1, zlib.crc32(text), "rows", None)
+    slots = {}
+    for row in found.values():
+        slots.setdefault(row["shard"], []).append(row["slot"])
+    assert sorted(slots) == list(range(16)) and all(sorted(x) == list(range(len(x))) for x in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+
+
+def test_shards_do_not_depend_on_the_layout(spark, tmp_path):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    long = spark.createDataFrame([(10**9, "x" * 3_000_000), (-1, None)], DOCS)
+    rows = docs.union(long)
+    places = []
+    for parts in (1, 7):
+        out = shards.shard_rows(rows.repartition(parts), str(tmp_path / str(parts)), shards=5, bucket_bytes=200_000)
+        places.append(sorted((row["doc_id"], row["shard"], row["slot"]) for row in out.collect()))
+    assert places[0] == places[1] and len(places[0]) == rows.count()
+
+
+# secrets
+
+
+def plain_spans(text):
+    """The known formats by the patterns as they are given."""
+    found = []
+    assign = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    found += [("assign", m) for m in re.finditer(assign, text, re.I | re.A) if len(m[2]) >= 8]
+    found += [("access", m) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [("hex", m) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    order = ("assign", "access", "hex")
+    return [f"{kind}:{m.start()}:{m.end()}" for kind, m in sorted(found, key=lambda x: (x[1].start(), order.index(x[0])))]
+
+
+def test_base_spans_equal_the_plain_patterns(spark):
+    rng = random.Random(8)
+    pieces = ["password", "Passwd", "SECRET", "token", "api_key", "apikey", "API", "_key", '"', "'", " ", ":", "=", "AKIA", "A1B2C3D4E5F6", "0af9", "deadbeef",
+              "x", "é", "\n", "+/", "abcdefgh", "ſ", "K", "secret=", "hunter2hunter2"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.choice([3, 8, 30, 200]))) for _ in range(600)]
+    texts += [None, "", "a" * 200_000 + " token=" + "b" * 100_000, texts[5], texts[5]]
+    rows = list(enumerate(texts))
+    found = secrets.find_secrets(spark.createDataFrame(rows, DOCS)).collect()
+    assert len(found) == len(texts)
+    for row in found:
+        expected = plain_spans(texts[row["doc_id"]] or "")
+        base = [span for span in row["spans"].split(",") if span and not span.startswith("guess")]
+        assert base == expected
+        assert row["base_sha256"] == hashlib.sha256(",".join(expected).encode()).hexdigest()
+        assert [row["n_assign"], row["n_access"], row["n_hex"]] == [sum(s.startswith(k) for s in expected) for k in ("assign", "access", "hex")]
+    assert secrets.find_secrets(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def fewest_guesses(value, ranks):
+    """Every segment of every kind, tried at every place."""
+    lower, near = value.lower(), secrets.keyboard()
+    plain = lower.translate(secrets.LEET)
+    n = len(value)
+    step = [i > 0 and (lower[i] in near.get(lower[i - 1], ()) or abs(ord(lower[i]) - ord(lower[i - 1])) == 1) for i in range(n)]
+    best = [0.0] + [math.inf] * n
+    for b in range(1, n + 1):
+        ways = [best[b - 1] + secrets.brute(value) / n]
+        for a in range(b):
+            size, piece = b - a, lower[a:b]
+            costs = []
+            if 3 <= size <= 20:
+                upper = math.log10(4) if value[a:b] != piece else 0.0
+                costs += [math.log10(2 * (ranks[piece] + 1)) + upper] if piece in ranks else []
+                costs += [math.log10(4 * (ranks[plain[a:b]] + 1)) + upper] if plain[a:b] in ranks else []
+            if secrets.DATE.fullmatch(piece):
+                orders = 1 if piece.startswith(("19", "20")) else 2
+                costs.append(math.log10(2 * 100 * orders * (12 if size > 5 else 1) * (31 if size > 7 else 1)))
+            if size >= 3 and len(set(piece)) == 1:
+                costs.append(math.log10(2 * 36 * size))
+            if size >= 4 and all(step[a + 1 : b]):
+                costs.append(math.log10(2 * 36) + (size - 1) * math.log10(3))
+            if size >= 2 and a >= size and lower[a - size : a] == piece:
+                costs.append(math.log10(2))
+            ways += [best[a] + cost for cost in costs]
+        best[b] = min(ways)
+    return best[n]
+
+
+def test_guess_costs_equal_every_segmentation():
+    rng = random.Random(12)
+    ranks = {"pass": 0, "word": 3, "password": 1, "horse": 90, "ass": 40, "aaa": 500, "leet": 20}
+    pieces = ["pass", "word", "p4$$", "L33T", "horse", "a", "aa", "aaaa", "1", "12", "1999", "12/31/", "qwe", "rty", "xyz", "Z", "é", "ab", "abab", "!"]
+    for _ in range(1500):
+        value = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 7)))[:24]
+        assert secrets.log_guesses(value, ranks) == pytest.approx(fewest_guesses(value, ranks)), value
+
+
+# repeated passages
+
+
+def without_repeats(docs, run, run_words):
+    """``docs`` in the order of their ids; runs are compared as texts, one by one."""
+    seen, left = set(), {}
+    for doc, text in docs:
+        sentences = spans.sentences_of(text or "")
+        gone, own = set(), set()
+        for i in range(len(sentences)):
+            end = i + run
+            while end <= len(sentences) and sum(s[2] for s in sentences[i:end]) < run_words:
+                end += 1
+            if end > len(sentences):
+                break
+            key = tuple(s[3] for s in sentences[i:end])
+            if key in seen or key in own:
+                gone.update(range(i, end))
+            own.add(key)
+        seen |= own
+        starts = [s[0] for s in sentences] + [len(text or "")]
+        head = (text or "")[: starts[0]]
+        left[doc] = head + "".join(text[starts[i] : starts[i + 1]] for i in range(len(sentences)) if i not in gone)
+    return left
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_repeats_equal_comparing_all_runs(spark, seed):
+    rng = random.Random(seed)
+    stock = [" ".join(rng.choice("abcdefghijkl") * rng.randint(1, 3) for _ in range(rng.choice([1, 2, 6, 9, 40]))) for _ in range(25)]
+    docs = []
+    for i in range(150):
+        text = rng.choice(["", "  "]) + "".join(rng.choice(stock) + rng.choice([". ", "! ", "\n", ".\n\n", "。"]) for _ in range(rng.randint(0, 25)))
+        docs.append((i - 20, text))
+    docs += [(500, None), (501, ""), (502, docs[3][1] * 40), (503, docs[9][1].upper())]
+    table = spark.createDataFrame(rng.sample(docs, len(docs)), DOCS).repartition(5)
+    found = {row["doc_id"]: row for row in spans.remove_repeats(table).collect()}
+    expected = without_repeats(docs, spans.RUN, spans.RUN_WORDS)
+    assert {doc: row["text"] for doc, row in found.items()} == expected
+    assert sum(row["n_removed"] > 0 for row in found.values()) > 50
+
+
+# benchmark items
+
+
+def items_found(text, items):
+    """Every window of a text against every item, without any search for candidates."""
+    words = re.findall(r"\w+", text.lower())
+    found = {}
+    for start in range(0, max(1, len(words)), 16):
+        end = min(len(words), start + 32)
+        for item, benchmark in items:
+            wanted, answer = re.findall(r"\w+", benchmark.lower()), answer_of(benchmark)
+            around = words[max(0, start - len(wanted)) : end + len(wanted)]
+            share = common_words(wanted, around) / len(wanted)
+            if share >= 0.6 or share >= 0.45 and common_words(answer, around) >= 0.8 * len(answer):
+                found[item] = max(found.get(item, 0.0), share)
+    return found
+
+
+def test_items_equal_comparing_all_windows(spark):
+    rng = random.Random(21)
+    vocabulary = [f"w{i}" for i in range(400)]
+    say = lambda n: " ".join(rng.choices(vocabulary, k=n))
+    items = [(i, f"{say(30)}? {say(8)}.") for i in range(25)]
+    docs = []
+    for i, (item, text) in enumerate(items * 4):
+        question, answer = text.split("? ")
+        kept = rng.choice([0.3, 0.4, 0.5, 0.55, 0.62, 0.7, 0.85, 1.0])
+        edited = " ".join(w if rng.random() < kept else f"new{rng.randrange(10**6)}" for w in question.split())
+        docs.append((i, f"{say(rng.randint(0, 60))} {edited} {rng.choice([answer, say(8)])} {say(rng.randint(0, 60))}"))
+    docs += [(1000 + i, say(200)) for i in range(20)] + [(2000, ""), (2001, None), (2002, "w1 " * 20_000), docs[0]]
+    found = find_contamination(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id bigint, text string"))
+    rows = found.collect()
+    assert len(rows) == len(docs)
+    paraphrases = 0
+    for row in rows:
+        expected = items_found(row["text"] or "", items)
+        assert row["items"] == sorted(expected), row["doc_id"]
+        assert row["contaminated"] == bool(expected)
+        # the share is that of the windows that are candidates; one beside them may hold a word more
+        most = max(expected.values(), default=0.0)
+        assert most - 0.1 <= row["overlap"] <= most + 1e-9
+        paraphrases += any(share < 0.6 for share in expected.values())
+    assert paraphrases >= 5
