@@ -11,16 +11,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larder.functions import column
 from larder.llm.common import map_batches, ranked, saved
+from larder.llm.schemas import every, judged
 
 # How calls and results are written in a message's text
 CALL = re.compile(r"<tool_call>(.*?)</tool_call>", re.S)
 RESULT = re.compile(r"<tool_result>(.*?)</tool_result>", re.S)
 TOOLS = re.compile(r"<tools>(.*?)</tools>", re.S)
 SURROGATE = re.compile("[\ud800-\udfff]")
-JSON_TYPES = {
-    "string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list,
-    "null": type(None),
-}
 
 FIELDS = "call_id string, name string, body string, valid boolean, more string"
 
@@ -47,30 +44,6 @@ def rest_of(found: dict, *known: str) -> str | None:
     return canonical(more) if more else None
 
 
-def fits(value: object, schema: Mapping) -> bool:
-    """Whether a value has the type, properties, items and choices that a JSON schema asks for."""
-    kinds = schema.get("type")
-    if kinds is not None:
-        kinds = [kinds] if isinstance(kinds, str) else kinds
-        if not any(
-            isinstance(value, JSON_TYPES.get(kind, ())) and (kind in ("boolean", "null") or not isinstance(value, bool))
-            for kind in kinds
-        ):
-            return False
-    if "enum" in schema and value not in schema["enum"]:
-        return False
-    if isinstance(value, dict):
-        known = schema.get("properties", {})
-        if any(name not in value for name in schema.get("required", ())):
-            return False
-        if schema.get("additionalProperties") is False and any(name not in known for name in value):
-            return False
-        return all(fits(part, known[name]) for name, part in value.items() if name in known)
-    if isinstance(value, list) and "items" in schema:
-        return all(fits(part, schema["items"]) for part in value)
-    return True
-
-
 def defined_tools(text: str) -> list[dict]:
     """Name and JSON schema of each tool that a system message defines."""
     found = []
@@ -87,12 +60,9 @@ def defined_tools(text: str) -> list[dict]:
     return found
 
 
-def fits_defined(body: str, schema: str | None) -> bool:
+def fits_defined(body: str, schema: str | None) -> bool | None:
     """Whether arguments fit a tool's definition; none, or one that is no schema, fits nothing."""
-    try:
-        return schema is not None and fits(json.loads(body), json.loads(schema))
-    except (TypeError, AttributeError, RecursionError):
-        return False
+    return False if schema is None else judged(json.loads(body), json.loads(schema))
 
 
 def parsed(text: str) -> dict | None:
@@ -125,7 +95,7 @@ def read_message(role: str | None, text: str, schemas: Mapping[str, Mapping]) ->
                 valid = True
                 if into is calls:
                     schema = schemas.get(one["name"])
-                    valid = isinstance(given, dict) and (fits(given, schema) if schema is not None else not schemas)
+                    valid = isinstance(given, dict) and (judged(given, schema) if schema is not None else not schemas)
                 into.append(one | {"valid": valid})
             text = kind.sub("", text)
     elif role == "tool" and (found := parsed(text)) is not None and found.get("tool_call_id") is not None:
@@ -200,7 +170,8 @@ def format_chats(
     call and its result. Arguments are checked against ``schemas``, JSON schemas by tool name;
     with schemas given, a tool without one is invalid. Without ``schemas``, the tools that a
     conversation's system turns define count, ``<tools>[{"name", "parameters"}]</tools>``, the
-    first of a name; a conversation that defines none takes any object. A result without a call, broken JSON
+    first of a name; a conversation that defines none takes any object. ``valid`` is null in the message, and the call is
+    not in ``n_invalid``, where a keyword that :mod:`larder.llm.schemas` doesn't read would decide. A result without a call, broken JSON
     and a call without an identifier stay in the message and are not linked. Broken is also JSON with numbers that
     are not finite and with nesting too deep to be read. Further keys of calls and results stand under ``more``.
 
@@ -280,8 +251,8 @@ def format_chats(
                 if defined:
                     schema_of = dict(known or ())
                     for c in calls:
-                        c["valid"] = c["valid"] and fits_defined(c["body"], schema_of.get(c["name"]))
-                invalid.append(sum(not c["valid"] for c in calls))
+                        c["valid"] = every((c["valid"], fits_defined(c["body"], schema_of.get(c["name"]))))
+                invalid.append(sum(c["valid"] is False for c in calls))
                 message: dict = {"content": content, "role": role}
                 if calls:
                     message["tool_calls"] = [
