@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from larder.functions import column
-from larder.llm.common import text_of
+from larder.llm.common import saved, small, text_of
 from larder.session import new_run_dir
 
 BUCKET_BYTES = 32 << 20
@@ -88,15 +88,14 @@ def shard_rows(
     buckets = max(1, math.ceil(total / bucket_bytes))
     share = max(1, rows // buckets // 4)
     row_id = column(id_col)
-    often = (
-        df.groupBy(row_id.cast("string").alias("larder_often")).agg(F.count("*").alias("n")).where(F.col("n") > share)
-    ).select("larder_often")
+    often = df.groupBy(row_id.cast("string").alias("larder_often")).agg(F.count("*").alias("n"))
+    often = saved(often.where(F.col("n") > share).select("larder_often"), "shard-ids")
     place = F.monotonically_increasing_id()
     dealt = df.select(*[column(name) for name in names]).withColumns(
         {"larder_size": size, "larder_id": row_id.cast("string"), "larder_place": place}
     )
     match = F.col("larder_id").eqNullSafe(F.col("larder_often"))
-    dealt = dealt.join(F.broadcast(often.withColumn("larder_yes", F.lit(True))), match, "left")
+    dealt = dealt.join(small(often).withColumn("larder_yes", F.lit(True)), match, "left")
     spread = F.when(F.col("larder_yes"), F.col("larder_place")).otherwise(F.lit(0))
     dealt = dealt.withColumn("larder_place", spread).drop("larder_often", "larder_yes")
     dealt = dealt.withColumn(SALT, F.xxhash64(F.lit(seed), "larder_id", text_of(text_col), "larder_place"))
