@@ -49,6 +49,7 @@ CLOSED_BY = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"},
 WORD, OPEN, CLOSE, NAME = "w", "o", "c", "n"
 NAME_PART = re.compile(r"[a-z]{2,40}")
 MAX_NAMES = 10_000
+TASK_CLASSES = 100_000
 LEARNT_CLUTTER, LISTED_WORD = -2.0, -1.0
 
 
@@ -153,8 +154,19 @@ def count_classes():
     """A function for ``mapInArrow``: how often each class of token lies in and out of content.
 
     Only pages that mark exactly one article (or else one main element) are labelled pages.
+    Counts are passed on whenever there are many, which bounds a task's memory.
     """
 
+    def told(counts: tuple[Counter, Counter]) -> pa.RecordBatch:
+        names = list(counts[0].keys() | counts[1].keys())
+        return pa.RecordBatch.from_pydict(
+            {
+                "class": pa.array(names, pa.string()),
+                "outside": pa.array([counts[0][x] for x in names], pa.int64()),
+                "inside": pa.array([counts[1][x] for x in names], pa.int64()),
+            }
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in batches:
@@ -171,14 +183,10 @@ def count_classes():
                             counts[content][NAME + name] += many
                     if not listed:
                         counts[content][token_class(kind, tag)] += many
-        names = list(counts[0].keys() | counts[1].keys())
-        yield pa.RecordBatch.from_pydict(
-            {
-                "class": pa.array(names, pa.string()),
-                "outside": pa.array([counts[0][x] for x in names], pa.int64()),
-                "inside": pa.array([counts[1][x] for x in names], pa.int64()),
-            }
-        )
+                if len(counts[0]) + len(counts[1]) > TASK_CLASSES:
+                    yield told(counts)
+                    counts = (Counter(), Counter())
+        yield told(counts)
 
     return run
 
@@ -252,10 +260,12 @@ def extract_pages(
     scan over the whole page. Menus, headers, footers, asides, forms, scripts, styles and
     hidden elements score nothing and are left out. Class and id words weigh what the
     labelled pages show; a fixed list stands in, outside articles, for those they don't show.
+    Of equally good stretches the one that ends first counts, without a front that adds nothing.
     Weights are learnt from the pages themselves if none are given.
     Character references are decoded, white space in a block becomes one space, blocks are
     joined by an empty line. A null or empty page, or one without words, gives an empty
-    text. Pages are treated one by one, repeated ones too.
+    text. Pages are treated one by one, repeated and very long ones too; an empty table gives
+    an empty one, and only the named columns are read.
     """
     if weights is None:
         weights = fit_weights(pages, html_col)

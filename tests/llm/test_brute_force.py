@@ -118,6 +118,25 @@ def test_pages_with_ties_long_and_repeated_ones(spark):
     assert pages.extract_pages(table.limit(0)).collect() == []
 
 
+def test_page_counts_are_passed_on(spark, monkeypatch):
+    html = [f'<div class="side{i % 7}x">few words</div><article><p class="body">more words {i}</p></article>' for i in range(50)]
+    batch = pa.RecordBatch.from_pydict({"larder_html": html})
+
+    def summed():
+        total = {}
+        parts = list(pages.count_classes()(iter([batch, batch])))
+        for part in parts:
+            for name, outside, inside in zip(*(column.to_pylist() for column in part.columns)):
+                before = total.get(name, (0, 0))
+                total[name] = (before[0] + outside, before[1] + inside)
+        return len(parts), total
+
+    once, whole = summed()
+    monkeypatch.setattr(pages, "TASK_CLASSES", 5)
+    often, parted = summed()
+    assert once == 1 and often > 1 and parted == whole
+
+
 # sharding
 
 
