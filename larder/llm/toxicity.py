@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import warnings
 from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
@@ -18,7 +19,8 @@ from larder.llm.common import bounded_batches, map_batches, release, saved, slic
 
 FEATURES = 20_000
 LEAST_DOCUMENTS = 5
-ROUNDS = 24
+ROUNDS = 100
+LEAST_CHANGE = 2e-4
 LEAST_WORDS = 6
 SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 WORD = re.compile(r"\w+")
@@ -192,12 +194,14 @@ def fit_toxicity(
     label_col: str = "toxic",
     features: int = FEATURES,
     rounds: int = ROUNDS,
+    least_change: float = LEAST_CHANGE,
 ) -> dict[str, float]:
     """Weights of words and stems, and the bias under the empty name, from labelled documents.
 
     All labelled rows are used. At most ``features`` features are kept, so that is all the
-    driver ever holds; each of the ``rounds`` gradient steps is one pass over the rows'
-    chosen features. Rows with a null label are left out, null texts are empty. Without both
+    driver ever holds; each gradient step is one pass over the rows' chosen features. Steps end
+    when one changes the mean loss by less than ``least_change``, or after ``rounds``, with a
+    warning. Rows with a null label are left out, null texts are empty. Without both
     labels there is nothing to learn, and every score is 0.
     """
     bounded_batches(labelled.sparkSession)
@@ -218,9 +222,14 @@ def fit_toxicity(
     weights = np.array([row["odds"] for row in chosen]) * 0.5
     bias = -6.0
     speed, at_bias = np.zeros(len(names)), 0.0
+    before = math.inf
     for _ in range(rounds):
         parts = rows.mapInArrow(gradient(weights, bias), "i int, g double").groupBy("i").agg(F.sum("g").alias("g"))
         slope = {row["i"]: row["g"] for row in parts.collect()}
+        loss = slope.get(-2, 0.0) / n
+        if abs(before - loss) < least_change:
+            break
+        before = loss
         g = np.zeros(len(names))
         for i, value in slope.items():
             if i >= 0:
@@ -231,6 +240,8 @@ def fit_toxicity(
         at_bias += b * b
         weights = weights - 0.4 * g / (np.sqrt(speed) + 1e-8) * (np.abs(g) > 1e-7)
         bias = bias - 0.3 * b / (math.sqrt(at_bias) + 1e-8)
+    else:
+        warnings.warn(f"the mean loss still moves after {rounds} steps", stacklevel=2)
     return dict(zip(names, weights.tolist())) | {"": bias}
 
 

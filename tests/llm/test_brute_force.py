@@ -321,3 +321,20 @@ def test_items_equal_comparing_all_windows(spark):
         assert most - 0.1 <= row["overlap"] <= most + 1e-9
         paraphrases += any(share < 0.6 for share in expected.values())
     assert paraphrases >= 5
+
+
+def test_training_ends_by_the_loss(spark):
+    rng = random.Random(5)
+    say = lambda words, n: " ".join(rng.choices(words, k=n)) + "."
+    calm, rude = ["tree", "river", "stone", "cloud"], ["awful", "nasty"]
+    rows = [(say(calm, 8) + (" " + say(rude + calm, 8) if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(300)]
+    labelled = spark.createDataFrame(rows, "text string, toxic int")
+    steps = []
+    plain = toxicity.gradient
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(toxicity, "gradient", lambda *at: steps.append(at) or plain(*at))
+        model = toxicity.fit_toxicity(labelled, least_change=5e-3)
+        assert 2 < len(steps) < toxicity.ROUNDS
+        with pytest.warns(UserWarning, match="still moves"):
+            toxicity.fit_toxicity(labelled, rounds=3, least_change=0.0)
+    assert model["nasty"] > 0 > model[""]
