@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from larder.functions import column
 from larder.operators.cells import nearest_by_cells
-from larder.operators.lloyd import CENTRES_PER_BLOCK, Layout, lloyd, nearest_rows, points_of
+from larder.operators.lloyd import CENTRES_PER_BLOCK, Layout, lloyd, nearest_rows, packed, points_in
 from larder.session import shared_dir
 
 ROWS_PER_PARTITION = 100_000
@@ -74,7 +74,7 @@ def count_equal():
     return combine
 
 
-def stable_layout(
+def distinct_rows(
     df: DataFrame,
     features_col: str = "scaled",
     partitions: int | None = None,
@@ -86,10 +86,8 @@ def stable_layout(
     depend on the order in which the deviations were summed. Without it the vectors
     themselves decide. Starting centres are drawn by the key. Equal vectors are counted in each batch, before
     the one shuffle, and become one weighted row, so a vector that makes up a third of the
-    table is no hot partition. The result is checkpointed: the many passes of a fit start
-    from it, on lost executors too.
+    table is no hot partition.
     """
-    shared_dir(df.sparkSession)
     if partitions is None:
         partitions = layout_partitions(df, features_col)
     names = ["values"] if source_col in (None, features_col) else ["source", "values"]
@@ -103,10 +101,20 @@ def stable_layout(
         .agg(F.sum("copies").alias("copies"))
         .sortWithinPartitions("key", *names)
         .select("key", "values", "copies")
-        .checkpoint()
     )
 
 
+def stable_layout(
+    df: DataFrame,
+    features_col: str = "scaled",
+    partitions: int | None = None,
+    source_col: str | None = None,
+) -> DataFrame:
+    """:func:`distinct_rows`, checkpointed: passes start from it, on lost executors too."""
+    shared_dir(df.sparkSession)
+    return distinct_rows(df, features_col, partitions, source_col).checkpoint()
+
+
 def source_of(df: DataFrame, features_col: str) -> str | None:
     """The column of unscaled vectors, as :func:`standardise` leaves it beside the scaled ones."""
     return "features" if features_col == "scaled" and "features" in df.columns else None
@@ -180,8 +188,7 @@ def fit_kmeans(
     Fewer distinct rows than ``k`` give fewer centres. Keep a column ``features`` with the unscaled vectors
     beside ``scaled``, or the last bits of the scaled ones count as part of the rows.
     """
-    partitions = partitions or layout_partitions(df, features_col)
-    layout = Layout(stable_layout(df, features_col, partitions, source_of(df, features_col)), partitions)
+    layout = Layout(distinct_rows(df, features_col, partitions, source_of(df, features_col)))
     ((centres, cost, rounds),) = lloyd(layout, start_centres(layout, [k], seed, init))
     if not len(centres):
         raise ValueError("there are no rows to fit")
@@ -249,38 +256,33 @@ def silhouette(df: DataFrame, features_col: str = "scaled", prediction_col: str
     ).evaluate(df)
 
 
-def batch_reader():
-    """A function that gives a batch's points, squared norms, copies and assignments.
+def batch_reader(models: Sequence[np.ndarray] | None):
+    """A function that gives points, squared norms, copies and the nearest centre in each model.
 
     Like the others below it is an inner function, which Spark sends to the executors whole:
     they need not have this package installed.
     """
 
-    def read(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        rows = batch.num_rows
-        points = np.asarray(batch["values"].flatten()).reshape(rows, -1)
-        assigned = np.asarray(batch["assigned"].flatten()).reshape(rows, -1)
-        return points, np.square(points).sum(axis=1), np.asarray(batch["copies"]), assigned
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]]:
+        for _, points, copies in points_in(batches):
+            yield points, np.square(points).sum(axis=1), copies, [nearest_rows(points, centres)[0] for centres in models]
 
     return read
 
 
-def sum_partition(ks: Sequence[int]):
+def sum_partition(ks: Sequence[int], models: Sequence[np.ndarray] | None = None):
     """A function for ``mapInArrow``: per cluster, a partition's sums of (1, |x|^2, x)."""
-    read = batch_reader()
+    read = batch_reader(models)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: list = [None] * len(ks)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            points, norms, copies, assigned = read(batch)
+        for points, norms, copies, assigned in read(batches):
             moments = np.column_stack([np.ones(len(points)), norms, points]) * copies[:, None]
             for i, k in enumerate(ks):
                 if totals[i] is None:
                     totals[i] = np.zeros((k, moments.shape[1]))
-                order = np.argsort(assigned[:, i], kind="stable")
-                cluster, start = np.unique(assigned[order, i], return_index=True)
+                order = np.argsort(assigned[i], kind="stable")
+                cluster, start = np.unique(assigned[i][order], return_index=True)
                 totals[i][cluster] += np.add.reduceat(moments[order], start, axis=0)
         for i, total in enumerate(totals):
             if total is not None:
@@ -296,7 +298,7 @@ def sum_partition(ks: Sequence[int]):
     return sums
 
 
-def score_partition(sums: Sequence[np.ndarray]):
+def score_partition(sums: Sequence[np.ndarray], models: Sequence[np.ndarray] | None = None):
     """A function for ``mapInArrow``: a partition's sum of silhouettes per clustering.
 
     ``sums[i]`` has a row (n, sum of |y|^2, sum of y) for each cluster of the i-th
@@ -304,28 +306,25 @@ def score_partition(sums: Sequence[np.ndarray]):
     2 x.mean(y), so no pair of points is ever formed. Clusters are taken in blocks with the
     least distance so far, so memory does not grow with a batch times their number.
     """
-    read = batch_reader()
+    read = batch_reader(models)
     width = CENTRES_PER_BLOCK
     sizes = [total[:, 0] for total in sums]
     means = [total[:, 1:] / np.maximum(total[:, :1], 1) for total in sums]
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(len(sums))
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            points, norms, copies, assigned = read(batch)
+        for points, norms, copies, assigned in read(batches):
             for i, (size, mean) in enumerate(zip(sizes, means)):
                 own, other = np.zeros(len(points)), np.full(len(points), np.inf)
                 for first in range(0, len(size), width):
                     block = mean[first : first + width]
                     distance = norms[:, None] + block[:, 0] - 2 * (points @ block[:, 1:].T)
                     distance[:, size[first : first + width] == 0] = np.inf
-                    row = np.flatnonzero((assigned[:, i] >= first) & (assigned[:, i] < first + width))
-                    at = assigned[row, i] - first
+                    row = np.flatnonzero((assigned[i] >= first) & (assigned[i] < first + width))
+                    at = assigned[i][row] - first
                     own[row], distance[row, at] = distance[row, at], np.inf
                     np.minimum(other, distance.min(axis=1), out=other)
-                n = size[assigned[:, i]]
+                n = size[assigned[i]]
                 own *= n / np.maximum(n - 1, 1)
                 other[np.isinf(other)] = 0.0  # there is no other cluster
                 larger = np.maximum(own, other)
@@ -338,27 +337,13 @@ def score_partition(sums: Sequence[np.ndarray]):
     return scores
 
 
-def assigner(models: Sequence[np.ndarray]):
-    """A function for ``mapInArrow``: rows of a layout with their nearest centre in each model."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            points = points_of(batch)
-            found = np.stack([nearest_rows(points, centres)[0] for centres in models], axis=1).astype(np.int32)
-            offsets = pa.array(np.arange(0, found.size + 1, len(models), dtype=np.int32))
-            assigned = pa.ListArray.from_arrays(offsets, pa.array(found.ravel()))
-            yield pa.RecordBatch.from_arrays([batch["values"], batch["copies"], assigned], ["values", "copies", "assigned"])
-
-    return run
-
-
 def silhouettes(layout: DataFrame, models: Sequence[KMeansModel], features_col: str) -> list[float | None]:
     """:func:`silhouettes_of` for the centres of Spark's models."""
     return silhouettes_of(layout, [np.array(model.clusterCenters()) for model in models])
 
 
 def silhouettes_of(layout: DataFrame, models: Sequence[np.ndarray]) -> list[float | None]:
-    """The silhouette for each array of centres over the rows of a layout, all in two passes.
+    """The silhouette for each array of centres over the rows of a layout, or its blocks, all in two passes.
 
     The first sums up the clusters of every model, the second scores the rows against those
     sums. A task sends on one array per cluster, then one row per model. A model that leaves
@@ -369,11 +354,10 @@ def silhouettes_of(layout: DataFrame, models: Sequence[np.ndarray]) -> list[floa
         return []
     if not all(len(centres) for centres in models):
         return [None] * len(models)
-    schema = "values array<double>, copies double, assigned array<int>"
-    assigned = layout.select("values", "copies").mapInArrow(assigner(models), schema)
+    rows = layout if "points" in layout.columns else layout.select("values", "copies")
     ks = [len(centres) for centres in models]
     summed = (
-        assigned.mapInArrow(sum_partition(ks), "i int, cluster int, total array<double>")
+        rows.mapInArrow(sum_partition(ks, models), "i int, cluster int, total array<double>")
         .groupBy("i", "cluster")
         .agg(Summarizer.sum(array_to_vector("total")).alias("total"))
         .collect()
@@ -383,7 +367,7 @@ def silhouettes_of(layout: DataFrame, models: Sequence[np.ndarray]) -> list[floa
     for i, cluster, total in summed:
         sums[i][cluster] = total.toArray()
     scored = (
-        assigned.mapInArrow(score_partition(sums), "i int, score double")
+        rows.mapInArrow(score_partition(sums, models), "i int, score double")
         .groupBy("i")
         .agg(F.sum("score").alias("score"))
         .collect()
@@ -407,15 +391,13 @@ def sweep_k(
     A ``k`` that leaves a single cluster with rows has a null score. Where ``df`` has the
     unscaled vectors in ``features``, they decide the draws (see :func:`stable_layout`).
 
-    All models are fitted together over one checkpointed layout, one pass a round for all
+    All models are fitted together over one stored layout, one pass a round for all
     that still move, so ``parallelism`` has nothing left to decide.
     """
     spark = df.sparkSession
     ks = list(ks)
     if not ks:
         return spark.createDataFrame([], "k int, silhouette double")
-    partitions = partitions or layout_partitions(df, features_col)
-    rows = stable_layout(df, features_col, partitions, source_of(df, features_col))
-    layout = Layout(rows, partitions)
-    models = [centres for centres, _, _ in lloyd(layout, start_centres(layout, ks, seed, init))]
-    return spark.createDataFrame(list(zip(ks, silhouettes_of(rows, models))), "k int, silhouette double")
+    layout = Layout(distinct_rows(df, features_col, partitions, source_of(df, features_col)))
+    models = [centres for centres, _, _ in lloyd(layout, start_centres(layout, ks, seed, init), costs=False)]
+    return spark.createDataFrame(list(zip(ks, silhouettes_of(layout.points, models))), "k int, silhouette double")

@@ -15,14 +15,18 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
+from larder.session import new_run_dir
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have the package
 
 CENTRES_PER_BLOCK = 1_024
 FEW_CENTRES = 48
+FEW_DIMS, CENTRES_OF_FEW_DIMS = 7, 256  # so many numbers numpy sums from the left, as columns are summed
+BLOCK_VALUES = 32_768
+BLOCK_ROW_GROUP = 16 << 20
+ROWS_PER_FILE = 100_000
 SAMPLING_ROUNDS = 2
 LEAST_CANDIDATES = 32
 MAX_ROUNDS = 12
@@ -38,10 +42,25 @@ def squared_distance(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
 def nearest_rows(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The nearest centre of each point, the first of equally near ones, and the squared distance.
 
-    Many centres are taken in blocks: a matrix product leaves those that are nearest within its
+    Points of few dimensions are measured column by column, which gives the same bits. Otherwise
+    many centres are taken in blocks: a matrix product leaves those that are nearest within its
     error, most often a single one, and only these are measured by :func:`squared_distance`.
     """
     best, least = np.zeros(len(points), np.int64), np.full(len(points), np.inf)
+    if 0 < points.shape[1] <= FEW_DIMS and len(centres) <= CENTRES_OF_FEW_DIMS:
+        columns = np.ascontiguousarray(points.T)
+        far, part, closer = np.empty(len(points)), np.empty(len(points)), np.empty(len(points), bool)
+        for index, centre in enumerate(centres.tolist()):
+            np.subtract(columns[0], centre[0], out=far)
+            np.multiply(far, far, out=far)
+            for values, value in zip(columns[1:], centre[1:]):
+                np.subtract(values, value, out=part)
+                np.multiply(part, part, out=part)
+                np.add(far, part, out=far)
+            np.less(far, least, out=closer)
+            np.copyto(best, index, where=closer)
+            np.minimum(least, far, out=least)
+        return best, least
     if len(centres) <= FEW_CENTRES:
         for index, centre in enumerate(centres):
             far = squared_distance(points, centre)
@@ -89,21 +108,78 @@ def points_of(batch: pa.RecordBatch) -> np.ndarray:
     return np.asarray(batch["values"].flatten(), float).reshape(batch.num_rows, -1)
 
 
-def cluster_sums(models: Sequence[np.ndarray], units: np.ndarray, cost_unit: float):
-    """For ``mapInArrow``: of each model's clusters the number of rows, the cost and the sums of the
-    values, as whole numbers, one row a cluster and task."""
+def packed(rows: DataFrame) -> DataFrame:
+    """Rows ``(key, values, copies)`` as blocks of bytes, stored to be read again and again.
+
+    A pass then moves a few large values between Spark and Python where it had several a row, and
+    Spark reads the files in tasks of its own size, so their number follows the bytes
+    and not the partitions of the rows. Files that came out small are put together.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dims = len(units)
-        totals = [np.zeros((len(m), 1 + LIMBS * (1 + dims)), np.int64) for m in models]
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            points, copies = points_of(batch), np.asarray(batch["copies"]).astype(np.int64)
+            if batch.num_rows:
+                points, key, copies = points_of(batch), np.asarray(batch["key"]), np.asarray(batch["copies"])
+                parts = math.ceil(points.size / BLOCK_VALUES) or 1
+                ends = [len(points) * i // parts for i in range(parts + 1)]
+                ends = sorted(set(ends))
+                parts = [slice(a, b) for a, b in zip(ends, ends[1:])]
+                columns = [[x[part].tobytes() for part in parts] for x in (key, points, copies)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part.stop - part.start for part in parts], pa.int32()), *map(pa.array, columns)],
+                    ["n", "keys", "points", "weights"],
+                )
+
+    def stored(blocks: DataFrame) -> DataFrame:
+        path = new_run_dir(spark, "blocks")
+        blocks.write.option("parquet.block.size", BLOCK_ROW_GROUP).parquet(path)
+        return spark.read.schema(schema).parquet(path)
+
+    spark, schema = rows.sparkSession, "n int, keys binary, points binary, weights binary"
+    blocks = stored(rows.select("key", "values", "copies").mapInArrow(run, schema))
+    files = math.ceil((blocks.agg(F.sum("n")).first()[0] or 0) / ROWS_PER_FILE)
+    return stored(blocks.coalesce(max(1, files))) if 4 * files < len(blocks.inputFiles()) else blocks
+
+
+def points_in(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray | None, np.ndarray, np.ndarray]]:
+    """The keys, if read, points and copies of batches of rows or of blocks."""
+    for batch in batches:
+        names = batch.schema.names
+        if "points" not in names:
+            if batch.num_rows:
+                yield np.asarray(batch["key"]) if "key" in names else None, points_of(batch), np.asarray(batch["copies"])
+            continue
+        for i in range(batch.num_rows):
+            numbers = np.frombuffer(batch["points"][i].as_buffer(), float)
+            copies = np.frombuffer(batch["weights"][i].as_buffer(), float)
+            points = numbers.reshape(len(copies), -1)
+            if points.shape[1] <= FEW_DIMS:
+                points = np.asfortranarray(points)
+            yield np.frombuffer(batch["keys"][i].as_buffer(), np.int64) if "keys" in names else None, points, copies
+
+
+def cluster_sums(models: Sequence[np.ndarray], units: np.ndarray, cost_unit: float | None):
+    """For ``mapInArrow``: of each model's clusters the number of rows, the cost, if it has a unit,
+    and the sums of the values, as whole numbers, one row a cluster and task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dims = len(units)
+        costs = 0 if cost_unit is None else 1
+        totals = [np.zeros((len(m), 1 + LIMBS * (costs + dims)), np.int64) for m in models]
+        for _, points, weights in points_in(batches):
             values = limbs(points, units)
+            # sums of so small whole numbers are exact in floats too
+            exact = dims <= FEW_DIMS and weights.max() * len(weights) < 2.0 ** (52 - LIMB)
+            copies = weights.astype(np.int64)
+            weighted = [part[:, j] * weights for part in values for j in range(dims)] if exact else []
             for total, centres in zip(totals, models):
                 nearest, far = nearest_rows(points, centres)
-                cost = [x[:, None] for x in limbs(far, cost_unit)]
+                if exact and len(centres) <= CENTRES_PER_BLOCK:
+                    cost = [x * weights for x in limbs(far, cost_unit)] if costs else []
+                    for place, numbers in enumerate([weights, *cost, *weighted]):
+                        total[:, place] += np.bincount(nearest, numbers, len(total)).astype(np.int64)
+                    continue
+                cost = [x[:, None] for x in limbs(far, cost_unit)] if costs else []
                 moments = np.concatenate([np.ones((len(points), 1), np.int64), *cost, *values], axis=1) * copies[:, None]
                 order = np.argsort(nearest, kind="stable")
                 cluster, start = np.unique(nearest[order], return_index=True)
@@ -121,18 +197,34 @@ def cluster_sums(models: Sequence[np.ndarray], units: np.ndarray, cost_unit: flo
     return run
 
 
+def ends_of():
+    """For ``mapInArrow``: the least and the greatest value of each dimension in a task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low = high = None
+        for _, points, _ in points_in(batches):
+            least, most = np.fmin.reduce(points, axis=0), np.fmax.reduce(points, axis=0)
+            low, high = (least, most) if low is None else (np.fmin(low, least), np.fmax(high, most))
+        if low is not None:
+            values = pa.array([low.tolist(), high.tolist()], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([values], ["ends"])
+
+    return run
+
+
 class Layout:
-    """Distinct rows ``(key, values, copies)`` with the units of their sums.
+    """Distinct rows ``(key, values, copies)``, in blocks, with the units of their sums.
 
-    ``tasks`` is the number of their partitions, where it is known: sums of few tasks are added up
-    on the driver, which saves a shuffle a round. They are the same whole numbers either way.
+    Sums of few tasks are added up on the driver, which saves a shuffle a round. ``tasks`` stands in for
+    their number; 0 asks for the shuffle. They are the same whole numbers either way.
     """
 
     def __init__(self, rows: DataFrame, tasks: int | None = None):
-        self.rows, self.tasks = rows, tasks
-        vector = array_to_vector("values")
-        ends = rows.agg(F.count("*"), Summarizer.min(vector), Summarizer.max(vector)).first() if rows.take(1) else [0]
-        greatest = np.abs([x.toArray() for x in ends[1:]]).max(axis=0) if ends[0] else np.zeros(0)
+        self.blocks = packed(rows)
+        self.points = self.blocks.select("points", "weights")
+        self.tasks = self.points.rdd.getNumPartitions() if tasks is None else tasks
+        ends = [row["ends"] for row in self.points.mapInArrow(ends_of(), "ends array<double>").collect()]
+        greatest = np.fmax.reduce(np.abs(ends), axis=0) if ends else np.zeros(0)
         if not np.isfinite(greatest).all():
             raise ValueError("k-means needs finite values")
         exponent = np.array([math.frexp(x)[1] for x in greatest.tolist()], np.int64)
@@ -140,13 +232,18 @@ class Layout:
         widest = float(np.square(2 * greatest).sum())
         self.cost_unit = max(math.ldexp(1.0, math.frexp(widest)[1] - 52), sys.float_info.min)
 
-    def moments(self, models: Sequence[np.ndarray]) -> list[dict[int, tuple[int, float, np.ndarray]]]:
-        """``{cluster: (rows, cost, mean)}`` of each model's clusters that have rows, in one pass."""
-        sums = self.rows.mapInArrow(
-            cluster_sums(models, self.units, self.cost_unit), "model int, cluster int, total array<bigint>"
+    def moments(self, models: Sequence[np.ndarray], costs: bool = True) -> list[dict[int, tuple[int, float, np.ndarray]]]:
+        """``{cluster: (rows, cost, mean)}`` of each model's clusters that have rows, in one pass.
+
+        Without ``costs`` they are left out, as NaN.
+        """
+        sums = self.points.mapInArrow(
+            cluster_sums(models, self.units, self.cost_unit if costs else None),
+            "model int, cluster int, total array<bigint>",
         )
         dims, found = len(self.units), {}
-        width = 1 + LIMBS * (1 + dims)
+        at = 1 + LIMBS * costs
+        width = at + LIMBS * dims
         if self.tasks and self.tasks * width * sum(map(len, models)) <= DRIVER_NUMBERS:
             for model, cluster, total in sums.collect():
                 held = found.setdefault((model, cluster), [0] * width)
@@ -159,8 +256,7 @@ class Layout:
         out: list[dict] = [{} for _ in models]
         for (model, cluster), total in found.items():
             n = total[0]
-            cost = joined([total[1 + i] for i in range(LIMBS)]) * self.cost_unit
-            at = 1 + LIMBS
+            cost = joined([total[1 + i] for i in range(LIMBS)]) * self.cost_unit if costs else math.nan
             mean = [joined([total[at + i * dims + j] for i in range(LIMBS)]) / n for j in range(dims)]
             out[model][cluster] = n, cost, np.array(mean) * self.units
         return out
@@ -173,27 +269,26 @@ class Layout:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             best = None
-            for batch in batches:
-                if batch.num_rows:
-                    value = score(batch)
-                    for at in np.flatnonzero(value == value.min()).tolist():
-                        row = float(value[at]), batch["key"][at].as_py(), batch["values"][at].as_py()
-                        best = row if best is None or row < best else best
+            for key, points, copies in points_in(batches):
+                value = score(key, points, copies)
+                for at in np.flatnonzero(value == value.min()).tolist():
+                    row = float(value[at]), int(key[at]), points[at].tolist()
+                    best = row if best is None or row < best else best
             if best is not None:
                 yield pa.RecordBatch.from_pylist(
                     [dict(zip(("score", "key", "values"), best))],
                     pa.schema({"score": pa.float64(), "key": pa.int64(), "values": pa.list_(pa.float64())}),
                 )
 
-        tasks = self.rows.mapInArrow(run, "score double, key bigint, values array<double>")
+        tasks = self.blocks.mapInArrow(run, "score double, key bigint, values array<double>")
         row = tasks.orderBy("score", "key", "values").limit(1).first()
         return (row["score"], np.array(row["values"])) if row else None
 
     def first_centre(self, seed: int) -> np.ndarray | None:
         """A row drawn by its copies."""
 
-        def score(batch: pa.RecordBatch) -> np.ndarray:
-            return -np.log(draws(np.asarray(batch["key"]), seed, 0)) / np.asarray(batch["copies"])
+        def score(key: np.ndarray, points: np.ndarray, copies: np.ndarray) -> np.ndarray:
+            return -np.log(draws(key, seed, 0)) / copies
 
         found = self.first_by(score)
         return None if found is None else found[1]
@@ -204,7 +299,7 @@ class Layout:
         chosen = [] if first is None else [first]
         while chosen and len(chosen) < k:
             centres = np.array(chosen)
-            found = self.first_by(lambda batch: -nearest_rows(points_of(batch), centres)[1])
+            found = self.first_by(lambda key, points, copies: -nearest_rows(points, centres)[1])
             if found[0] == 0:
                 break
             chosen.append(found[1])
@@ -214,13 +309,12 @@ class Layout:
         """Rows drawn with a chance in proportion to their copies and squared distance."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    far = nearest_rows(points_of(batch), centres)[1] * np.asarray(batch["copies"])
-                    hit = draws(np.asarray(batch["key"]), seed, round_) < chance * far
-                    yield batch.select(["key", "values"]).filter(pa.array(hit))
+            for key, points, copies in points_in(batches):
+                hit = np.flatnonzero(draws(key, seed, round_) < chance * (nearest_rows(points, centres)[1] * copies))
+                values = pa.array(points[hit].tolist(), pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([pa.array(key[hit]), values], ["key", "values"])
 
-        rows = self.rows.mapInArrow(run, "key bigint, values array<double>").orderBy("key", "values").collect()
+        rows = self.blocks.mapInArrow(run, "key bigint, values array<double>").orderBy("key", "values").collect()
         return np.array([row["values"] for row in rows]).reshape(-1, centres.shape[1])
 
     def candidates(self, size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -270,12 +364,12 @@ def pick(rows: np.ndarray, weights: np.ndarray, k: int, rng: np.random.Generator
 
 
 def lloyd(
-    layout: Layout, starts: Sequence[np.ndarray], max_iter: int = 20, tol: float = 1e-4
+    layout: Layout, starts: Sequence[np.ndarray], max_iter: int = 20, tol: float = 1e-4, costs: bool = True
 ) -> list[tuple[np.ndarray, float, int]]:
     """``(centres, cost, rounds)`` of every start, all models in one pass a round.
 
     A centre without rows stays where it is. A model is done when no centre moves farther than ``tol``, or after
-    ``max_iter`` rounds; the cost is the one before the last move.
+    ``max_iter`` rounds; the cost is the one before the last move, or NaN without ``costs``.
     """
     models = [(centres, 0.0, 0) for centres in starts]
     active = [i for i, centres in enumerate(starts) if len(centres)]
@@ -283,7 +377,7 @@ def lloyd(
         if not active:
             break
         still = []
-        for i, moments in zip(active, layout.moments([models[i][0] for i in active])):
+        for i, moments in zip(active, layout.moments([models[i][0] for i in active], costs)):
             before = models[i][0]
             centres = before.copy()
             for cluster, (_, _, mean) in moments.items():

@@ -124,3 +124,34 @@ def test_copies_count_as_rows(spark):
     rows = [(Vectors.dense(0.0),)] * 90 + [(Vectors.dense(1.0),)] * 10 + [(Vectors.dense(50.0),)]
     model = fit_kmeans(spark.createDataFrame(rows, ["scaled"]), 2, init="farthest")
     assert sorted(c[0] for c in model.clusterCenters()) == pytest.approx([0.1, 50.0])
+
+
+def test_a_pass_takes_tasks_by_bytes_not_by_partitions(spark, numbers):
+    """A layout in many partitions is not as many tasks a round, and few distinct rows are few files."""
+    few = spark.range(20_000).selectExpr("cast(id % 50 as double) as x").selectExpr("x", "x * 2 as y")
+    layout = Layout(stable_layout(assemble(few, ["x", "y"], "scaled"), partitions=40))
+    assert len(layout.blocks.inputFiles()) == 1 and layout.tasks == 1
+    assert sum(n for n, _, _ in layout.moments([np.zeros((1, 2))])[0].values()) == 20_000
+
+
+@pytest.mark.parametrize("dims", [1, 2, 7, 8, 20])
+@pytest.mark.parametrize("copies", [1.0, 3.0, 2.0**36])
+def test_sums_of_blocks_equal_sums_of_rows(dims, copies):
+    """Few dimensions and many, counts that floats add up exactly and such that they don't."""
+    rng = np.random.default_rng(dims)
+    points = rng.normal(size=(700, dims)).round(2)
+    models = [points[:k] + 0.005 for k in (1, 3, 60)]
+    weights = np.where(np.arange(700) % 9, 1.0, copies)
+    units, cost_unit = np.full(dims, 2.0**-45), 2.0**-40
+    blocks = {"points": [points[:300].tobytes(), points[300:].tobytes()], "weights": [weights[:300].tobytes(), weights[300:].tobytes()]}
+    for unit in (cost_unit, None):
+        (*found,) = cluster_sums(models, units, unit)(iter([pa.RecordBatch.from_pydict(blocks)]))
+        for model, batch in zip(models, found):
+            far = np.array([squared_distance(points, centre) for centre in model])
+            label = far.argmin(axis=0)
+            numbers_of = [*([limbs(far.min(axis=0), unit)] if unit else []), limbs(points, units)]
+            columns = [np.ones((700, 1), np.int64), *(part.reshape(700, -1) for parts in numbers_of for part in parts)]
+            moments = np.concatenate(columns, axis=1).astype(object) * weights.astype(np.int64)[:, None].astype(object)
+            for cluster, total in zip(batch["cluster"].to_pylist(), batch["total"].to_pylist()):
+                assert total == moments[label == cluster].sum(axis=0).tolist()
+            assert batch["cluster"].to_pylist() == np.unique(label).tolist()
