@@ -44,8 +44,10 @@ def word_encoder(path: str):
     from tokenizers import Tokenizer, pre_tokenizers
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    encoder, lean = Tokenizer.from_file(path), Tokenizer.from_file(path)
-    lean.normalizer = None
+    encoder = Tokenizer.from_file(path)
+    lean = Tokenizer(encoder.model)  # the model is shared, not loaded twice
+    for token in encoder.get_added_tokens_decoder().values():
+        (lean.add_special_tokens if token.special else lean.add_tokens)([token])
     steps = [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
     lean.pre_tokenizer = pre_tokenizers.Sequence(steps)
     closes = np.zeros(encoder.get_vocab_size(), bool)

@@ -332,3 +332,29 @@ def test_token_query_equals_the_tokenizer(spark):
         start += len(ids)
     found = token_files.op13_token_files(spark, SMALL).select("doc_id", "start", "n_tokens", "ids_crc32")
     assert sorted(map(tuple, found.collect())) == expected
+
+
+def test_word_encoder_loads_the_tokenizer_once(monkeypatch):
+    import public_tokenizers
+    import pyarrow as pa
+    import tokenizers
+
+    from larder.llm.packing import word_encoder
+
+    class Counted(tokenizers.Tokenizer):
+        loads = 0
+
+        @staticmethod
+        def from_file(path):
+            Counted.loads += 1
+            return whole.from_file(path)
+
+    whole, path = tokenizers.Tokenizer, public_tokenizers.path("word_bpe_49k.json")
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counted)
+    words = ["Hello", "world,", "naïve", "übergrößen!", "x1", "<|endoftext|>", ""]
+    known, starts, counts = word_encoder(path)(pa.array(words))
+    assert Counted.loads == 1
+    plain = whole.from_file(path)
+    for word, start, many in zip(words, starts, counts):
+        found = [int(x) for a, n in zip(start, many) for x in known[a : a + n]]
+        assert found == plain.encode(word, add_special_tokens=False).ids
