@@ -90,16 +90,15 @@ def distinct_rows(
     """
     if partitions is None:
         partitions = layout_partitions(df, features_col)
-    names = ["values"] if source_col in (None, features_col) else ["source", "values"]
-    origin = dict(zip(names[::-1], (features_col, source_col)))
-    vectors = df.select(*[vector_to_array(column(origin[name])).alias(name) for name in names])
-    keyed = vectors.select(F.xxhash64(names[0]).alias("key"), *names)
+    values = vector_to_array(column(features_col))
+    source = values if source_col in (None, features_col) else vector_to_array(column(source_col))
+    keyed = df.select(F.xxhash64(source).alias("key"), values.alias("values"))
     counted = keyed.mapInArrow(count_equal(), T.StructType([*keyed.schema.fields, T.StructField("copies", T.DoubleType())]))
     return (
         counted.repartition(partitions, "key")
-        .groupBy("key", *names)
+        .groupBy("key", "values")
         .agg(F.sum("copies").alias("copies"))
-        .sortWithinPartitions("key", *names)
+        .sortWithinPartitions("key", "values")
         .select("key", "values", "copies")
     )
 

@@ -27,6 +27,7 @@ FEW_DIMS, CENTRES_OF_FEW_DIMS = 7, 256  # so many numbers numpy sums from the le
 BLOCK_VALUES = 32_768
 BLOCK_ROW_GROUP = 16 << 20
 ROWS_PER_FILE = 100_000
+ROWS_AT_ONCE, CENTRES_AT_ONCE = 2_048, 512
 SAMPLING_ROUNDS = 2
 LEAST_CANDIDATES = 32
 MAX_ROUNDS = 12
@@ -158,6 +159,30 @@ def points_in(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray |
             yield np.frombuffer(batch["keys"][i].as_buffer(), np.int64) if "keys" in names else None, points, copies
 
 
+def memberships(points: np.ndarray, models: Sequence[np.ndarray]) -> np.ndarray:
+    """1 where a point's nearest centre in its model is this one, else 0: a row per centre of all models.
+
+    One matrix product gives all distances but for its error. Points with more than one centre
+    within that are given to :func:`nearest_rows`, so the centres are those that it finds.
+    """
+    centres = np.concatenate(models)
+    norms = np.square(centres).sum(axis=1)
+    about = (-2 * centres) @ points.T
+    about += norms[:, None]
+    error = 8 * points.shape[1] * 2.0**-52 * (np.square(points).sum(axis=1) + norms.max())
+    out = np.empty(about.shape, bool)
+    first = 0
+    for model in models:
+        part, hit = about[first : first + len(model)], out[first : first + len(model)]
+        np.less_equal(part, part.min(axis=0) + 2 * error, out=hit)
+        if np.count_nonzero(hit) > len(points):
+            unsure = np.flatnonzero(np.count_nonzero(hit, axis=0) > 1)
+            hit[:, unsure] = False
+            hit[nearest_rows(points[unsure], model)[0], unsure] = True
+        first += len(model)
+    return out.astype(float)
+
+
 def cluster_sums(models: Sequence[np.ndarray], units: np.ndarray, cost_unit: float | None):
     """For ``mapInArrow``: of each model's clusters the number of rows, the cost, if it has a unit,
     and the sums of the values, as whole numbers, one row a cluster and task."""
@@ -170,6 +195,14 @@ def cluster_sums(models: Sequence[np.ndarray], units: np.ndarray, cost_unit: flo
             values = limbs(points, units)
             # sums of so small whole numbers are exact in floats too
             exact = dims <= FEW_DIMS and weights.max() * len(weights) < 2.0 ** (52 - LIMB)
+            if exact and not costs and sum(map(len, models)) <= CENTRES_AT_ONCE:
+                moments = np.column_stack([weights, *(part * weights[:, None] for part in values)])
+                for start in range(0, len(points), ROWS_AT_ONCE):
+                    rows = slice(start, start + ROWS_AT_ONCE)
+                    sums = (memberships(points[rows], models) @ moments[rows]).astype(np.int64)
+                    for total, own in zip(totals, np.split(sums, np.cumsum([len(m) for m in models])[:-1])):
+                        total += own
+                continue
             copies = weights.astype(np.int64)
             weighted = [part[:, j] * weights for part in values for j in range(dims)] if exact else []
             for total, centres in zip(totals, models):
