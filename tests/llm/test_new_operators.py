@@ -341,9 +341,12 @@ def test_word_encoder_loads_the_tokenizer_once(monkeypatch):
 
     from larder.llm.packing import word_encoder
 
-    class Counted(tokenizers.Tokenizer):
+    class Counted:
         loads = 0
 
+        def __new__(cls, model):
+            return whole(model)
+
         @staticmethod
         def from_file(path):
             Counted.loads += 1
