@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from larder.functions import column
 from larder.operators.cells import nearest_by_cells
-from larder.operators.lloyd import CENTRES_PER_BLOCK, Layout, lloyd, nearest_rows, packed, points_in
+from larder.operators.lloyd import CENTRES_PER_BLOCK, Layout, lloyd, nearest_rows, points_in
 from larder.session import shared_dir
 
 ROWS_PER_PARTITION = 100_000

@@ -156,3 +156,14 @@ def test_sums_of_blocks_equal_sums_of_rows(dims, copies):
             for cluster, total in zip(batch["cluster"].to_pylist(), batch["total"].to_pylist()):
                 assert total == moments[label == cluster].sum(axis=0).tolist()
             assert batch["cluster"].to_pylist() == np.unique(label).tolist()
+
+
+def test_sums_by_a_shuffle_are_the_same(numbers):
+    rows = stable_layout(numbers, partitions=5)
+    centres = np.array(numbers.limit(4).toPandas()["scaled"].map(lambda v: v.toArray()).tolist())
+    for costs in (True, False):
+        one, other = (Layout(rows, tasks).moments([centres, centres[:2]], costs) for tasks in (None, 0))
+        for a, b in zip(one, other):
+            assert repr(sorted((i, n, cost, mean.tolist()) for i, (n, cost, mean) in a.items())) == repr(
+                sorted((i, n, cost, mean.tolist()) for i, (n, cost, mean) in b.items())
+            )
