@@ -18,6 +18,7 @@ BUCKETS = 1 << 16
 DIMENSIONS = 256
 WINDOW, STRIDE = 32, 16
 GROUP = 12  # windows whose words are counted together
+MARGIN = (64 - GROUP - 1) // 2  # blocks of ``STRIDE`` words on either side of them that have a bit of their own
 RUN = 3  # words in a row that make an item a candidate; the windows' overlap must hold them
 LEAST_COSINE = 0.3
 LEAST_OVERLAP = 0.6
@@ -231,8 +232,9 @@ def find_contamination(
 ) -> DataFrame:
     """Add ``contaminated``, ``items`` and ``overlap`` to every document.
 
-    Every window of 32 words, each half overlapping the next, is compared with every
-    benchmark passage by the cosine in the latent space. Where it is at least
+    Every window of 32 words, each half overlapping the next, is compared by the cosine in the
+    latent space with every passage of the items that have enough of their words, in any order,
+    around it; the others can't be found there, whatever their cosine. Where it is at least
     ``least_cosine``, or where the window holds three words in a row that an item has, the
     words around are compared with the item's. An item is found if the
     longest common subsequence holds ``least_overlap`` of its words, or as a paraphrase if it
@@ -310,6 +312,23 @@ def runs_of_items(numbers, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return runs, np.append(first, len(items)), items[order]
 
 
+def block_bits(longest: int) -> np.ndarray:
+    """The bit of each place around a stretch of windows, from ``longest`` words before its first.
+
+    Blocks of ``STRIDE`` words have one bit each; all that lie farther off share the first or the last.
+    """
+    block = np.arange(-longest, (GROUP - 1) * STRIDE + WINDOW + longest) // STRIDE
+    return np.uint64(1) << np.clip(block + MARGIN, 0, 63).astype(np.uint64)
+
+
+def bits_around(lengths: np.ndarray) -> np.ndarray:
+    """For each window of a stretch and each length of an item, the bits of all blocks that hold a word around the window."""
+    start = STRIDE * np.arange(GROUP)[:, None]
+    low, high = (np.clip(x // STRIDE + MARGIN, 0, 63).astype(np.uint64) for x in (start - lengths, start + WINDOW + lengths - 1))
+    full = np.uint64(2**64 - 1)
+    return full << low & full >> np.uint64(63) - high
+
+
 def searcher(numbers, vectors, latent, owners, texts, least_cosine, least_overlap, names):
     """For :func:`map_batches`: found items and the largest overlap of each document."""
     block = max(16, min(2048, (4 << 20) // max(1, len(latent))))  # of windows, at most 16 MB of cosines
@@ -321,10 +340,11 @@ def searcher(numbers, vectors, latent, owners, texts, least_cosine, least_overla
     known = np.array(known, np.int64)
     versions = [(places[item], words) for item in texts for words, _ in texts[item] if words]
     version_of = np.array([place for place, _ in versions], np.int64)
-    spelt = np.array([numbers[word] for _, words in versions for word in words], np.int32)
+    spelt = np.array([numbers[word] for _, words in versions for word in words], np.intp)
     lengths = np.array([len(words) for _, words in versions], np.int64)
     spelt_first = np.cumsum(lengths) - lengths
     longest, needed = int(lengths.max()), least * lengths
+    bits, touched = block_bits(longest), bits_around(lengths)
 
     def windows(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Document, start and end of every window over texts that lie one after another, and
@@ -344,6 +364,7 @@ def searcher(numbers, vectors, latent, owners, texts, least_cosine, least_overla
             for item in texts
         }
         coded = {item: [np.array(words, np.int64) for words, _ in texts[item]] for item in texts}
+        wanted_here = {item: [np.array([*words, *answer], np.int64) for words, answer in texts[item]] for item in texts}
     else:
         coded = {item: [np.array([numbers[w] for w in words], np.int64) for words, _ in texts[item]] for item in texts}
     here = np.zeros(BUCKETS + 1, bool)
@@ -351,14 +372,20 @@ def searcher(numbers, vectors, latent, owners, texts, least_cosine, least_overla
     def matched(read, codes: np.ndarray, start: int, end: int, item: int) -> float:
         """The share of an item's words that lie around a window in the item's order, or 0."""
         best = 0.0
-        for (wanted, answer), spelling in zip(texts[item], coded[item]):
+        for version, ((wanted, answer), spelling) in enumerate(zip(texts[item], coded[item])):
             around = slice(max(0, start - len(wanted)), end + len(wanted))
             here[codes[around]] = True
             met = np.count_nonzero(here[spelling])
             here[codes[around]] = False
             if met < least * len(wanted):
                 continue  # too few even in any order
-            around = codes[around].tolist() if unique else read()[around]
+            if unique:  # other words than the item's are in no common subsequence
+                near, own = codes[around], wanted_here[item][version]
+                here[own] = True
+                around = near[here[near]].tolist()
+                here[own] = False
+            else:
+                around = read()[around]
             share = common_words(wanted, around) / max(1, len(wanted))
             enough = share >= least_overlap or (
                 share >= PARAPHRASE_OVERLAP and common_words(answer, around) >= ANSWER_OVERLAP * len(answer)
@@ -367,43 +394,57 @@ def searcher(numbers, vectors, latent, owners, texts, least_cosine, least_overla
                 best = max(best, share)
         return best
 
-    def folds(padded, doc, start, end) -> np.ndarray:
-        """The sum of the words' vectors of each window: its first half and the second, which
-        is the first half of the next window of the same text."""
-        def half(first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    def folds(padded, start, end) -> np.ndarray:
+        """The sum of the words' vectors of each window: its first half and the second."""
+        def half(first: np.ndarray) -> np.ndarray:
             places = first[:, None] + np.arange(STRIDE)
-            codes = np.where(places < end[:, None], padded[places], 0)
+            codes = np.where(places < end[:, None], padded[np.minimum(places, len(padded) - 1)], 0)
             out = np.zeros((len(first), vectors.shape[1]), np.float32)
             for k in range(STRIDE):
                 out += vectors[codes[:, k]]
             return out
 
-        folded = half(start, end)
-        last = np.append(doc[1:] != doc[:-1], True)
-        second = half(start[last] + STRIDE, end[last])
-        whole = folded.copy()
-        whole[:-1][~last[:-1]] += folded[1:][~last[:-1]]
-        whole[last] += second
-        return whole
-
-    def possible(at, doc, start, end, text_start, text_end) -> tuple[np.ndarray, np.ndarray]:
-        """Stretches of at most ``GROUP`` windows of one text, and which items have enough of
-        their words, in any order, around each: no other item can be found there."""
+        return half(start) + half(start + STRIDE)
+
+    def possible(at, doc, start, text_start, text_end) -> tuple[np.ndarray, np.ndarray]:
+        """(window, item's place) wherever enough of an item's words, in any order, lie around a
+        window: no other item can be found there.
+
+        Words are counted for stretches of at most ``GROUP`` windows of one text first, then, of the
+        items that have enough there, for each window, by the blocks that hold each word.
+        """
         new = np.append(True, doc[1:] != doc[:-1])
         since = np.arange(len(doc)) - np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))
         heads = np.flatnonzero(since % GROUP == 0)
-        tails = np.append(heads[1:], len(doc)) - 1
-        out = np.zeros((len(heads), len(known)), bool)
-        here = np.zeros(BUCKETS + 1, bool)
-        for k, (head, tail) in enumerate(zip(heads.tolist(), tails.tolist())):
-            i = doc[head]
-            around = at[max(text_start[i], start[head] - longest) : min(text_end[i], end[tail] + longest)]
-            here[around] = True
-            here[0] = False
-            many = np.add.reduceat(here[spelt].view(np.int8), spelt_first, dtype=np.int32)
-            out[k, version_of[many >= needed]] = True
-            here[around] = False
-        return np.repeat(np.arange(len(heads)), tails - heads + 1), out
+        many = np.diff(np.append(heads, len(doc)))
+        from_here = start[heads]
+        low = np.maximum(text_start[doc[heads]], from_here - longest)
+        high = np.minimum(text_end[doc[heads]], from_here + (many - 1) * STRIDE + WINDOW + longest)
+        where = np.zeros(BUCKETS + 1, np.uint64)
+        hits, held = [], []
+        for first, end, begin in zip(low.tolist(), high.tolist(), (from_here - longest).tolist()):
+            around = at[first:end]
+            np.bitwise_or.at(where, around, bits[first - begin : end - begin])
+            where[0] = 0
+            blocks = where[spelt]
+            where[around] = 0
+            hit = np.flatnonzero(np.add.reduceat((blocks != 0).view(np.int8), spelt_first, dtype=np.int32) >= needed)
+            hits.append(hit)
+            if len(hit):
+                sizes = lengths[hit]
+                held.append(blocks[np.repeat(spelt_first[hit] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())])
+        if not held:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        stretch, version, blocks = np.repeat(np.arange(len(heads)), [len(x) for x in hits]), np.concatenate(hits), np.concatenate(held)
+        sizes = lengths[version]
+        begins = np.cumsum(sizes) - sizes
+        out = []
+        for k in range(GROUP):
+            met = (blocks & np.repeat(touched[k, version], sizes) != 0).view(np.int8)
+            enough = (np.add.reduceat(met, begins, dtype=np.int32) >= needed[version]) & (k < many[stretch])
+            out.append((heads[stretch[enough]] + k, version_of[version[enough]]))
+        window, place = (np.concatenate(x) for x in zip(*out))
+        return window, place
 
     def make():
         codes = word_codes(numbers)
@@ -436,20 +477,26 @@ def searcher(numbers, vectors, latent, owners, texts, least_cosine, least_overla
             doc_of = np.repeat(np.arange(len(sizes)), sizes)
             found = [with_runs(at, doc_of, base, first, np.bincount(doc, minlength=len(sizes)))]
             padded = np.concatenate([at, np.zeros(WINDOW, np.int32)])
+            likely = []
             for low in range(0, len(doc), block):
                 part = slice(low, low + block)
-                folded = folds(padded, doc[part], start[part], end[part])
+                window, place = possible(at, doc[part], start[part], base, base + sizes)
+                likely.append((low + window) * len(known) + place)
+                window, row = np.unique(window, return_inverse=True)
+                enough = np.zeros((len(window), len(known)), bool)
+                enough[row, place] = True
+                folded = folds(padded, start[low + window], end[low + window])
                 cosine = folded @ latent.T
                 length = np.sqrt(np.einsum("ij,ij->i", folded, folded))
                 w, p = np.nonzero((cosine >= least_cosine * length[:, None]) & (length[:, None] > 1e-6))
-                stretch, enough = possible(at, doc[part], start[part], end[part], base, base + sizes)
-                real = enough[stretch[w], owners[p]]
-                pairs = np.unique(w[real] * len(known) + owners[p[real]])
-                found.append((low + pairs // len(known), known[pairs % len(known)]))
+                real = enough[w, owners[p]]
+                pairs = np.unique((low + window[w[real]]) * len(known) + owners[p[real]])
+                found.append((pairs // len(known), known[pairs % len(known)]))
             window, item = (np.concatenate(x) for x in zip(*found))
             overlap = np.zeros(batch.num_rows)
             items: list[set[int]] = [set() for _ in range(batch.num_rows)]
             pairs = np.unique(window * len(known) + np.searchsorted(known, item))
+            pairs = pairs[np.isin(pairs, np.concatenate([np.zeros(0, np.int64), *likely]))]
             for w, one in zip((pairs // len(known)).tolist(), known[pairs % len(known)].tolist()):
                 i = int(doc[w])
                 if one in items[i]:

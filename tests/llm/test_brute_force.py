@@ -14,7 +14,7 @@ import pytest
 
 from conftest import SMALL
 from larder.llm import pages, secrets, shards, spans, toxicity
-from larder.llm.decontaminate import answer_of, common_words, find_contamination
+from larder.llm.decontaminate import answer_of, common_words, find_contamination, numbered, searcher
 
 DOCS = "doc_id bigint, text string"
 
@@ -323,6 +323,55 @@ def test_items_equal_comparing_all_windows(spark):
     assert paraphrases >= 5
 
 
+def test_long_items_equal_comparing_all_windows(spark):
+    """Items around which more blocks of words lie than have a bit of their own."""
+    rng = random.Random(22)
+    vocabulary = [f"w{i}" for i in range(900)]
+    say = lambda n: " ".join(rng.choices(vocabulary, k=n))
+    items = [(i, f"{say(n)}. {say(8)}.") for i, n in enumerate([30, 450, 700, 1100])]
+    docs = []
+    for i, (item, text) in enumerate(items * 6):
+        kept = rng.choice([0.4, 0.55, 0.65, 0.75, 0.85, 1.0])
+        edited = " ".join(w if rng.random() < kept else rng.choice(["new", "new other", "w1"]) for w in text.split())
+        docs.append((i, f"{say(rng.randint(0, 900))} {edited} {say(rng.randint(0, 900))}"))
+    table = spark.createDataFrame(docs, DOCS)
+    found = find_contamination(table, spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    expected = {i: sorted(items_found(text, items)) for i, text in docs}
+    assert {row["doc_id"]: row["items"] for row in found} == expected
+    assert 10 <= sum(bool(x) for x in expected.values()) < len(docs)
+
+
+def test_only_windows_with_enough_words_of_an_item_are_compared():
+    rng = random.Random(23)
+    words = [f"w{i}" for i in range(200)]
+    texts = {i: [(rng.sample(words, 40), [])] for i in range(10)}
+    numbers = numbered(set(words))
+
+    class Counted(np.ndarray):
+        rows = 0
+
+        def __getitem__(self, at):
+            Counted.rows += len(at)
+            return np.asarray(self)[at]
+
+    vectors = np.vstack([np.zeros((1, 200)), np.eye(200)]).astype(np.float32)
+    latent = np.stack([vectors[[numbers[w] for w in texts[i][0][0]]].sum(0) / 40**0.5 for i in texts])
+    names = ["doc_id"]
+    search = searcher(numbers, vectors.view(Counted), latent, list(texts), texts, 0.3, 0.6, names)()
+    other = [f"other{i}" for i in range(20)]
+
+    def batch(docs):
+        return pa.RecordBatch.from_pydict({"doc_id": list(range(len(docs))), "larder_text": docs})
+
+    # one word in ten is in the benchmark: no item can be found
+    clean = [" ".join(rng.choice(words if rng.random() < 0.1 else other) for _ in range(1000)) for _ in range(20)]
+    assert search(batch(clean))[2] == [[]] * 20
+    assert Counted.rows == 0
+    copies = [f"{clean[i]} {' '.join(texts[i][0][0])} {clean[i + 10]}" for i in range(10)]
+    assert search(batch(copies))[2] == [[i] for i in range(10)]
+    assert 0 < Counted.rows < 10 * 20 * 32
+
+
 def test_training_ends_by_the_loss(spark):
     rng = random.Random(5)
     say = lambda words, n: " ".join(rng.choices(words, k=n)) + "."
